@@ -30,27 +30,36 @@ def blank_null_tokens(text: Column) -> Column:
     return F.when(text.isNull() | text.isin(*NULL_TOKENS), F.lit("")).otherwise(text)
 
 
-def plain_double(number: Column) -> Column:
-    """A double in positional notation (``123456789.12``, ``100.0``).
+def double_digits(number: Column) -> Column:
+    """A double in positional notation without trailing zeros (``112946.26``, ``100.``).
 
     Spark prints an exponent from 10^7 on, which numeric columns of other
     systems spell out. Outside [1e-4, 1e16) the exponent form is kept.
     """
-    digits = F.regexp_replace(number.try_cast("decimal(38,18)").cast("string"), r"0+$", "")
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
     size = F.abs(number)
     spelled = ((size >= 1e-4) & (size < 1e16)) | (size == 0)
+    plain = F.rtrim(number.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
     return F.when(spelled, plain).otherwise(number.cast("string"))
 
 
-def cell_text(cell: Column, data_type: T.DataType) -> Column:
-    """Any cell as raw-layer text."""
+def base_text(cell: Column, data_type: T.DataType) -> Column:
+    """First step to raw-layer text: the cell's characters."""
     if isinstance(data_type, (T.StringType, T.BinaryType)):
-        return blank_null_tokens(sanitize(cell.cast("string")))
+        return sanitize(cell.cast("string"))
     if isinstance(data_type, T.DoubleType):
-        text = plain_double(cell)
-    elif isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(cell)
-    else:
-        text = cell.cast("string")
-    return F.when(text.isNull() | (text == "NaN"), F.lit("")).otherwise(text)
+        return double_digits(cell)
+    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(cell)
+    return cell.cast("string")
+
+
+def final_text(text: Column, data_type: T.DataType) -> Column:
+    """Second step, on a plain column holding :func:`base_text`: missing values blanked."""
+    if isinstance(data_type, (T.StringType, T.BinaryType)):
+        return blank_null_tokens(text)
+    if isinstance(data_type, T.DoubleType):
+        whole = F.when(text.endswith("."), F.concat(text, F.lit("0"))).otherwise(text)
+        return F.when(text.isNull() | (text == "NaN"), F.lit("")).otherwise(whole)
+    if isinstance(data_type, T.FloatType):
+        return F.when(text.isNull() | (text == "NaN"), F.lit("")).otherwise(text)
+    return F.coalesce(text, F.lit(""))

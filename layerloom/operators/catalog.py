@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from layerloom.constants import FULL, HASH_EXCLUDED
 from layerloom.functions.hashing import hashed_names
 from layerloom.functions.types import BOOLEAN_NAMES, element_type
-from layerloom.operators.keyed import latest_per_key, upsert
+from layerloom.operators.keyed import latest_per_key, skew_safe_join, upsert
 
 TABLE_CATALOG_SCHEMA = (
     "table_name string, config_name string, primary_key_cols string, "
@@ -177,8 +177,8 @@ def enrich(files: DataFrame, tables: DataFrame) -> DataFrame:
         F.col("force_full").alias("_ff"),
         F.col("description").alias("_ds"),
     )
-    key = F.coalesce(F.col("config_name"), F.col("table_name"))
-    joined = files.join(entries, key == F.col("lookup_name"), "left")
+    keyed = files.withColumn("lookup_name", F.coalesce("config_name", "table_name"))
+    joined = skew_safe_join(keyed, entries.withColumn("_known", F.lit(True)), ["lookup_name"], "left")
     force = F.coalesce(F.col("_ff"), F.lit(False))
     return joined.select(
         *[c for c in files.columns if c != "load_mode"],
@@ -187,7 +187,7 @@ def enrich(files: DataFrame, tables: DataFrame) -> DataFrame:
         F.coalesce("_ts", F.lit(False)).alias("has_timestamps"),
         force.alias("force_full"),
         F.coalesce("_ds", F.lit("")).alias("table_description"),
-        F.col("lookup_name").isNotNull().alias("in_catalog"),
+        F.coalesce("_known", F.lit(False)).alias("in_catalog"),
     )
 
 

@@ -17,6 +17,20 @@ def moment(value: datetime | str | Column) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def skew_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi join on ``keys`` (NULL never matches) that AQE can split on a hot left key.
+
+    ``right`` holds one row per key and is usually grouped by key already.
+    Spark would then join it without a shuffle of its own, and skips skew
+    handling for such a join. The hash as an extra key gives both sides their
+    own exchange; the right side is the narrow one. Below the broadcast
+    threshold neither side is shuffled at all.
+    """
+    spread = F.xxhash64(*keys)
+    joined = left.withColumn("_spread", spread).join(right.withColumn("_spread", spread), ["_spread", *keys], how)
+    return joined.drop("_spread")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key under ``order``; NULL keys form one group.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.constants import FULL, FULL_RESET, INCREMENTAL, READY_STATES, SEPARATE_FILE_TABLES
-from layerloom.operators.keyed import moment
+from layerloom.operators.keyed import moment, skew_safe_join
 
 FILE_SCHEMA = "base_name string, file_name string, path string, size_bytes bigint"
 METADATA_SCHEMA = (
@@ -173,7 +173,7 @@ def resolve_file_sets(
         F.max(F.struct("extraction_date", "file_name", "load_mode")).alias("_newest"),
         F.max(F.when(full, _file_order())).alias("_last_full"),
     )
-    joined = files.join(facts.withColumnRenamed(group_by, "_group"), F.col(group_by) == F.col("_group"), "left")
+    joined = skew_safe_join(files, facts, [group_by], "left")
     newest_mode = F.col("_newest.load_mode")
     is_newest = (F.col("extraction_date") == F.col("_newest.extraction_date")) & (
         F.col("file_name") == F.col("_newest.file_name")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.constants import FILE_LOG_ID, LOADED_AT, RAW_LINEAGE_COLUMNS, SOURCE_FILE
-from layerloom.functions.text import cell_text
+from layerloom.functions.text import base_text, final_text
 from layerloom.operators.keyed import moment
 
 # --- fixed values: error row layout ------------------------------------------
@@ -24,17 +24,13 @@ def raw_table_name(table_name: str, config_name: str | None = None) -> str:
     return f"raw_{(config_name or table_name).lower()}"
 
 
-def raw_cells(df: DataFrame) -> list[Column]:
-    return [cell_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema]
-
-
 def to_raw(
     df: DataFrame,
     loaded_at: datetime | str | Column,
     source_file: str | Column,
     log_id: str | Column | None,
 ) -> DataFrame:
-    """The raw form of an extract, in one projection.
+    """The raw form of an extract: two projections of one stage, no shuffle.
 
     Pass ``F.col("_metadata.file_name")`` as ``source_file`` to record the
     file of each row when many files are read at once.
@@ -42,7 +38,13 @@ def to_raw(
     file = source_file if isinstance(source_file, Column) else F.lit(source_file)
     log = log_id if isinstance(log_id, Column) else F.lit(log_id).cast("string")
     lineage = [moment(loaded_at), file, log]
-    return df.select(*raw_cells(df), *[c.alias(n) for c, n in zip(lineage, RAW_LINEAGE_COLUMNS, strict=True)])
+    based = df.select(
+        *[base_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema],
+        *[c.alias(n) for c, n in zip(lineage, RAW_LINEAGE_COLUMNS, strict=True)],
+    )
+    return based.select(
+        *[final_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema], *RAW_LINEAGE_COLUMNS
+    )
 
 
 def data_columns(raw: DataFrame) -> list[str]:
@@ -59,25 +61,25 @@ def oversized(raw: DataFrame, limit: int = MAX_CELL_BYTES) -> Column:
     )
 
 
-def accepted(raw: DataFrame, error: Column) -> DataFrame:
-    """Rows without an error."""
-    return raw.filter(error.isNull())
+def accepted(checked: DataFrame, error: str = "_error") -> DataFrame:
+    """Rows without an error, the error column dropped."""
+    return checked.filter(F.col(error).isNull()).drop(error)
 
 
-def load_errors(raw: DataFrame, error: Column, table_name: str, row_index: Column) -> DataFrame:
+def load_errors(checked: DataFrame, table_name: str, row_index: Column, error: str = "_error") -> DataFrame:
     """Rows with an error, in the error table's layout.
 
     ``row_index`` counts from 0 within the source file
     (``_metadata.row_index`` on a parquet scan).
     """
-    sample = F.to_json(F.struct(*data_columns(raw)))
-    return raw.filter(error.isNotNull()).select(
+    sample = F.to_json(F.struct(*[c for c in data_columns(checked) if not c.startswith("_")]))
+    return checked.filter(F.col(error).isNotNull()).select(
         F.lit(table_name).alias("table_name"),
         F.col(SOURCE_FILE).alias("source_file"),
         F.col(FILE_LOG_ID).alias("sftp_log_id"),
         (F.floor(row_index / CHUNK_ROWS) + 1).cast("bigint").alias("chunk_number"),
         (row_index % CHUNK_ROWS).cast("bigint").alias("row_number_in_chunk"),
-        F.left(error, F.lit(MESSAGE_LENGTH)).alias("error_message"),
+        F.left(F.col(error), F.lit(MESSAGE_LENGTH)).alias("error_message"),
         F.left(sample, F.lit(SAMPLE_LENGTH)).alias("row_data_sample"),
         F.col(LOADED_AT).alias("error_timestamp"),
     )

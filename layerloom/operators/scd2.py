@@ -33,7 +33,7 @@ from layerloom.constants import (
     VALID_TO,
 )
 from layerloom.functions.hashing import hashdiff
-from layerloom.operators.keyed import latest_per_key, moment
+from layerloom.operators.keyed import latest_per_key, moment, skew_safe_join
 
 KEEP, CLOSE, DELETE = "keep", "close", "delete"
 INSERT, NOOP = "insert", "noop"
@@ -115,12 +115,8 @@ def decided(live: DataFrame, source: DataFrame, table: History, mode: str) -> Da
 
     A NULL key never matches, so in FULL mode such rows are deleted.
     """
-    narrow = source.select(
-        *[F.col(k).alias(f"_src_{k}") for k in table.keys],
-        F.col(HASHDIFF).alias("_src_hash"),
-        F.lit(True).alias("_hit"),
-    )
-    joined = live.join(narrow, [F.col(k) == F.col(f"_src_{k}") for k in table.keys], "left")
+    narrow = source.select(*table.keys, F.col(HASHDIFF).alias("_src_hash"), F.lit(True).alias("_hit"))
+    joined = skew_safe_join(live, narrow, table.keys, "left")
     changed = F.col("_hit") & ~F.col(HASHDIFF).eqNullSafe(F.col("_src_hash"))
     action = F.when(changed, F.lit(CLOSE))
     if mode == FULL:
@@ -153,27 +149,26 @@ def soft_delete(history: DataFrame, batch: DataFrame, table: History, run_ts: da
     return _applied(rows.filter(F.col("_action") == DELETE), moment(run_ts))
 
 
-def _without_match(source: DataFrame, target: DataFrame, on: Sequence[str], small_source: bool) -> DataFrame:
-    """Source rows with no equal target row.
+def _without_match(source: DataFrame, target: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Source rows (unique by ``keys``) with no target row equal in ``on``.
 
-    For a small source the target is first cut to the source's keys: that
-    semi join broadcasts the source (or filters by its runtime bloom filter),
-    so the large target is never shuffled whole.
+    The target is first cut to the matching keys: a semi join over narrow
+    columns, which broadcasts a small source instead of shuffling the target.
+    What is left is at most one row per source key and joins on ``keys``
+    alone, so the wide source keeps the partitioning its dedup gave it.
     """
-    keys = target.select(*on)
-    if small_source:
-        keys = keys.join(source.select(*on), list(on), "left_semi")
-    return source.join(keys, list(on), "left_anti")
+    matched = skew_safe_join(target.select(*on), source.select(*on), on, "left_semi")
+    return source.join(matched.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def to_insert(live: DataFrame, source: DataFrame, table: History, mode: str) -> DataFrame:
+def to_insert(live: DataFrame, source: DataFrame, table: History) -> DataFrame:
     """Source rows with no live version of the same key and content."""
-    return _without_match(source, live, [*table.keys, HASHDIFF], mode == INCREMENTAL)
+    return _without_match(source, live, [*table.keys, HASHDIFF], table.keys)
 
 
-def new_keys(history: DataFrame, source: DataFrame, table: History, mode: str) -> DataFrame:
+def new_keys(history: DataFrame, source: DataFrame, table: History) -> DataFrame:
     """Source rows whose key has no version at all, live or past."""
-    return _without_match(source, history, table.keys, mode == INCREMENTAL)
+    return _without_match(source, history, table.keys, table.keys)
 
 
 def _null_key(table: History) -> Column:
@@ -195,7 +190,7 @@ def insert_versions(
     """
     source = incoming(batch, table)
     stamp = moment(run_ts)
-    rows = _opened(to_insert(current_view(history), source, table, mode), table, stamp, run_id)
+    rows = _opened(to_insert(current_view(history), source, table), table, stamp, run_id)
     if mode != FULL:
         return rows
     lost = _null_key(table)
@@ -250,6 +245,49 @@ def metric(rows: DataFrame, name: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
 
 
+COUNTED = ("closed", "missing", "matched", "known", "source", "null_keys")
+
+
+def _metrics(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A one-row frame as ``(metric, n)`` rows."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.coalesce(n, F.lit(0)).cast("bigint").alias("n")) for n in names])
+    return rows.select(F.inline(pairs))
+
+
+def _key_counts(history: DataFrame, source: DataFrame, table: History, mode: str) -> DataFrame:
+    """Rows closed and missing, keys already live with this content, keys known at all.
+
+    All four come from one join of key and hash over every stored version.
+    """
+    narrow = source.select(*table.keys, F.col(HASHDIFF).alias("_src_hash"), F.lit(True).alias("_hit"))
+    versions = history.select(*table.keys, HASHDIFF, is_live().alias("_live"))
+    hit = F.coalesce("_hit", F.lit(False))
+    same = F.col(HASHDIFF).eqNullSafe(F.col("_src_hash"))
+    gone = F.col("_live") & ~hit if mode == FULL else F.lit(False)
+    per_key = (
+        skew_safe_join(versions, narrow, table.keys, "left")
+        .groupBy(*table.keys)
+        .agg(
+            F.count_if(F.col("_live") & hit & ~same).alias("closed"),
+            F.count_if(gone).alias("missing"),
+            F.count_if(F.col("_live") & hit & same).alias("same"),
+            F.count_if(hit).alias("hits"),
+        )
+    )
+    totals = per_key.agg(
+        F.sum("closed").alias("closed"),
+        F.sum("missing").alias("missing"),
+        F.count_if(F.col("same") > 0).alias("matched"),
+        F.count_if(F.col("hits") > 0).alias("known"),
+    )
+    return _metrics(totals, ("closed", "missing", "matched", "known"))
+
+
+def _source_counts(source: DataFrame, table: History) -> DataFrame:
+    totals = source.agg(F.count(F.lit(1)).alias("source"), F.count_if(_null_key(table)).alias("null_keys"))
+    return _metrics(totals, ("source", "null_keys"))
+
+
 def merge_stats(history: DataFrame | None, batch: DataFrame, table: History, mode: str) -> DataFrame:
     """Counts of one merge: closed = updated, total = closed + inserted + deleted."""
     _check_mode(mode)
@@ -259,22 +297,12 @@ def merge_stats(history: DataFrame | None, batch: DataFrame, table: History, mod
         n = F.col("inserted")
         values = dict(zip(STATS, (n, n, zero, zero, n, zero), strict=True))
     else:
-        source = incoming(batch, table)
-        live = current_view(history)
-        actions = (
-            decided(live, source, table, mode)
-            .groupBy("_action")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("_action").alias("metric"), "n")
-        )
-        inserted = to_insert(live, source, table, mode)
-        parts = [actions, metric(inserted, INSERT), metric(new_keys(history, source, table, mode), "new")]
-        if mode == FULL:
-            parts.append(metric(inserted.filter(_null_key(table)), DELETE))
-        counts = one_row(parts, (CLOSE, DELETE, INSERT, "new"))
-        closed, deleted, added = F.col(CLOSE), F.col(DELETE), F.col(INSERT)
-        total = closed + added + deleted
-        values = dict(zip(STATS, (total, F.col("new"), closed, closed, added, deleted), strict=True))
+        source = incoming(batch, table).select(*table.keys, HASHDIFF)
+        counts = one_row([_key_counts(history, source, table, mode), _source_counts(source, table)], COUNTED)
+        closed, added = F.col("closed"), F.col("source") - F.col("matched")
+        deleted = F.col("missing") + (F.col("null_keys") if mode == FULL else F.lit(0))
+        new = F.col("source") - F.col("known")
+        values = dict(zip(STATS, (closed + added + deleted, new, closed, closed, added, deleted), strict=True))
     return counts.select(*[v.alias(k) for k, v in values.items()])
 
 

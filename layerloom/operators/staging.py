@@ -9,45 +9,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.constants import HASHDIFF, RUN_ID, VALID_FROM
-from layerloom.functions.casts import extent_part, rejected, to_element, to_scalar
+from layerloom.functions.casts import array_part, extent_parts, rejected, trimmed_element, trimmed_scalar
 from layerloom.functions.hashing import hashdiff
 from layerloom.operators.catalog import TargetColumn
 from layerloom.operators.keyed import moment
 
 
-def _cell(column: TargetColumn) -> Column:
-    packed = F.col(f"`{column.source}`")
-    return extent_part(packed, column.element) if column.element else packed
+def _cells(raw: DataFrame, columns: Sequence[TargetColumn], keep: Sequence[str], trim: bool) -> DataFrame:
+    """``keep`` plus one text cell ``_cell_<i>`` per target column.
 
+    A packed column is split once, not once per element. The steps stay
+    separate projections of one stage: Spark does not merge projections whose
+    results are used more than once.
+    """
+    packed = list(dict.fromkeys(c.source for c in columns if c.element))
+    scalars = list(dict.fromkeys(c.source for c in columns if not c.element))
+    split = raw.select(
+        *[F.col(f"`{k}`") for k in keep],
+        *[F.col(f"`{s}`").alias(f"_whole_{i}") for i, s in enumerate(scalars)],
+        *[extent_parts(F.col(f"`{s}`")).alias(f"_parts_{i}") for i, s in enumerate(packed)],
+    )
+
+    def cell(column: TargetColumn) -> Column:
+        if not column.element:
+            return F.col(f"_whole_{scalars.index(column.source)}")
+        return array_part(F.col(f"_parts_{packed.index(column.source)}"), column.element)
+
+    texts = [cell(c) for c in columns]
+    return split.select(*keep, *[(F.trim(t) if trim else t).alias(f"_cell_{i}") for i, t in enumerate(texts)])
 
-def split_projection(columns: Sequence[TargetColumn]) -> list[Column]:
+
+def split_extents(raw: DataFrame, columns: Sequence[TargetColumn], keep: Sequence[str] = ()) -> DataFrame:
     """Array columns split into text elements, other columns as they are."""
-    return [_cell(c).alias(c.name) for c in columns]
-
-
-def typed_projection(columns: Sequence[TargetColumn], lenient: bool = False) -> list[Column]:
-    """All target columns in one projection, whatever the table's width."""
-    return [
-        (
-            to_element(F.col(f"`{c.source}`"), c.element, c.sql_type, lenient)
-            if c.element
-            else to_scalar(F.col(f"`{c.source}`"), c.sql_type, lenient)
-        ).alias(c.name)
-        for c in columns
+    cells = _cells(raw, columns, keep, trim=False)
+    return cells.select(*keep, *[F.col(f"_cell_{i}").alias(c.name) for i, c in enumerate(columns)])
+
+
+def typed(
+    raw: DataFrame, columns: Sequence[TargetColumn], keep: Sequence[str] = (), lenient: bool = False
+) -> DataFrame:
+    """All target columns split and cast, whatever the table's width."""
+    cells = _cells(raw, columns, keep, trim=True)
+    rules = [
+        (trimmed_element if c.element else trimmed_scalar)(F.col(f"_cell_{i}"), c.sql_type, lenient).alias(c.name)
+        for i, c in enumerate(columns)
     ]
+    return cells.select(*keep, *rules)
 
 
-def cast_error(columns: Sequence[TargetColumn]) -> Column:
-    """Message naming every cell that cannot be cast, NULL for a clean row."""
+def with_cast_error(raw: DataFrame, columns: Sequence[TargetColumn], name: str = "_error") -> DataFrame:
+    """``raw`` plus a message naming every cell that cannot be cast, NULL for a clean row."""
+    keep = raw.columns
     messages = F.array_compact(
         F.array(
             *[
-                F.when(rejected(_cell(c), c.sql_type), F.lit(f"invalid {c.sql_type} in column '{c.name}'"))
-                for c in columns
+                F.when(
+                    rejected(F.col(f"_cell_{i}"), c.sql_type), F.lit(f"invalid {c.sql_type} in column '{c.name}'")
+                )
+                for i, c in enumerate(columns)
             ]
         )
     )
-    return F.when(F.size(messages) > 0, F.array_join(messages, "; "))
+    found = _cells(raw, columns, keep, trim=True).select(*keep, messages.alias("_messages"))
+    return found.select(*keep, F.when(F.size("_messages") > 0, F.array_join("_messages", "; ")).alias(name))
 
 
 def to_staging(
@@ -63,8 +87,8 @@ def to_staging(
     With ``hash_columns`` the content hash is computed in the same pass, so a
     later merge reads key and hash only.
     """
-    typed = raw.select(*typed_projection(columns, lenient))
+    rows = typed(raw, columns, lenient=lenient)
     extra = [F.lit(run_id).alias(RUN_ID), moment(valid_from).alias(VALID_FROM)]
     if hash_columns is not None:
         extra.append(hashdiff(hash_columns).alias(HASHDIFF))
-    return typed.select("*", *extra)
+    return rows.select("*", *extra)

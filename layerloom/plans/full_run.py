@@ -101,10 +101,11 @@ def load_table(
     started = time.monotonic()
     good, failed = stored, 0
     if quarantine:
-        error = staging.cast_error(spec.columns)
-        bad = raw.load_errors(stored, error, name, F.col("_metadata.row_index"))
-        layers.append("raw", "raw_load_errors", bad.withColumn("physical_name", F.lit(name)), f"{run_id}-{name}")
-        good = raw.accepted(stored, error)
+        numbered = stored.select("*", F.col("_metadata.row_index").alias("_row_index"))
+        checked = staging.with_cast_error(numbered, spec.columns)
+        bad = raw.load_errors(checked, name, F.col("_row_index"))
+        layers.append("raw", "raw_load_errors", bad, f"{run_id}-{name}")
+        good = raw.accepted(checked).drop("_row_index")
         failed = layers.load_rows("raw", "raw_load_errors", f"{run_id}-{name}").count()
     table = history_of(spec)
     typed = staging.to_staging(good, spec.columns, run_id, run_ts, table.hash_columns)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.constants import FULL, FULL_RESET, INCREMENTAL, IS_CURRENT, IS_DELETED, RUN_ID, VALID_FROM
+from layerloom.constants import FULL, FULL_RESET, IS_CURRENT, IS_DELETED, RUN_ID, VALID_FROM
 from layerloom.operators import scd2
 from layerloom.operators.keyed import moment
 from layerloom.operators.scd2 import History
@@ -33,7 +33,7 @@ def written_stats(
     if previous is None:
         new = inserted
     else:
-        new = scd2.new_keys(previous, written.filter(opened), table, INCREMENTAL).count()
+        new = scd2.new_keys(previous, written.filter(opened), table).count()
     values = (inserted + closed + deleted, new, closed, closed, inserted, deleted)
     return dict(zip(scd2.STATS, values, strict=True))
 

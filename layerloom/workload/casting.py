@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.functions.casts import to_boolean, to_number, to_scalar, to_temporal, to_text
+from layerloom.functions.casts import to_boolean, to_number, to_temporal, to_text
 from layerloom.operators.catalog import TargetColumn
-from layerloom.operators.staging import split_projection, typed_projection
+from layerloom.operators.staging import split_extents, typed
 from layerloom.workload.registry import by_value, query, table
 
 # -- array columns: the measures of a line packed into one text cell ------------
@@ -60,7 +60,7 @@ LINE_ID = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 )
 def extent_split(spark: SparkSession, folder: str) -> DataFrame:
     columns = [*elements("measures", *["TEXT"] * 5), TargetColumn("marks", 0, "marks", "TEXT")]
-    return packed_lines(spark, folder).select(*LINE_ID, *split_projection(columns))
+    return split_extents(packed_lines(spark, folder), columns, LINE_ID)
 
 
 @query(
@@ -83,7 +83,7 @@ def extent_typed(spark: SparkSession, folder: str) -> DataFrame:
         TargetColumn("marks", 3, "flags_3", "BOOLEAN"),
         *elements("days", "DATE", "TIMESTAMP", "DATE"),
     ]
-    return packed_lines(spark, folder).select(*LINE_ID, *typed_projection(columns))
+    return typed(packed_lines(spark, folder), columns, LINE_ID)
 
 
 # -- scalar rules ------------------------------------------------------------------
@@ -162,6 +162,6 @@ def cast_text(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id",
         "turn",
         to_text(role).alias("role"),
-        to_scalar(F.col("text"), "TEXT").alias("body"),
-        to_scalar(F.col("text"), "VARCHAR(120)").alias("headline"),
+        to_text(F.col("text"), "TEXT").alias("body"),
+        to_text(F.col("text"), "VARCHAR(120)").alias("headline"),
     )

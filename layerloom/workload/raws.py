@@ -87,7 +87,8 @@ def raw_load_errors(spark: SparkSession, folder: str) -> DataFrame:
     value = by_value("event_type", {"error": "n/a", "view": "?"}, F.col("value").cast("string"))
     events = table(spark, folder, "events").select("event_id", user.alias("user_id"), value.alias("value"))
     rows = raw.to_raw(events, FIRST_TS, "events.parquet", "log-1")
-    return raw.load_errors(rows, staging.cast_error(EVENT_TYPES), "events", F.col("event_id").cast("bigint"))
+    checked = staging.with_cast_error(rows, EVENT_TYPES)
+    return raw.load_errors(checked, "events", F.col("event_id").cast("bigint"))
 
 
 # -- quality: documents and pages -----------------------------------------------------
