@@ -108,12 +108,16 @@ class Layers:
         return commits is not None and not commits.filter(F.col("load") == load_name(run_id)).isEmpty()
 
     def live(self, table: str) -> DataFrame | None:
-        """Live rows: one pruned partition of the newest load."""
+        """Live rows: the newest load's live partition, the only folder that is listed."""
         load, _ = self.last_commit(table)
         if load is None:
             return None
-        rows = self._read(self.path("ods", table, "data"))
-        return None if rows is None else rows.filter((F.col(LOAD) == load) & (F.col(STATE) == LIVE)).drop(LOAD, STATE)
+        data = self.path("ods", table, "data")
+        rows = self._read(f"{data}/{LOAD}={load}/{STATE}={LIVE}")
+        if rows is not None:
+            return rows
+        every = self._read(data)  # the load left no live row: an empty frame of the table's schema
+        return None if every is None else every.drop(LOAD, STATE).limit(0)
 
     def past(self, table: str) -> DataFrame | None:
         """Ended rows of every committed load since the last reset."""
