@@ -80,10 +80,11 @@ def incoming(batch: DataFrame, table: History) -> DataFrame:
     return winners.select(*table.columns, HASHDIFF)
 
 
-def _opened(rows: DataFrame, table: History, run_ts: Column, run_id: str) -> DataFrame:
+def opened(rows: DataFrame, table: History, run_ts: datetime | str | Column, run_id: str) -> DataFrame:
+    """Hashed rows as current versions of this run."""
     return rows.select(
         *table.columns,
-        run_ts.alias(VALID_FROM),
+        moment(run_ts).alias(VALID_FROM),
         F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
         F.lit(True).alias(IS_CURRENT),
         F.lit(False).alias(IS_DELETED),
@@ -94,7 +95,7 @@ def _opened(rows: DataFrame, table: History, run_ts: Column, run_id: str) -> Dat
 
 def open_versions(batch: DataFrame, table: History, run_ts: datetime | str, run_id: str) -> DataFrame:
     """First load and FULL_RESET: every batch row becomes current, duplicates too."""
-    return _opened(with_hash(batch, table), table, moment(run_ts), run_id)
+    return opened(with_hash(batch, table), table, run_ts, run_id)
 
 
 def is_live() -> Column:
@@ -105,7 +106,7 @@ def current_view(history: DataFrame) -> DataFrame:
     return history.filter(is_live())
 
 
-def _check_mode(mode: str) -> None:
+def check_mode(mode: str) -> None:
     if mode not in LOAD_MODES:
         raise ValueError(f"unknown load mode {mode!r}")
 
@@ -190,7 +191,7 @@ def insert_versions(
     """
     source = incoming(batch, table)
     stamp = moment(run_ts)
-    rows = _opened(to_insert(current_view(history), source, table), table, stamp, run_id)
+    rows = opened(to_insert(current_view(history), source, table), table, stamp, run_id)
     if mode != FULL:
         return rows
     lost = _null_key(table)
@@ -207,7 +208,7 @@ def changed_rows(
     live: DataFrame, batch: DataFrame, table: History, mode: str, run_ts: datetime | str, run_id: str
 ) -> DataFrame:
     """Every live row after the merge plus the inserted versions; no older history."""
-    _check_mode(mode)
+    check_mode(mode)
     rows = _applied(decided(live, incoming(batch, table), table, mode), moment(run_ts))
     added = insert_versions(live, batch, table, run_ts, run_id, mode)
     return rows.select(*table.columns, *SCD2_COLUMNS).unionByName(added)
@@ -222,7 +223,7 @@ def merge(
     run_id: str,
 ) -> DataFrame:
     """The whole history after one load."""
-    _check_mode(mode)
+    check_mode(mode)
     if history is None or mode == FULL_RESET:
         return open_versions(batch, table, run_ts, run_id)
     ordered = history.select(*table.columns, *SCD2_COLUMNS)
@@ -230,6 +231,26 @@ def merge(
     return past.unionByName(changed_rows(current_view(ordered), batch, table, mode, run_ts, run_id))
 
 
+
+def endings(live: DataFrame, source: DataFrame, table: History, mode: str, run_ts: datetime | str) -> DataFrame:
+    """What a merge ends, as row identities (key, hash, opening run) with end time.
+
+    Rows that share an identity share their fate, so the identity is enough to
+    apply the ends later; no business column is read.
+    """
+    rows = decided(live.select(*table.keys, HASHDIFF, RUN_ID), source, table, mode).filter(F.col("_action") != KEEP)
+    return rows.select(
+        *table.keys, HASHDIFF, RUN_ID, moment(run_ts).alias(VALID_TO), (F.col("_action") == DELETE).alias(IS_DELETED)
+    )
+
+
+def unmatchable(rows: DataFrame, table: History, run_ts: datetime | str) -> DataFrame:
+    """Versions with a NULL key part, as endings: a FULL load deletes them at once."""
+    return rows.filter(_null_key(table)).select(
+        *table.keys, HASHDIFF, RUN_ID, moment(run_ts).alias(VALID_TO), F.lit(True).alias(IS_DELETED)
+    )
+
+
 STATS = ("total_rows", "new_records", "updated_records", "closed_records", "inserted_records", "deleted_records")
 
 
@@ -290,7 +311,7 @@ def _source_counts(source: DataFrame, table: History) -> DataFrame:
 
 def merge_stats(history: DataFrame | None, batch: DataFrame, table: History, mode: str) -> DataFrame:
     """Counts of one merge: closed = updated, total = closed + inserted + deleted."""
-    _check_mode(mode)
+    check_mode(mode)
     if history is None or mode == FULL_RESET:
         counts = one_row([metric(batch, "inserted")], ("inserted",))
         zero = F.lit(0).cast("bigint")

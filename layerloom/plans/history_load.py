@@ -1,4 +1,4 @@
-"""One history load: merge, write, count, commit."""
+"""One history load: decide on keys and hashes, write what changed, count, commit."""
 
 from __future__ import annotations
 
@@ -7,33 +7,32 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.constants import FULL, FULL_RESET, IS_CURRENT, IS_DELETED, RUN_ID, VALID_FROM
+from layerloom.constants import FULL, FULL_RESET, HASHDIFF, IS_DELETED, RUN_ID
 from layerloom.operators import scd2
-from layerloom.operators.keyed import moment
 from layerloom.operators.scd2 import History
-from layerloom.sources.layers import Layers
+from layerloom.sources.layers import BASE, DELTA, ENDED_ROWS, Layers
 
+# An hourly load then rewrites the live rows once a day.
+COMPACT_AFTER = 24
 
-def written_stats(
-    written: DataFrame, previous: DataFrame | None, table: History, run_ts: datetime | str, run_id: str
-) -> dict[str, int]:
+
+def _key_versions(layers: Layers, name: str, table: History) -> DataFrame:
+    """Keys of every stored version."""
+    return layers.history(name).select(*table.keys)
+
+
+def _delta_stats(opened: DataFrame, ended: DataFrame, known: DataFrame, table: History) -> dict[str, int]:
     """Merge counters read back from what the load wrote.
 
-    They need control columns only, and hold whatever tasks were retried on
-    the way. New keys are the inserted ones without an earlier version.
+    They need narrow columns only, and hold whatever tasks were retried on the
+    way. New keys are the inserted ones without an earlier version.
     """
-    opened = (F.col(VALID_FROM) == moment(run_ts)) & (F.col(RUN_ID) == run_id)
-    ended = ~F.col(IS_CURRENT)
-    row = written.agg(
-        F.count_if(opened).alias("inserted"),
-        F.count_if(ended & ~F.col(IS_DELETED)).alias("closed"),
-        F.count_if(F.col(IS_DELETED)).alias("deleted"),
+    sums = ended.agg(
+        F.sum(F.when(~F.col(IS_DELETED), F.col(ENDED_ROWS))).alias("closed"),
+        F.sum(F.when(F.col(IS_DELETED), F.col(ENDED_ROWS))).alias("deleted"),
     ).first()
-    inserted, closed, deleted = row["inserted"], row["closed"], row["deleted"]
-    if previous is None:
-        new = inserted
-    else:
-        new = scd2.new_keys(previous, written.filter(opened), table).count()
+    inserted, closed, deleted = opened.count(), sums["closed"] or 0, sums["deleted"] or 0
+    new = scd2.new_keys(known, opened, table).count() if inserted else 0
     values = (inserted + closed + deleted, new, closed, closed, inserted, deleted)
     return dict(zip(scd2.STATS, values, strict=True))
 
@@ -46,23 +45,44 @@ def load_history(
     mode: str,
     run_ts: datetime | str,
     run_id: str,
+    compact_after: int = COMPACT_AFTER,
 ) -> dict[str, int]:
     """Merge a batch into a stored history and return its counters.
 
-    A run that is already committed is skipped, so a retried caller does no
-    harm. Only the live partition is read and rewritten.
+    Of the stored rows only key, hash and opening run are read, so a load
+    costs a narrow scan plus the batch; live rows are rewritten by compaction
+    only, every ``compact_after`` loads. A run that is already committed is
+    skipped, so a retried caller does no harm.
     """
+    scd2.check_mode(mode)
     if layers.is_committed(name, run_id):
         return dict.fromkeys(scd2.STATS, 0)
     live = None if mode == FULL_RESET else layers.live(name)
-    resets = live is None
-    if resets:
-        rows = scd2.open_versions(batch, table, run_ts, run_id)
-    else:
-        rows = scd2.changed_rows(live, batch, table, mode, run_ts, run_id)
-    written = layers.write_load(name, rows, run_id)
-    stats = written_stats(written, None if resets else layers.history(name), table, run_ts, run_id)
-    layers.commit(name, run_id, resets)
+    if live is None:
+        written = layers.write_base(name, scd2.open_versions(batch, table, run_ts, run_id), run_id)
+        layers.commit(name, run_id, BASE, resets=True)
+        n = written.count()
+        return dict(zip(scd2.STATS, (n, n, 0, 0, n, 0), strict=True))
+
+    source = scd2.incoming(batch, table)
+    opened = layers.write_opened(
+        name, scd2.opened(scd2.to_insert(live, source, table), table, run_ts, run_id), run_id
+    )
+    ends = scd2.endings(live, source, table, mode, run_ts)
+    if mode == FULL:
+        ends = ends.unionByName(scd2.unmatchable(opened, table, run_ts))
+    identity = [*table.keys, HASHDIFF, RUN_ID]
+    ended = layers.write_ended(
+        name,
+        ends.groupBy(*identity, *[c for c in ends.columns if c not in identity]).agg(
+            F.count(F.lit(1)).alias(ENDED_ROWS)
+        ),
+        run_id,
+    )
+    stats = _delta_stats(opened, ended, _key_versions(layers, name, table), table)
+    layers.commit(name, run_id, DELTA)
+    if len(layers.commits(name).deltas) >= compact_after:
+        layers.compact(name)
     return stats
 
 

@@ -1,26 +1,36 @@
 """The warehouse layers as partitioned parquet tables under one folder.
 
-A history table is partitioned by the load that wrote its rows and by
-live/past. A load writes *one* new partition pair: the live rows as they are
-now, and the rows it ended. Past partitions are never rewritten, and readers
-see a load only once its commit row exists, so a load lost half-way leaves
-nothing visible and can simply run again.
+A history table is a *base* plus the *deltas* after it:
+
+* a base load holds all live rows, and the rows that ended since the base
+  before it;
+* a delta load holds the versions it opened, and for each row it ended only
+  the row's identity (key, content hash, opening run) and end time.
+
+So a load writes what changed and never rewrites what is stored; compaction
+folds the deltas into a new base. Readers see a load only once its commit row
+exists: a load lost half-way leaves nothing visible and can simply run again.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import IS_CURRENT
+from layerloom.constants import IS_CURRENT, IS_DELETED, VALID_TO
 
 LOAD, STATE = "_load", "_state"
 LIVE, PAST = "live", "past"
-COMMIT_SCHEMA = "load string, position bigint, resets boolean"
+BASE, DELTA = "base", "delta"
+ENDED_ROWS = "_ended_rows"
+COMMIT_SCHEMA = "load string, position bigint, kind string, resets boolean"
+_NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def load_name(run_id: str) -> str:
@@ -30,6 +40,20 @@ def load_name(run_id: str) -> str:
     return f"run-{run_id}"
 
 
+@dataclass(frozen=True)
+class Commits:
+    """The committed loads that make up a history, oldest first."""
+
+    bases: tuple[str, ...] = ()
+    deltas: tuple[str, ...] = ()
+    position: int = 0
+
+
+def _same_row(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """Equality of row identities; a NULL key part equals NULL here."""
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+
+
 @dataclass(frozen=True)
 class Layers:
     spark: SparkSession
@@ -38,11 +62,11 @@ class Layers:
     def path(self, layer: str, table: str, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), layer, table.lower(), *parts])
 
-    def _read(self, path: str) -> DataFrame | None:
+    def _read(self, *paths: str) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(path)
+            return self.spark.read.parquet(*paths)
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() in _NO_FILES:
                 return None
             raise
 
@@ -61,14 +85,16 @@ class Layers:
         )
         return path
 
-    def _write_load(self, path: str, rows: DataFrame, run_id: str, *partitions: str) -> None:
+    def _write_load(self, path: str, rows: DataFrame, run_id: str, *partitions: str) -> str:
         """(Re)write one run's partition as a whole, so a retry leaves no stale files."""
+        target = f"{path}/{LOAD}={load_name(run_id)}"
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(*partitions)
-            .parquet(f"{path}/{LOAD}={load_name(run_id)}")
+            .parquet(target)
         )
+        return target
 
     def append(self, layer: str, table: str, rows: DataFrame, run_id: str) -> str:
         """Add one run's rows; running the same run again replaces them."""
@@ -90,60 +116,126 @@ class Layers:
             self.append("staging", table, rows, run_id)
         return self.load_rows("staging", table, run_id)
 
-    # -- history ---------------------------------------------------------------
+    # -- history: commits --------------------------------------------------------
 
-    def commits(self, table: str) -> DataFrame | None:
+    def _commit_rows(self, table: str) -> DataFrame | None:
         return self._read(self.path("ods", table, "commits"))
 
-    def last_commit(self, table: str) -> tuple[str | None, int]:
-        """The newest load and its position; ``(None, 0)`` before the first."""
-        commits = self.commits(table)
-        if commits is None:
-            return None, 0
-        row = commits.agg(F.max_by("load", "position").alias("load"), F.max("position").alias("position")).first()
-        return row["load"], row["position"] or 0
+    def commits(self, table: str) -> Commits:
+        """Bases since the last reset and deltas since the last base.
+
+        Collected on the driver: one short row per base, and no more deltas
+        than compaction lets pile up.
+        """
+        rows = self._commit_rows(table)
+        if rows is None:
+            return Commits()
+        marks = rows.agg(
+            F.max(F.when(F.col("resets"), F.col("position"))).alias("reset"),
+            F.max(F.when(F.col("kind") == BASE, F.col("position"))).alias("base"),
+            F.max("position").alias("last"),
+        ).first()
+        is_base = (F.col("kind") == BASE) & (F.col("position") >= marks["reset"])
+        is_delta = (F.col("kind") == DELTA) & (F.col("position") > marks["base"])
+        used = rows.filter(is_base | is_delta).orderBy("position").collect()
+        return Commits(
+            tuple(r["load"] for r in used if r["kind"] == BASE),
+            tuple(r["load"] for r in used if r["kind"] == DELTA),
+            marks["last"],
+        )
 
     def is_committed(self, table: str, run_id: str) -> bool:
-        commits = self.commits(table)
-        return commits is not None and not commits.filter(F.col("load") == load_name(run_id)).isEmpty()
+        rows = self._commit_rows(table)
+        return rows is not None and not rows.filter(F.col("load") == load_name(run_id)).isEmpty()
+
+    def commit(self, table: str, run_id: str, kind: str, resets: bool = False) -> None:
+        """Make a written load visible: one small file, written atomically."""
+        position = self.commits(table).position + 1
+        row = self.spark.createDataFrame([(load_name(run_id), position, kind, resets)], COMMIT_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(self.path("ods", table, "commits"))
+
+    # -- history: reading ----------------------------------------------------------
+
+    def _base_folder(self, table: str, load: str, state: str) -> str:
+        return self.path("ods", table, "base", f"{LOAD}={load}", f"{STATE}={state}")
+
+    def _base_live(self, table: str, load: str) -> DataFrame:
+        rows = self._read(self._base_folder(table, load, LIVE))
+        # a base without live rows has no live folder, but knows its schema
+        return self.spark.read.parquet(self._base_folder(table, load, "schema")) if rows is None else rows
+
+    def _delta(self, table: str, part: str, loads: Sequence[str]) -> DataFrame | None:
+        folders = [self.path("ods", table, part, f"{LOAD}={load}") for load in loads]
+        return self._read(*folders) if folders else None
+
+    def _versions(self, table: str, commits: Commits) -> DataFrame:
+        """Rows live at the last base and rows opened since, ended ones included."""
+        base = self._base_live(table, commits.bases[-1])
+        opened = self._delta(table, "opened", commits.deltas)
+        return base if opened is None else base.unionByName(opened)
+
+    def _identity(self, ended: DataFrame) -> list[str]:
+        return [c for c in ended.columns if c not in (VALID_TO, IS_DELETED, ENDED_ROWS)]
 
     def live(self, table: str) -> DataFrame | None:
-        """Live rows: the newest load's live partition, the only folder that is listed."""
-        load, _ = self.last_commit(table)
-        if load is None:
+        """Live rows; the ends recorded since the last base are few and narrow."""
+        commits = self.commits(table)
+        if not commits.bases:
+            return None
+        versions, ended = self._versions(table, commits), self._delta(table, "ended", commits.deltas)
+        if ended is None:
+            return versions
+        return versions.join(ended, _same_row(versions, ended, self._identity(ended)), "left_anti")
+
+    def _ended_since_base(self, table: str, commits: Commits) -> DataFrame | None:
+        ended = self._delta(table, "ended", commits.deltas)
+        if ended is None:
             return None
-        data = self.path("ods", table, "data")
-        rows = self._read(f"{data}/{LOAD}={load}/{STATE}={LIVE}")
-        if rows is not None:
-            return rows
-        every = self._read(data)  # the load left no live row: an empty frame of the table's schema
-        return None if every is None else every.drop(LOAD, STATE).limit(0)
+        versions = self._versions(table, commits)
+        joined = versions.join(ended, _same_row(versions, ended, self._identity(ended)))
+        values = {VALID_TO: ended[VALID_TO], IS_CURRENT: F.lit(False), IS_DELETED: ended[IS_DELETED]}
+        return joined.select(*[values.get(c, versions[c]).alias(c) for c in versions.columns])
 
     def past(self, table: str) -> DataFrame | None:
         """Ended rows of every committed load since the last reset."""
         commits = self.commits(table)
-        if commits is None:
+        if not commits.bases:
             return None
-        start = commits.agg(F.max(F.when(F.col("resets"), F.col("position"))).alias("p")).first()["p"] or 0
-        kept = commits.filter(F.col("position") >= start).select(F.col("load").alias(LOAD))
-        rows = self.spark.read.parquet(self.path("ods", table, "data")).filter(F.col(STATE) == PAST)
-        return rows.join(kept, LOAD, "left_semi").drop(LOAD, STATE)
+        every = self.spark.read.parquet(self.path("ods", table, "base"))
+        stored = every.filter((F.col(STATE) == PAST) & F.col(LOAD).isin(*commits.bases)).drop(LOAD, STATE)
+        ended = self._ended_since_base(table, commits)
+        return stored if ended is None else stored.unionByName(ended)
 
     def history(self, table: str) -> DataFrame | None:
         live = self.live(table)
         return None if live is None else self.past(table).unionByName(live)
 
-    def write_load(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
-        """Write one load's live and ended rows in a single job; not yet visible."""
+    # -- history: writing ------------------------------------------------------------
+
+    def write_base(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
+        """Write live and ended rows in one job; not yet visible."""
         state = F.when(F.col(IS_CURRENT), F.lit(LIVE)).otherwise(F.lit(PAST))
-        path = self.path("ods", table, "data")
-        self._write_load(path, rows.withColumn(STATE, state), run_id, STATE)
-        return self.spark.read.schema(rows.schema).parquet(f"{path}/{LOAD}={load_name(run_id)}")
+        target = self._write_load(self.path("ods", table, "base"), rows.withColumn(STATE, state), run_id, STATE)
+        empty = self.spark.createDataFrame([], rows.schema)
+        empty.write.mode("overwrite").parquet(f"{target}/{STATE}=schema")
+        return self.spark.read.schema(rows.schema).parquet(target)
 
-    def commit(self, table: str, run_id: str, resets: bool) -> None:
-        """Make a written load visible: one small file, written atomically."""
-        _, position = self.last_commit(table)
-        row = self.spark.createDataFrame([(load_name(run_id), position + 1, resets)], COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.path("ods", table, "commits"))
+    def write_opened(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
+        target = self._write_load(self.path("ods", table, "opened"), rows, run_id)
+        return self.spark.read.schema(rows.schema).parquet(target)
 
+    def write_ended(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
+        target = self._write_load(self.path("ods", table, "ended"), rows, run_id)
+        return self.spark.read.schema(rows.schema).parquet(target)
 
+    def compact(self, table: str) -> bool:
+        """Fold the deltas into a new base; the history reads the same before and after."""
+        commits = self.commits(table)
+        if not commits.deltas:
+            return False
+        rows = self.live(table)
+        ended = self._ended_since_base(table, commits)
+        run_id = f"compact-{commits.position + 1}"
+        self.write_base(table, rows if ended is None else rows.unionByName(ended), run_id)
+        self.commit(table, run_id, BASE)
+        return True

@@ -19,7 +19,8 @@ def spark():
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
         },
