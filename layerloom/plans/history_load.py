@@ -10,17 +10,12 @@ from pyspark.sql import functions as F
 from layerloom.constants import FULL, FULL_RESET, HASHDIFF, IS_DELETED, RUN_ID
 from layerloom.operators import scd2
 from layerloom.operators.scd2 import History
-from layerloom.sources.layers import BASE, DELTA, ENDED_ROWS, Layers
+from layerloom.sources.layers import BASE, DELTA, ENDED_ROWS, Layers, load_name
 
 # An hourly load then rewrites the live rows once a day.
 COMPACT_AFTER = 24
 
 
-def _key_versions(layers: Layers, name: str, table: History) -> DataFrame:
-    """Keys of every stored version."""
-    return layers.history(name).select(*table.keys)
-
-
 def _delta_stats(opened: DataFrame, ended: DataFrame, known: DataFrame, table: History) -> dict[str, int]:
     """Merge counters read back from what the load wrote.
 
@@ -55,12 +50,13 @@ def load_history(
     skipped, so a retried caller does no harm.
     """
     scd2.check_mode(mode)
-    if layers.is_committed(name, run_id):
+    commits = layers.commits(name)
+    if load_name(run_id) in commits.loads:
         return dict.fromkeys(scd2.STATS, 0)
-    live = None if mode == FULL_RESET else layers.live(name)
+    live = None if mode == FULL_RESET else layers.live(name, commits)
     if live is None:
         written = layers.write_base(name, scd2.open_versions(batch, table, run_ts, run_id), run_id)
-        layers.commit(name, run_id, BASE, resets=True)
+        layers.commit(name, commits, run_id, BASE, resets=True)
         n = written.count()
         return dict(zip(scd2.STATS, (n, n, 0, 0, n, 0), strict=True))
 
@@ -79,9 +75,9 @@ def load_history(
         ),
         run_id,
     )
-    stats = _delta_stats(opened, ended, _key_versions(layers, name, table), table)
-    layers.commit(name, run_id, DELTA)
-    if len(layers.commits(name).deltas) >= compact_after:
+    stats = _delta_stats(opened, ended, layers.known_keys(name, table.keys, commits), table)
+    layers.commit(name, commits, run_id, DELTA)
+    if len(commits.deltas) + 1 >= compact_after:
         layers.compact(name)
     return stats
 

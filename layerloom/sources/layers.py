@@ -47,6 +47,7 @@ class Commits:
     bases: tuple[str, ...] = ()
     deltas: tuple[str, ...] = ()
     position: int = 0
+    loads: frozenset[str] = frozenset()
 
 
 def _same_row(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -118,40 +119,31 @@ class Layers:
 
     # -- history: commits --------------------------------------------------------
 
-    def _commit_rows(self, table: str) -> DataFrame | None:
-        return self._read(self.path("ods", table, "commits"))
-
     def commits(self, table: str) -> Commits:
         """Bases since the last reset and deltas since the last base.
 
-        Collected on the driver: one short row per base, and no more deltas
-        than compaction lets pile up.
+        The log is one short row per load, so the driver reads it whole.
         """
-        rows = self._commit_rows(table)
-        if rows is None:
+        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet
+        try:
+            log = sorted(rows(self.path("ods", table, "commits")).collect(), key=lambda r: r["position"])
+        except AnalysisException as error:
+            if error.getCondition() not in _NO_FILES:
+                raise
             return Commits()
-        marks = rows.agg(
-            F.max(F.when(F.col("resets"), F.col("position"))).alias("reset"),
-            F.max(F.when(F.col("kind") == BASE, F.col("position"))).alias("base"),
-            F.max("position").alias("last"),
-        ).first()
-        is_base = (F.col("kind") == BASE) & (F.col("position") >= marks["reset"])
-        is_delta = (F.col("kind") == DELTA) & (F.col("position") > marks["base"])
-        used = rows.filter(is_base | is_delta).orderBy("position").collect()
-        return Commits(
-            tuple(r["load"] for r in used if r["kind"] == BASE),
-            tuple(r["load"] for r in used if r["kind"] == DELTA),
-            marks["last"],
-        )
-
-    def is_committed(self, table: str, run_id: str) -> bool:
-        rows = self._commit_rows(table)
-        return rows is not None and not rows.filter(F.col("load") == load_name(run_id)).isEmpty()
-
-    def commit(self, table: str, run_id: str, kind: str, resets: bool = False) -> None:
+        bases: list[str] = []
+        deltas: list[str] = []
+        for entry in log:
+            if entry["kind"] == BASE:
+                bases, deltas = [*([] if entry["resets"] else bases), entry["load"]], []
+            else:
+                deltas.append(entry["load"])
+        return Commits(tuple(bases), tuple(deltas), log[-1]["position"], frozenset(r["load"] for r in log))
+
+    def commit(self, table: str, commits: Commits, run_id: str, kind: str, resets: bool = False) -> None:
         """Make a written load visible: one small file, written atomically."""
-        position = self.commits(table).position + 1
-        row = self.spark.createDataFrame([(load_name(run_id), position, kind, resets)], COMMIT_SCHEMA)
+        entry = (load_name(run_id), commits.position + 1, kind, resets)
+        row = self.spark.createDataFrame([entry], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path("ods", table, "commits"))
 
     # -- history: reading ----------------------------------------------------------
@@ -177,9 +169,9 @@ class Layers:
     def _identity(self, ended: DataFrame) -> list[str]:
         return [c for c in ended.columns if c not in (VALID_TO, IS_DELETED, ENDED_ROWS)]
 
-    def live(self, table: str) -> DataFrame | None:
+    def live(self, table: str, commits: Commits | None = None) -> DataFrame | None:
         """Live rows; the ends recorded since the last base are few and narrow."""
-        commits = self.commits(table)
+        commits = commits or self.commits(table)
         if not commits.bases:
             return None
         versions, ended = self._versions(table, commits), self._delta(table, "ended", commits.deltas)
@@ -196,19 +188,27 @@ class Layers:
         values = {VALID_TO: ended[VALID_TO], IS_CURRENT: F.lit(False), IS_DELETED: ended[IS_DELETED]}
         return joined.select(*[values.get(c, versions[c]).alias(c) for c in versions.columns])
 
-    def past(self, table: str) -> DataFrame | None:
+    def _base_past(self, table: str, commits: Commits) -> DataFrame:
+        every = self.spark.read.parquet(self.path("ods", table, "base"))
+        return every.filter((F.col(STATE) == PAST) & F.col(LOAD).isin(*commits.bases)).drop(LOAD, STATE)
+
+    def past(self, table: str, commits: Commits | None = None) -> DataFrame | None:
         """Ended rows of every committed load since the last reset."""
-        commits = self.commits(table)
+        commits = commits or self.commits(table)
         if not commits.bases:
             return None
-        every = self.spark.read.parquet(self.path("ods", table, "base"))
-        stored = every.filter((F.col(STATE) == PAST) & F.col(LOAD).isin(*commits.bases)).drop(LOAD, STATE)
-        ended = self._ended_since_base(table, commits)
+        stored, ended = self._base_past(table, commits), self._ended_since_base(table, commits)
         return stored if ended is None else stored.unionByName(ended)
 
     def history(self, table: str) -> DataFrame | None:
-        live = self.live(table)
-        return None if live is None else self.past(table).unionByName(live)
+        commits = self.commits(table)
+        live = self.live(table, commits)
+        return None if live is None else self.past(table, commits).unionByName(live)
+
+    def known_keys(self, table: str, keys: Sequence[str], commits: Commits) -> DataFrame:
+        """Keys of every stored version, live or ended; no join, key columns only."""
+        versions = self._versions(table, commits).select(*keys)
+        return versions.unionByName(self._base_past(table, commits).select(*keys))
 
     # -- history: writing ------------------------------------------------------------
 
@@ -233,9 +233,9 @@ class Layers:
         commits = self.commits(table)
         if not commits.deltas:
             return False
-        rows = self.live(table)
+        rows = self.live(table, commits)
         ended = self._ended_since_base(table, commits)
         run_id = f"compact-{commits.position + 1}"
         self.write_base(table, rows if ended is None else rows.unionByName(ended), run_id)
-        self.commit(table, run_id, BASE)
+        self.commit(table, commits, run_id, BASE)
         return True
