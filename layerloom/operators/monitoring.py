@@ -19,10 +19,14 @@ ERROR_LENGTH = 500
 # --- end of fixed values -----------------------------------------------------
 
 
+def file_log_id(path: Column, run_id: str) -> Column:
+    return F.md5(F.concat(path, F.lit(run_id)))
+
+
 def file_log_rows(files: DataFrame, run_id: str, run_ts: datetime | str) -> DataFrame:
     """Log entries for landed files; the id is a hash of path and run."""
     return files.select(
-        F.md5(F.concat("path", F.lit(run_id))).alias("log_id"),
+        file_log_id(F.col("path"), run_id).alias("log_id"),
         "file_name",
         F.col("path").alias("file_path"),
         "table_name",

@@ -8,17 +8,18 @@ recorded and the others go on.
 from __future__ import annotations
 
 import time
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import COMPLETED, FAILED, FULL_RESET
+from layerloom.constants import COMPLETED, FAILED, FILE_LOG_ID, FULL_RESET
 from layerloom.operators import landing, monitoring, raw, staging
 from layerloom.operators.catalog import TableSpec, enrich, load_spec
 from layerloom.operators.scd2 import History
 from layerloom.plans.history_load import load_history
-from layerloom.sources.landing_files import read_file_set, scan_landing
+from layerloom.sources.landing_files import read_file_set, scan_landing, scanned_path
 from layerloom.sources.layers import Layers
 
 TABLE_STAT_SCHEMA = (
@@ -27,10 +28,18 @@ TABLE_STAT_SCHEMA = (
 )
 
 
+OUTCOME_SCHEMA = "path string, status string, error_message string"
+
+
 @dataclass(frozen=True)
 class FileSet:
-    """The files of one table that one load reads."""
+    """The files of one table that one load reads.
 
+    ``load_id`` is the run id, with a number added where a run loads the same
+    table more than once.
+    """
+
+    load_id: str
     table_name: str
     config_name: str | None
     physical_name: str
@@ -46,7 +55,7 @@ def history_of(spec: TableSpec) -> History:
     )
 
 
-def file_sets(resolved: DataFrame) -> list[FileSet]:
+def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
     """The manifest: consolidated files of a table together, kept files one by one."""
     joint = F.col("resolution") == "consolidated"
     rows = (
@@ -61,16 +70,16 @@ def file_sets(resolved: DataFrame) -> list[FileSet]:
         )
         .orderBy("table_name", "m.extraction_date", "m.file_name")
     )
-    return [
-        FileSet(
-            r["table_name"],
-            r["m"]["config_name"],
-            r["m"]["physical_name"],
-            r["m"]["effective_mode"],
-            tuple(f["path"] for f in r["files"]),
-        )
-        for r in rows.collect()
-    ]
+    seen: Counter[str] = Counter()
+    sets = []
+    for r in rows.collect():
+        newest = r["m"]
+        name = newest["physical_name"]
+        load_id = f"{run_id}.{seen[name]}" if seen[name] else run_id
+        seen[name] += 1
+        paths = tuple(f["path"] for f in r["files"])
+        sets.append(FileSet(load_id, r["table_name"], newest["config_name"], name, newest["effective_mode"], paths))
+    return sets
 
 
 def load_table(
@@ -91,11 +100,15 @@ def load_table(
 
     started = time.monotonic()
     extract = read_file_set(spark, files.paths)
-    log_id = F.md5(F.concat(F.col("_metadata.file_path"), F.lit(run_id)))
-    rows = raw.to_raw(extract, run_ts, F.col("_metadata.file_name"), log_id)
-    layers.replace("raw", raw.raw_table_name(spec.table_name, spec.config_name), rows)
-    stored = layers.read("raw", raw.raw_table_name(spec.table_name, spec.config_name))
+    path = scanned_path()
+    file_name = F.element_at(F.split(path, "/"), -1)
+    raw_name = raw.raw_table_name(spec.table_name, spec.config_name)
+    rows = raw.to_raw(extract, run_ts, file_name, monitoring.file_log_id(path, run_id))
+    layers.replace("raw", raw_name, rows)
+    stored = layers.read("raw", raw_name)
     raw_count = stored.count()
+    counts = stored.groupBy(F.col(FILE_LOG_ID).alias("log_id")).agg(F.count(F.lit(1)).alias("row_count"))
+    layers.append("monitoring", "file_rows", counts, f"{files.load_id}-{name}")
     record("raw", raw_count, raw_count, 0, started)
 
     started = time.monotonic()
@@ -104,21 +117,35 @@ def load_table(
         numbered = stored.select("*", F.col("_metadata.row_index").alias("_row_index"))
         checked = staging.with_cast_error(numbered, spec.columns)
         bad = raw.load_errors(checked, name, F.col("_row_index"))
-        layers.append("raw", "raw_load_errors", bad, f"{run_id}-{name}")
+        layers.append("raw", "raw_load_errors", bad, f"{files.load_id}-{name}")
         good = raw.accepted(checked).drop("_row_index")
-        failed = layers.load_rows("raw", "raw_load_errors", f"{run_id}-{name}").count()
+        failed = layers.load_rows("raw", "raw_load_errors", f"{files.load_id}-{name}").count()
     table = history_of(spec)
-    typed = staging.to_staging(good, spec.columns, run_id, run_ts, table.hash_columns)
-    batch = layers.stage(name, typed, run_id, reset=files.load_mode == FULL_RESET)
+    typed = staging.to_staging(good, spec.columns, files.load_id, run_ts, table.hash_columns)
+    batch = layers.stage(name, typed, files.load_id, reset=files.load_mode == FULL_RESET)
     staged = batch.count()
     record("staging", raw_count, staged, failed, started)
 
     started = time.monotonic()
-    merged = load_history(layers, name, batch, table, files.load_mode, run_ts, run_id)
+    merged = load_history(layers, name, batch, table, files.load_mode, run_ts, files.load_id)
     record("ods", staged, merged["total_rows"], 0, started)
     return stats
 
 
+def status_updates(layers: Layers, outcomes: DataFrame, run_id: str) -> DataFrame:
+    """File status updates of a run: the outcome of each loaded file and its rows in the raw layer."""
+    updates = outcomes.select(
+        monitoring.file_log_id(F.col("path"), run_id).alias("log_id"),
+        "status",
+        "error_message",
+        F.current_timestamp().cast("timestamp_ntz").alias("updated_at"),
+    )
+    counted = layers.find("monitoring", "file_rows")
+    if counted is None:
+        return updates.withColumn("row_count", F.lit(None).cast("bigint"))
+    return updates.join(counted.groupBy("log_id").agg(F.max("row_count").alias("row_count")), "log_id", "left")
+
+
 def run(
     spark: SparkSession,
     landing_root: str,
@@ -131,25 +158,33 @@ def run(
     quarantine: bool = False,
 ) -> DataFrame:
     """Load everything that has landed; returns the run's table statistics."""
-    listing = scan_landing(spark, landing_root, run_ts, tables=only)
+    # the inventory may have read every landed byte, so it is stored once and read back
+    layers.append("monitoring", "inventory", scan_landing(spark, landing_root, run_ts, tables=only), run_id)
+    listing = layers.load_rows("monitoring", "inventory", run_id)
     ready = enrich(landing.discovered(listing), tables)
     resolved = landing.resolve_file_sets(ready)
-    layers.append("monitoring", "file_log", monitoring.file_log_rows(ready, run_id, run_ts), run_id)
+    log = monitoring.file_log_rows(ready, run_id, run_ts)
+    layers.append("monitoring", "file_log", log, run_id)
 
     stats: list[tuple] = []
-    for files in file_sets(resolved):
+    outcomes: list[tuple] = []
+    for files in file_sets(resolved, run_id):
         started = time.monotonic()
         try:
             spec = load_spec(tables, columns, files.table_name, files.config_name)
             if spec is None:
                 raise LookupError(f"table not in catalog: {files.physical_name}")
             stats.extend(load_table(layers, files, spec, run_id, run_ts, quarantine))
+            outcomes.extend((path, COMPLETED, None) for path in files.paths)
         except Exception as error:  # noqa: BLE001 - one table must not stop the run
             seconds = time.monotonic() - started
             message = str(error)[: monitoring.ERROR_LENGTH]
             name, mode = files.physical_name, files.load_mode
             stats.append((run_id, "run", name, 0, 0, 0, seconds, mode, FAILED, message))
+            outcomes.extend((path, FAILED, message) for path in files.paths)
 
+    updates = status_updates(layers, spark.createDataFrame(outcomes, OUTCOME_SCHEMA), run_id)
+    layers.append("monitoring", "file_log", monitoring.update_file_status(log, updates), run_id)
     rows = spark.createDataFrame(stats, TABLE_STAT_SCHEMA)
     layers.append("monitoring", "table_stats", rows, run_id)
     recorded = layers.load_rows("monitoring", "table_stats", run_id)

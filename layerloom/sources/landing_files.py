@@ -42,6 +42,14 @@ def _or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) -
         return spark.createDataFrame([], schema)
 
 
+def scanned_path() -> Column:
+    """Path of the scanned file as the ``binaryFile`` source spells it.
+
+    ``_metadata.file_path`` is percent-encoded, but leaves ``+`` alone.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column, suffix: str) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), f"{suffix}$", "")
 
@@ -78,7 +86,7 @@ def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
     def load() -> DataFrame:
         rows = _json(spark, folder, "*_metadata.json", METADATA_JSON)
         return rows.select(
-            base_name(F.col("_metadata.file_path"), r"_metadata\.json").alias("base_name"),
+            base_name(scanned_path(), r"_metadata\.json").alias("base_name"),
             F.col("_corrupt").isNull().alias("readable"),
             "table_name",
             "config_name",
@@ -100,7 +108,7 @@ def read_status(spark: SparkSession, folder: str) -> DataFrame:
     def load() -> DataFrame:
         rows = _json(spark, folder, "*_status.json", STATUS_JSON)
         return rows.select(
-            base_name(F.col("_metadata.file_path"), r"_status\.json").alias("base_name"),
+            base_name(scanned_path(), r"_status\.json").alias("base_name"),
             F.col("_corrupt").isNull().alias("readable"),
             "status",
             "error",
@@ -117,7 +125,7 @@ def count_rows(spark: SparkSession, *paths: str) -> DataFrame:
     and empty files give no row.
     """
     scan = spark.read.schema("`__probe` int").option("ignoreCorruptFiles", True).parquet(*paths)
-    return scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+    return scan.groupBy(scanned_path().alias("file_path")).agg(
         F.count(F.lit(1)).alias("actual_row_count")
     )
 

@@ -74,6 +74,9 @@ class Layers:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
+    def find(self, layer: str, table: str) -> DataFrame | None:
+        return self._read(self.path(layer, table))
+
     # -- raw, reference and log tables ---------------------------------------
 
     def replace(self, layer: str, table: str, rows: DataFrame, *partitions: str) -> str:

@@ -67,18 +67,24 @@ def by_table(stats):
 def test_full_run(spark, tmp_path, catalogs):
     layers = Layers(spark, str(tmp_path / "warehouse"))
     one = Folder(tmp_path / "day1")
-    land(one, "client_1", "client", clients([1, 2, 3], ["a\x01", "None", "c"]), FULL, "2024-01-01T00:00:00")
+    land(one, "client 1+é", "client", clients([1, 2, 3], ["a\x01", "None", "c"]), FULL, "2024-01-01T00:00:00")
     land(one, "stock_1", "stock", {"id": [1], "qty": ["many"]}, INCREMENTAL, "2024-01-01T00:00:00")
     land(one, "ghost_1", "ghost", {"id": [1]}, FULL, "2024-01-01T00:00:00")
     stats = by_table(run(spark, str(one.root), layers, *catalogs, "run-1", T[0]))
     assert stats["ods", "client"]["rows_loaded"] == 3
     assert stats["run", "stock"]["status"] == "FAILED" and "CAST_INVALID_INPUT" in stats["run", "stock"]["error_message"]
     assert "not in catalog" in stats["run", "ghost"]["error_message"]
+    log = layers.load_rows("monitoring", "file_log", "run-1")
+    assert rows(log.select("table_name", "processing_status", "row_count", F.col("processed_at").isNotNull())) == [
+        ("client", "COMPLETED", 3, True),
+        ("ghost", "FAILED", None, True),
+        ("stock", "FAILED", 1, True),
+    ]
     raw = layers.read("raw", "raw_client")
     assert rows(raw.select("cod_cli", "nom", "znu", "_source_file")) == [
-        ("1", "a", "1.50;?;2", "client_1.parquet"),
-        ("2", "", "1.50;?;2", "client_1.parquet"),
-        ("3", "c", "1.50;?;2", "client_1.parquet"),
+        ("1", "a", "1.50;?;2", "client 1+é.parquet"),
+        ("2", "", "1.50;?;2", "client 1+é.parquet"),
+        ("3", "c", "1.50;?;2", "client 1+é.parquet"),
     ]
     live = layers.live("client")
     assert dict(live.dtypes)["znu_1"] == "decimal(17,2)" and dict(live.dtypes)["cod_cli"] == "int"
@@ -119,6 +125,25 @@ def test_quarantine(spark, tmp_path, catalogs):
     ]
 
 
+def test_files_of_separate_configurations(spark, tmp_path):
+    """Two extracts of one configuration of a multi-configuration table: two loads in one run."""
+    tables = spark.createDataFrame([("lisval", None, "id", True, None, True)], catalog.TABLE_CATALOG_SCHEMA)
+    columns = spark.createDataFrame(
+        [("lisval", n, "TEXT", "character", True, None, None, 0, i) for i, n in enumerate(("id", "v"))],
+        catalog.COLUMN_CATALOG_SCHEMA,
+    )
+    layers = Layers(spark, str(tmp_path / "warehouse"))
+    folder = Folder(tmp_path / "landing")
+    land(folder, "lisval_1", "lisval", {"id": ["1"], "v": ["a"]}, INCREMENTAL, "2024-01-01T00:00:00")
+    land(folder, "lisval_2", "lisval", {"id": ["1", "2"], "v": ["b", "c"]}, INCREMENTAL, "2024-01-02T00:00:00")
+    run(spark, str(folder.root), layers, tables, columns, "run-1", T[0])
+    assert rows(layers.history("lisval").select("id", "v", "_etl_is_current", "_etl_run_id")) == [
+        ("1", "a", False, "run-1"),
+        ("1", "b", True, "run-1.1"),
+        ("2", "c", True, "run-1.1"),
+    ]
+
+
 TABLE = History(keys=("id",), columns=("id", "v"))
 
 
