@@ -12,6 +12,7 @@ MAX_LENGTH = 100_000
 MAX_ISSUES_PER_TYPE = 100
 SAMPLE_LENGTH = 100
 DELIMITERS = (";", "|", "\t")
+SAMPLE_ROWS = 10_000
 SEVERITY = {
     "unescaped_quotes": "warning",
     "control_characters": "warning",
@@ -30,6 +31,11 @@ SUGGESTION = {
 }
 
 
+def head(df: DataFrame, row_number: Column, n: int) -> DataFrame:
+    """The first ``n`` rows of a file by row number: a filter, not a sort."""
+    return df.filter(row_number <= n)
+
+
 def cells(df: DataFrame, row_number: Column, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per non-NULL cell: ``row_number, col_pos, column_name, value``.
 
@@ -131,6 +137,11 @@ def summary(tall: DataFrame) -> DataFrame:
     return _described(both).select("issue_type", "severity", "issue_count")
 
 
+def counts_of(found: DataFrame) -> DataFrame:
+    """Counts over an issue report (:func:`issues`), so over what the cap let through."""
+    return found.groupBy("issue_type", "severity").agg(F.count(F.lit(1)).alias("issue_count"))
+
+
 def report(counts: DataFrame, table_name: str) -> DataFrame:
     """One row per table: totals by severity; it passes without errors."""
 

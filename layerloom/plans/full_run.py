@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.constants import COMPLETED, FAILED, FILE_LOG_ID, FULL_RESET
-from layerloom.operators import landing, monitoring, raw, staging
+from layerloom.operators import landing, monitoring, quality, raw, staging
 from layerloom.operators.catalog import TableSpec, enrich, load_spec
 from layerloom.operators.scd2 import History
 from layerloom.plans.history_load import load_history
@@ -82,6 +82,16 @@ def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
     return sets
 
 
+def quality_report(layers: Layers, extract: DataFrame, name: str, load_id: str) -> None:
+    """Issues and report over the first rows of each file; a bad report does not stop the load."""
+    names = extract.columns
+    numbered = extract.select("*", (F.col("_metadata.row_index") + 1).alias("_row"))
+    tall = quality.cells(quality.head(numbered, F.col("_row"), quality.SAMPLE_ROWS), F.col("_row"), names)
+    layers.append("monitoring", "quality_issues", quality.issues(tall, name), f"{load_id}-{name}")
+    found = layers.load_rows("monitoring", "quality_issues", f"{load_id}-{name}")
+    layers.append("monitoring", "quality_reports", quality.report(quality.counts_of(found), name), f"{load_id}-{name}")
+
+
 def load_table(
     layers: Layers,
     files: FileSet,
@@ -89,6 +99,7 @@ def load_table(
     run_id: str,
     run_ts: str,
     quarantine: bool = False,
+    check_quality: bool = False,
 ) -> list[tuple]:
     """One table through raw, staging and history; its statistics rows."""
     spark, name = layers.spark, spec.physical_name
@@ -100,6 +111,8 @@ def load_table(
 
     started = time.monotonic()
     extract = read_file_set(spark, files.paths)
+    if check_quality:
+        quality_report(layers, extract, name, files.load_id)
     path = scanned_path()
     file_name = F.element_at(F.split(path, "/"), -1)
     raw_name = raw.raw_table_name(spec.table_name, spec.config_name)
@@ -156,6 +169,7 @@ def run(
     run_ts: str,
     only: list[str] | None = None,
     quarantine: bool = False,
+    check_quality: bool = False,
 ) -> DataFrame:
     """Load everything that has landed; returns the run's table statistics."""
     # the inventory may have read every landed byte, so it is stored once and read back
@@ -174,7 +188,7 @@ def run(
             spec = load_spec(tables, columns, files.table_name, files.config_name)
             if spec is None:
                 raise LookupError(f"table not in catalog: {files.physical_name}")
-            stats.extend(load_table(layers, files, spec, run_id, run_ts, quarantine))
+            stats.extend(load_table(layers, files, spec, run_id, run_ts, quarantine, check_quality))
             outcomes.extend((path, COMPLETED, None) for path in files.paths)
         except Exception as error:  # noqa: BLE001 - one table must not stop the run
             seconds = time.monotonic() - started

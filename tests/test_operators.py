@@ -288,3 +288,17 @@ def test_retention_keeps_unknown_rows(spark):
     kept = upkeep.purge(log, upkeep.expired_files(NOW))
     assert rows(kept.select("id")) == [("failed",), ("new",), ("none",), ("odd",)]
     assert rows(upkeep.purge_counts(log, upkeep.expired_logs(NOW, "detected_at"))) == [(3, 2)]
+
+
+def test_reference_documents(spark, tmp_path):
+    from layerloom.sources import reference_files
+
+    (tmp_path / "codes.json").write_text('{"EUR": "Euro",\n "USD": "US Dollar"}')
+    (tmp_path / "rates.json").write_text('{"result": "success", "rates": {"EUR": 1, "USD": 1.0834567}}')
+    codes = reference_files.read_currency_codes(spark, str(tmp_path / "codes.json"))
+    assert rows(refdata.currency_codes(codes, NOW).select("code", "name")) == [("EUR", "Euro"), ("USD", "US Dollar")]
+    rates = reference_files.read_exchange_rates(spark, str(tmp_path / "rates.json"), "2024-06-30")
+    assert rows(refdata.rate_rows(rates, NOW).select("currency_code", "rate", "rate_date")) == [
+        ("EUR", Decimal("1.000000"), dt.date(2024, 6, 30)),
+        ("USD", Decimal("1.083457"), dt.date(2024, 6, 30)),
+    ]

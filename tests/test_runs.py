@@ -115,12 +115,14 @@ def test_full_run(spark, tmp_path, catalogs):
 def test_quarantine(spark, tmp_path, catalogs):
     layers = Layers(spark, str(tmp_path / "warehouse"))
     folder = Folder(tmp_path / "landing")
-    land(folder, "stock_1", "stock", {"id": ["1", "2", "x"], "qty": ["7", "many", "?"]}, FULL, "2024-01-01T00:00:00")
-    stats = by_table(run(spark, str(folder.root), layers, *catalogs, "run-1", T[0], quarantine=True))
+    land(folder, "stock_1", "stock", {"id": ["1", "2", "x"], "qty": ["7", "ma;\ny", "?"]}, FULL, "2024-01-01T00:00:00")
+    stats = by_table(run(spark, str(folder.root), layers, *catalogs, "run-1", T[0], quarantine=True, check_quality=True))
     assert stats["staging", "stock"]["rows_loaded"] == 1 and stats["staging", "stock"]["rows_failed"] == 2
+    report = layers.load_rows("monitoring", "quality_reports", "run-1-stock")
+    assert rows(report) == [("stock", 2, 0, 1, True)]
     errors = layers.load_rows("raw", "raw_load_errors", "run-1-stock")
     assert rows(errors.select("row_number_in_chunk", "error_message", "row_data_sample")) == [
-        (1, "invalid INTEGER in column 'qty'", '{"id":"2","qty":"many"}'),
+        (1, "invalid INTEGER in column 'qty'", '{"id":"2","qty":"ma;\\ny"}'),
         (2, "invalid INTEGER in column 'id'", '{"id":"x","qty":"?"}'),
     ]
 
