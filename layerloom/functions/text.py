@@ -30,24 +30,22 @@ def blank_null_tokens(text: Column) -> Column:
     return F.when(text.isNull() | text.isin(*NULL_TOKENS), F.lit("")).otherwise(text)
 
 
-def double_digits(number: Column) -> Column:
-    """A double in positional notation without trailing zeros (``112946.26``, ``100.``).
+def positional(text: Column) -> Column:
+    """The text of a floating number without exponent (``1.23456789E8`` to ``123456789.0``).
 
-    Spark prints an exponent from 10^7 on, which numeric columns of other
-    systems spell out. Outside [1e-4, 1e16) the exponent form is kept.
+    Spark prints an exponent below 10^-3 and from 10^7 on, which numeric
+    columns of other systems spell out. Outside [1e-4, 1e16) it is kept.
     """
-    size = F.abs(number)
-    spelled = ((size >= 1e-4) & (size < 1e16)) | (size == 0)
-    plain = F.rtrim(number.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    return F.when(spelled, plain).otherwise(number.cast("string"))
+    size = F.abs(text.try_cast("double"))
+    digits = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(text.contains("E") & (size >= 1e-4) & (size < 1e16), plain).otherwise(text)
 
 
 def base_text(cell: Column, data_type: T.DataType) -> Column:
     """First step to raw-layer text: the cell's characters."""
     if isinstance(data_type, (T.StringType, T.BinaryType)):
         return sanitize(cell.cast("string"))
-    if isinstance(data_type, T.DoubleType):
-        return double_digits(cell)
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(cell)
     return cell.cast("string")
@@ -57,9 +55,6 @@ def final_text(text: Column, data_type: T.DataType) -> Column:
     """Second step, on a plain column holding :func:`base_text`: missing values blanked."""
     if isinstance(data_type, (T.StringType, T.BinaryType)):
         return blank_null_tokens(text)
-    if isinstance(data_type, T.DoubleType):
-        whole = F.when(text.endswith("."), F.concat(text, F.lit("0"))).otherwise(text)
-        return F.when(text.isNull() | (text == "NaN"), F.lit("")).otherwise(whole)
-    if isinstance(data_type, T.FloatType):
-        return F.when(text.isNull() | (text == "NaN"), F.lit("")).otherwise(text)
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return F.when(text.isNull() | (text == "NaN"), F.lit("")).otherwise(positional(text))
     return F.coalesce(text, F.lit(""))
