@@ -31,6 +31,18 @@ def skew_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop("_spread")
 
 
+def unmatched(source: DataFrame, target: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Source rows, unique by ``keys``, with no target row equal in ``on``.
+
+    The target is first cut to the matching keys: a semi join over narrow
+    columns, which broadcasts a small source instead of shuffling the target.
+    What is left is at most one row per source key and joins on ``keys``
+    alone, so a source partitioned by its keys stays where it is.
+    """
+    matched = skew_safe_join(target.select(*on), source.select(*on), on, "left_semi")
+    return source.join(matched.select(*keys).distinct(), list(keys), "left_anti")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key under ``order``; NULL keys form one group.
 
@@ -71,7 +83,7 @@ def upsert(
         ]
     )
     added_names = set(insert_columns if insert_columns is not None else base.columns) | set(keys)
-    added = updates.join(base.select(*keys), list(keys), "left_anti").select(
+    added = unmatched(updates, base, keys, keys).select(
         *[
             (F.col(f.name) if f.name in added_names else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in base.schema
@@ -82,5 +94,5 @@ def upsert(
 
 def insert_absent(base: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """``base`` plus the first row of every key it does not hold yet."""
-    fresh = rows.join(base.select(*keys), list(keys), "left_anti")
-    return base.unionByName(latest_per_key(fresh, keys, order).select(*base.columns))
+    first = latest_per_key(rows, keys, order)
+    return base.unionByName(unmatched(first, base, keys, keys).select(*base.columns))

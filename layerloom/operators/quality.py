@@ -22,6 +22,8 @@ SEVERITY = {
 }
 # --- end of fixed values -----------------------------------------------------
 
+RANKING_PARTS = 256
+
 SUGGESTION = {
     "unescaped_quotes": "quotes are escaped when the file is loaded",
     "control_characters": "replace tabs and line breaks by spaces",
@@ -107,15 +109,20 @@ def _described(issues: DataFrame) -> DataFrame:
     return issues.select("*", by_kind(SEVERITY).alias("severity"), by_kind(SUGGESTION).alias("suggestion"))
 
 
+def _first(found: DataFrame, groups: Sequence[str], n: int) -> DataFrame:
+    order = Window.partitionBy(*groups).orderBy("col_pos", "row_number")
+    return found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+
+
 def issues(tall: DataFrame, table_name: str, per_type: int = MAX_ISSUES_PER_TYPE) -> DataFrame:
     """The issue report: the first ``per_type`` issues of each kind, column by column.
 
     The cap is the report's size; :func:`summary` counts everything. It runs
-    map side first, so no task receives more than ``per_type`` rows per kind
-    from each input partition.
+    within salted parts of a kind first: of the many issues of one kind, the
+    task that ranks the kind sees ``per_type`` rows per part.
     """
-    order = Window.partitionBy("issue_type").orderBy("col_pos", "row_number")
-    capped = cell_issues(tall).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_type).drop("_n")
+    salted = cell_issues(tall).withColumn("_part", F.pmod(F.xxhash64("col_pos", "row_number"), F.lit(RANKING_PARTS)))
+    capped = _first(_first(salted, ["issue_type", "_part"], per_type).drop("_part"), ["issue_type"], per_type)
     quoted = F.concat(F.lit("'"), F.col("delimiter"), F.lit("'"))
     general = delimiter_counts(tall).select(
         F.lit(0).cast("bigint").alias("row_number"),

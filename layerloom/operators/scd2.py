@@ -33,7 +33,7 @@ from layerloom.constants import (
     VALID_TO,
 )
 from layerloom.functions.hashing import hashdiff
-from layerloom.operators.keyed import latest_per_key, moment, skew_safe_join
+from layerloom.operators.keyed import latest_per_key, moment, skew_safe_join, unmatched
 
 KEEP, CLOSE, DELETE = "keep", "close", "delete"
 INSERT, NOOP = "insert", "noop"
@@ -150,26 +150,14 @@ def soft_delete(history: DataFrame, batch: DataFrame, table: History, run_ts: da
     return _applied(rows.filter(F.col("_action") == DELETE), moment(run_ts))
 
 
-def _without_match(source: DataFrame, target: DataFrame, on: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Source rows (unique by ``keys``) with no target row equal in ``on``.
-
-    The target is first cut to the matching keys: a semi join over narrow
-    columns, which broadcasts a small source instead of shuffling the target.
-    What is left is at most one row per source key and joins on ``keys``
-    alone, so the wide source keeps the partitioning its dedup gave it.
-    """
-    matched = skew_safe_join(target.select(*on), source.select(*on), on, "left_semi")
-    return source.join(matched.select(*keys).distinct(), list(keys), "left_anti")
-
-
 def to_insert(live: DataFrame, source: DataFrame, table: History) -> DataFrame:
     """Source rows with no live version of the same key and content."""
-    return _without_match(source, live, [*table.keys, HASHDIFF], table.keys)
+    return unmatched(source, live, [*table.keys, HASHDIFF], table.keys)
 
 
 def new_keys(history: DataFrame, source: DataFrame, table: History) -> DataFrame:
     """Source rows whose key has no version at all, live or past."""
-    return _without_match(source, history, table.keys, table.keys)
+    return unmatched(source, history, table.keys, table.keys)
 
 
 def _null_key(table: History) -> Column:

@@ -8,12 +8,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "layerloom", master: str | None = None, **conf: str) -> SparkSession:
+# A shuffle partition of this size sorts in an executor core's share of memory.
+SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 200_000
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Initial partition count for the largest shuffle expected; AQE merges what is too small."""
+    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)))
+
+
+def build_session(
+    app_name: str = "layerloom", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the library is tuned for.
 
     AQE picks the final partition counts, splits skewed join partitions and
     turns a join into a broadcast once the *measured* side is below the
     threshold, so no operator carries a broadcast hint of its own.
+    ``shuffle_bytes`` is the size of the largest shuffle expected.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -24,8 +37,11 @@ def build_session(app_name: str = "layerloom", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         **conf,
     }
+    if shuffle_bytes is not None:
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffle_bytes)))
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -1,16 +1,44 @@
-"""The file stream feeding a history."""
+"""Stored histories: two loads through the store, and the file stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import RUN_ID
+from layerloom.constants import FULL, RUN_ID
+from layerloom.plans.history_load import load_history
 from layerloom.session import work_dir
 from layerloom.sources.layers import Layers
 from layerloom.streaming.feed import feed_history, landed_stream
-from layerloom.workload.histories import ORDER_COLUMNS, ORDERS, _hash_sql
-from layerloom.workload.registry import FIRST_TS, query, table
+from layerloom.workload.histories import (
+    LINE_COLUMNS,
+    LINE_KEYS,
+    LINES,
+    LINES_SQL,
+    ORDER_COLUMNS,
+    ORDERS,
+    _hash_sql,
+    _merge_sql,
+    first_lines,
+    second_lines,
+)
+from layerloom.workload.registry import FIRST_TS, SECOND_TS, query, table
+
+
+@query("scd2_stored_history", _merge_sql(LINES_SQL, LINE_KEYS, LINE_COLUMNS, FULL))
+def stored_history(spark: SparkSession, folder: str) -> DataFrame:
+    layers = Layers(spark, work_dir(spark, "stored-history"))
+    load_history(layers, "lines", first_lines(spark, folder), LINES, FULL, FIRST_TS, "run-1")
+    load_history(layers, "lines", second_lines(spark, folder), LINES, FULL, SECOND_TS, "run-2")
+    return layers.history("lines")
+
+
+@query("scd2_compacted_history", _merge_sql(LINES_SQL, LINE_KEYS, LINE_COLUMNS, FULL))
+def compacted_history(spark: SparkSession, folder: str) -> DataFrame:
+    layers = Layers(spark, work_dir(spark, "compacted-history"))
+    load_history(layers, "lines", first_lines(spark, folder), LINES, FULL, FIRST_TS, "run-1")
+    load_history(layers, "lines", second_lines(spark, folder), LINES, FULL, SECOND_TS, "run-2", compact_after=1)
+    return layers.history("lines")
 
 
 @query(

@@ -302,3 +302,21 @@ def test_reference_documents(spark, tmp_path):
         ("EUR", Decimal("1.000000"), dt.date(2024, 6, 30)),
         ("USD", Decimal("1.083457"), dt.date(2024, 6, 30)),
     ]
+
+
+def test_shuffle_partitions():
+    from layerloom.session import shuffle_partitions
+
+    assert shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(50 * 10**12) == 93_133
+    assert shuffle_partitions(10**15) == 200_000
+
+
+def test_work_dir_is_under_the_shared_folder(spark):
+    from layerloom.session import work_dir
+
+    spark.conf.set("spark.checkpoint.dir", "/shared/folder/")
+    try:
+        assert work_dir(spark, "x").startswith("/shared/folder/x-")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

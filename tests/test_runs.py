@@ -199,6 +199,12 @@ def test_compaction_changes_nothing_to_see(spark, tmp_path):
     load_history(layers, "t", frame(spark, (3, "C")), TABLE, INCREMENTAL, T[2], "run-3")
     before = rows(layers.history("t"))
     assert len(layers.commits("t").deltas) == 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = layers.history("t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan
     assert layers.compact("t") and not layers.compact("t")
     assert layers.commits("t").deltas == () and len(layers.commits("t").bases) == 2
     assert rows(layers.history("t")) == before
