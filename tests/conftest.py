@@ -14,7 +14,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def checkpoint_dir(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("checkpoint"))
+
+
+@pytest.fixture(scope="session")
+def spark(checkpoint_dir):
     session = build_session(
         "tests",
         "local[8]",
@@ -22,6 +27,7 @@ def spark():
             "spark.sql.shuffle.partitions": "2",
             "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": checkpoint_dir,
             "spark.driver.memory": "4g",
         },
     )

@@ -312,11 +312,8 @@ def test_shuffle_partitions():
     assert shuffle_partitions(10**15) == 200_000
 
 
-def test_work_dir_is_under_the_shared_folder(spark):
+def test_work_dir_is_under_the_shared_folder(spark, checkpoint_dir):
     from layerloom.session import work_dir
 
-    spark.conf.set("spark.checkpoint.dir", "/shared/folder/")
-    try:
-        assert work_dir(spark, "x").startswith("/shared/folder/x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert work_dir(spark, "x").startswith(f"{checkpoint_dir}/x-")
+    assert work_dir(spark, "x") != work_dir(spark, "x")
