@@ -125,7 +125,11 @@ def widths(columns: DataFrame) -> DataFrame:
     )
 
 
+# --- fixed values: what a column entry must have, and the messages if not ----
 REQUIRED_FIELDS = ("column_name", "data_type", "progress_type")
+NO_COLUMNS = "Empty columns list"
+MISSING_FIELD = "missing field '{}'"
+# --- end of fixed values -----------------------------------------------------
 
 
 def validate(tables: DataFrame, columns: DataFrame) -> DataFrame:
@@ -133,10 +137,10 @@ def validate(tables: DataFrame, columns: DataFrame) -> DataFrame:
     empty = tables.join(columns.select("table_name"), "table_name", "left_anti").select(
         "table_name",
         F.lit(None).cast("int").alias("progress_order"),
-        F.lit("Empty columns list").alias("error"),
+        F.lit(NO_COLUMNS).alias("error"),
     )
     checks = F.array(
-        *[F.when(F.col(name).isNull(), F.lit(f"missing field '{name}'")) for name in REQUIRED_FIELDS]
+        *[F.when(F.col(name).isNull(), F.lit(MISSING_FIELD.format(name))) for name in REQUIRED_FIELDS]
     )
     found = columns.select("table_name", "progress_order", F.explode(F.array_compact(checks)).alias("error"))
     return empty.unionByName(found)

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from layerloom.constants import COMPLETED, FAILED, PENDING
 from layerloom.operators.keyed import insert_absent, latest_per_key, moment
 
-# --- fixed values: thresholds ------------------------------------------------
+# --- fixed values: thresholds and messages -----------------------------------
 SPIKE_FACTOR = 1.2
 SLOW_SECONDS = 600
 GOOD_QUALITY = 0.9
 FAIR_QUALITY = 0.7
 ERROR_LENGTH = 500
+NOTHING_LOADED = ("ERROR", "rows_loaded", "Source has rows but nothing loaded")
+VOLUME_SPIKE = ("WARNING", "volume_spike", "Loaded rows unusually high")
+SLOW_TABLE = ("WARNING", "duration", "Table processing very slow")
 # --- end of fixed values -----------------------------------------------------
 
 
@@ -105,15 +108,14 @@ def anomalies(stats: DataFrame) -> DataFrame:
     """One row per broken rule of a table load; the rules are independent."""
     source, loaded = F.col("rows_source"), F.col("rows_loaded")
 
-    def rule(hit: Column, level: str, metric: str, message: str) -> Column:
-        return F.when(
-            hit, F.struct(F.lit(level).alias("level"), F.lit(metric).alias("metric"), F.lit(message).alias("message"))
-        )
+    def rule(hit: Column, finding: tuple[str, str, str]) -> Column:
+        fields = zip(finding, ("level", "metric", "message"), strict=True)
+        return F.when(hit, F.struct(*[F.lit(text).alias(name) for text, name in fields]))
 
     rules = F.array(
-        rule((source > 0) & (loaded == 0), "ERROR", "rows_loaded", "Source has rows but nothing loaded"),
-        rule(loaded > source * F.lit(SPIKE_FACTOR), "WARNING", "volume_spike", "Loaded rows unusually high"),
-        rule(F.col("duration_sec") > SLOW_SECONDS, "WARNING", "duration", "Table processing very slow"),
+        rule((source > 0) & (loaded == 0), NOTHING_LOADED),
+        rule(loaded > source * F.lit(SPIKE_FACTOR), VOLUME_SPIKE),
+        rule(F.col("duration_sec") > SLOW_SECONDS, SLOW_TABLE),
     )
     found = stats.select("run_id", "layer", "table_name", F.explode(F.array_compact(rules)).alias("a"))
     return found.select("run_id", "layer", "table_name", "a.level", "a.metric", "a.message")
