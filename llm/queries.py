@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
-from llm import merge_replay, packing, token_files
+from llm import language, merge_replay, packing, token_files, url_rules, vectors
 from llm.common import stored, table
 
 SEQUENCE = 2048
@@ -37,3 +38,31 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op6_merge_replay(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return merge_replay.encode_decode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op7_nearest_centroid_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    held = docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language.predict(held, model)
+
+
+@query
+def op8_product_quantised_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+# The rules of the contract.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+@query
+def op9_url_association_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
