@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
-from llm import language, merge_replay, packing, token_files, url_rules, vectors
+from llm import language, merge_replay, packing, quality, token_files, url_rules, vectors
 from llm.common import stored, table
 
 SEQUENCE = 2048
@@ -27,6 +27,11 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, SEQUENCE)
 
 
+@query
+def op3_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents").select("doc_id", "text", "lang", "source")).drop("lang", "source")
+
+
 @query
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = work_dir(spark, "token-files")
