@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, purpose)
     df.write.parquet(path)
+    # Shuffle files of finished steps go once the driver's JVM finds them unreachable; ask it to look.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,3 +58,26 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
         labels = step.select("node", "component")
         if not changed:
             return labels
+
+
+def document_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, th, text) of rows: th tells texts under one id apart, a null id is the smallest long, a null text empty.
+
+    Repeated rows (same id and text) have one key, so they count as one document and share its result.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(whole).alias("th"), whole.alias("text")
+    )
+
+
+NO_ID = -(2**63)
+
+
+def real_id() -> Column:
+    return F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id")
+
+
+def spread_of(spark: SparkSession) -> int:
+    """Buckets for records that tasks pack themselves: as many as there are shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

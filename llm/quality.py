@@ -28,7 +28,7 @@ KEPT_SHARE, STEPS, LEAST_ROWS = 0.75, 3, 200
 # Chi-square quantiles for 5 dimensions: at KEPT_SHARE, at 0.975; and the consistency factors of covariances
 # computed within them, which make them unbiased for normal data.
 QUANTILE_KEPT, QUANTILE_REWEIGHT = 6.6257, 12.8325
-FACTOR_KEPT, FACTOR_REWEIGHT = 1.5117, 1.1057
+FACTOR_KEPT, FACTOR_REWEIGHT = 1.4121, 1.0555
 # Squared distance beyond which a document is rejected.
 CUTOFF = 60.0
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
-from llm import language, merge_replay, packing, quality, token_files, url_rules, vectors
+from llm import language, merge_replay, packing, passages, quality, token_files, url_rules, vectors
 from llm.common import stored, table
 
 SEQUENCE = 2048
@@ -71,3 +71,8 @@ URL_RULES = (
 @query
 def op9_url_association_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
+
+
+@query
+def op10_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, folder, "documents"))
