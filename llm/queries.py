@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
-from llm import language, merge_replay, packing, passages, quality, suffixes, token_files, url_rules, vectors
+from llm import language, merge_replay, near_text, packing, passages, quality, suffixes, token_files, url_rules, vectors
 from llm.common import stored, table
 
 SEQUENCE = 2048
@@ -81,3 +81,8 @@ def op10_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_text.near_duplicates(table(spark, folder, "documents"))
