@@ -60,15 +60,16 @@ def connected_components(edges: DataFrame, purpose: str) -> DataFrame:
             return labels
 
 
-def document_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, th, text) of rows: th tells texts under one id apart, a null id is the smallest long, a null text empty.
+def document_keys(docs: DataFrame, doc_id: str, text: str, carry: dict[str, str] | None = None) -> DataFrame:
+    """(id, th, text) of rows, and columns to carry along (new name: name): th tells texts under one id apart, a null id is the smallest long, a null text empty.
 
     Repeated rows (same id and text) have one key, so they count as one document and share its result.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(whole).alias("th"), whole.alias("text")
-    )
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(whole).alias("th"), whole.alias("text"),
+        *[F.col(f"`{name}`").alias(new) for new, name in (carry or {}).items()],
+    )
 
 
 NO_ID = -(2**63)
@@ -81,3 +82,9 @@ def real_id() -> Column:
 def spread_of(spark: SparkSession) -> int:
     """Buckets for records that tasks pack themselves: as many as there are shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keep_rows(docs: DataFrame, decisions: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of docs whose (doc_id, text_key) has kept in decisions; nulls count as equal."""
+    kept = decisions.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_id")) & (text_key(text) == F.col("_key")), "left_semi")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import connected_components, spread_of, stored
+from llm.common import connected_components, spread_of, stored, text_key
 from llm.passages import words_of
 from llm.suffixes import PACKED, SPOT, SPOTS, _heads, _map, _mixed, _reduce
 
@@ -175,15 +175,15 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, class_id (the smallest id of its class), kept (it is that one).
+    """Per row: doc_id, class_id (the smallest id of its class), kept (it is that one), text_key.
 
     Equal texts are one class whatever else; null counts as empty, and texts without words link with their
     exact copies only. Texts are told apart by a 64-bit hash. A null id is kept only where its class has no other id.
     Repeated rows are one document: both stay or go.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("node", F.xxhash64("text"))
+    rows = rows.withColumn("node", text_key("text"))
     found = components(rows.select("node", "text"))
-    placed = rows.select("doc_id", "node").join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
+    placed = rows.select("doc_id", "node").join(found, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
     classes = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(classes, "component").select("doc_id", "class_id", F.expr("doc_id <=> class_id").alias("kept"))
+    return placed.join(classes, "component").select("doc_id", "class_id", F.expr("doc_id <=> class_id").alias("kept"), F.col("node").alias("text_key"))

@@ -207,24 +207,28 @@ def repeats(docs: DataFrame) -> DataFrame:
     return stored(exchange(seeded.mapInArrow(_map_extensions(buckets), PACKED), buckets, _repeated_extensions), "passages")
 
 
-RESULT = "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+RESULT = "n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (kept words joined by spaces).
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, n_words, n_removed, kept_sha256, then the columns named in carry and, if asked for, kept_text.
 
+    kept_text is the text itself where nothing goes, else the kept words joined by spaces.
     Earlier means a smaller id (null smallest; under one id by the text's hash) or an earlier place in the
     same document. Null and empty texts have no words. Repeated rows are one document: it isn't earlier than
     itself, and each row gets its result.
     """
-    keyed = document_keys(docs, doc_id, text)
-    found = _per_document(repeats(keyed))
+    carried = [f"_c{k}" for k in range(len(carry))]
+    keyed = document_keys(docs, doc_id, text, dict(zip(carried, carry, strict=True)))
+    found = _per_document(repeats(keyed.select("id", "th", "text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, value, starts in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "spots")), strict=True):
+            for value, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "spots")), strict=True):
                 words, removed = words_of(value), 0
+                kept = " ".join(words)
+                shown = value
                 if starts:
                     change = np.zeros(len(words) + 1, np.int64)
                     at = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in starts]))
@@ -232,18 +236,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     np.add.at(change, at + THRESHOLD, -1)
                     covered = np.cumsum(change[:-1]) > 0
                     removed = int(covered.sum())
-                    kept = " ".join([w for w, c in zip(words, covered.tolist(), strict=True) if not c])
-                else:
-                    kept = " ".join(words)
+                    kept = shown = " ".join([w for w, c in zip(words, covered.tolist(), strict=True) if not c])
                 digest = hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest()
-                rows.append((key, len(words), removed, digest, kept if with_text else None))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
-
-    joined = keyed.join(found, ["id", "th"], "left").select("id", "text", "spots")
-    result = joined.mapInArrow(cut, RESULT).select(real_id(), "n_words", "n_removed", "kept_sha256", "kept_text")
-    return result if with_text else result.drop("kept_text")
+                rows.append((len(words), removed, digest, shown if with_text else None))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+            arrays = [batch.column(c) for c in ("id", *carried)] + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", *carried, "n_words", "n_removed", "kept_sha256", "kept_text"])
+
+    joined = keyed.join(found, ["id", "th"], "left").select("id", *carried, "text", "spots")
+    kinds = "".join(f"{c} {t}, " for c, t in joined.dtypes if c in ("id", *carried))
+    back = [F.col(c).alias(name) for c, name in zip(carried, carry, strict=True)]
+    return joined.mapInArrow(cut, kinds + RESULT).select(real_id(), "n_words", "n_removed", "kept_sha256", *back, *["kept_text"] * with_text)
