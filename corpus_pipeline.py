@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
 from llm import language, near_text, packing, passages, quality
-from llm.common import keep_rows, text_key
+from llm.common import importable, keep_rows, text_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SEQUENCE = 2048
@@ -54,12 +54,20 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE, 0), SEQUENCE)
 
 
+def _stage(function):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("language ID", language_id),
-    ("MinHash near-dedup", near_dedup),
-    ("substring dedup", substring_dedup),
-    ("best-fit packing", best_fit_packing),
+    ("quality rules", _stage(quality_rules)),
+    ("language ID", _stage(language_id)),
+    ("MinHash near-dedup", _stage(near_dedup)),
+    ("substring dedup", _stage(substring_dedup)),
+    ("best-fit packing", _stage(best_fit_packing)),
 ]
 
 #: The outlier, language and alignment stages can't be said in SQL; tests compare them with brute force.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,14 @@ from pyspark.sql import functions as F
 from layerloom.session import work_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets the Python workers import this package from where the driver does (a cluster has it installed or shared)."""
+    root, environment = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    places = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in places:
+        environment["PYTHONPATH"] = ":".join([root, *places])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

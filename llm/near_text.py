@@ -6,9 +6,10 @@ into text order: texts that differ by few edits share sketches, texts with the s
 words in another order don't. Candidates share a sketch; the link is decided by an
 alignment of the two shingle sequences inside the band that the threshold allows.
 
-A bucket's members aren't compared pairwise: each text is compared with one lead it
-shares most sketches with, linked texts become one component, and only members of
-one bucket that are still in different components are compared with each other.
+A bucket's members aren't compared pairwise: each text is compared with the lead it
+shares most sketches with, linked texts become one component, and only members of one bucket
+that are still in different components are compared with each other, unless the
+number of shingles they share with any text at all rules a link out.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import connected_components, spread_of, stored, text_key
@@ -107,6 +108,19 @@ def _places(_, node: int, th: int, text: str):
     return values, values, _heads(node, th, numbers, values)
 
 
+def _label_places(_, node: int, th: int, text: str):
+    marks = labels(text)
+    return (marks, marks, _heads(node, th, np.arange(len(marks)), marks, len(marks))) if len(marks) else None
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingles in all, shingles that others have) of the places found."""
+    for batch in batches:
+        spots = [np.frombuffer(x, SPOT) for x in batch.column("spots").to_pylist()]
+        n, s = [int(x["n"][0]) for x in spots], [len(x) for x in spots]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int32()), pa.array(s, pa.int32())], names=["node", "n", "s"])
+
+
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, sketch) rows."""
     for batch in batches:
@@ -152,23 +166,40 @@ def components(docs: DataFrame) -> DataFrame:
     texts = docs.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     texts = stored(texts, "candidate-texts")
 
-    leads = members.groupBy("sketch").agg(F.min("node").alias("lead"))
+    # The lead of a bucket is the member whose buckets are largest in all: what copies were made from, rather than a copy.
+    sizes = members.groupBy("sketch").agg(F.count("*").alias("size"))
+    standing = members.join(sizes, "sketch").groupBy("node").agg(F.sum("size").alias("standing"))
+    known = members.join(standing, "node")
+    leads = known.groupBy("sketch").agg(F.max(F.struct("standing", "node")).alias("lead")).select("sketch", F.col("lead.node").alias("lead"))
     best = members.join(leads, "sketch").where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("n"))
     best = best.groupBy("node").agg(F.max(F.struct("n", "lead")).alias("best"))
     first = stored(best.select(F.col("best.lead").alias("a"), F.col("node").alias("b")), "lead-pairs")
     links = stored(verified(first, texts), "links")
     found = connected_components(links, "near-text")
 
-    # What a bucket holds of other components, first as component pairs, then as their members.
+    # Members of buckets with several components, and how many of their shingles any other such text has.
     placed = members.join(found, "node", "left").select("sketch", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("sketch").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sketch")
     placed = stored(placed.join(mixed, "sketch", "left_semi"), "open-buckets")
-    kinds = placed.select("sketch", "component").distinct()
-    others = kinds.select("sketch", F.col("component").alias("other"))
-    meeting = kinds.join(others, "sketch").where("component < other")
-    left = meeting.join(placed, ["sketch", "component"]).select("sketch", "other", F.col("node").alias("x"))
-    right = placed.select("sketch", F.col("component").alias("other"), F.col("node").alias("y"))
-    crossing = left.join(right, ["sketch", "other"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    meant = texts.join(placed.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("id"), F.lit(0).alias("th"), "text")
+    moved = meant.mapInArrow(_map(buckets, False, _label_places), PACKED).repartition(buckets, "bucket").mapInArrow(_reduce(False), SPOTS)
+    counts = moved.mapInArrow(_counts, "node long, n int, s int").groupBy("node").agg(F.max("n").alias("n"), F.sum("s").alias("s"))
+    placed = stored(placed.join(counts.where(F.col("s") >= THRESHOLD * F.col("n")), "node"), "open-members")
+
+    # A link aligns at most the fewer shared shingles of the two. Component pairs that this rules out for their best
+    # members never meet; nor do members that it rules out.
+    def possible(s: str, s2: str, n: str, n2: str) -> Column:
+        most = F.least(s, s2)
+        return most >= THRESHOLD * (F.col(n) + F.col(n2) - most) - 1e-6
+
+    kinds = placed.groupBy("sketch", "component").agg(F.max("s").alias("s"), F.min("n").alias("n"))
+    others = kinds.select("sketch", F.col("component").alias("other"), F.col("s").alias("s2"), F.col("n").alias("n2"))
+    meeting = kinds.join(others, "sketch").where(F.col("component") < F.col("other")).where(possible("s", "s2", "n", "n2"))
+    meeting = meeting.select("sketch", "component", "other")
+    left = meeting.join(placed, ["sketch", "component"]).select("sketch", "other", F.col("node").alias("x"), "n", "s")
+    right = placed.select("sketch", F.col("component").alias("other"), F.col("node").alias("y"), F.col("n").alias("n2"), F.col("s").alias("s2"))
+    crossing = left.join(right, ["sketch", "other"]).where(possible("s", "s2", "n", "n2"))
+    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(verified(crossing.join(tried, ["a", "b"], "left_anti"), texts), "links")
     return connected_components(links.unionByName(more), "near-text")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
 from llm import language, merge_replay, near_text, packing, passages, quality, suffixes, token_files, url_rules, vectors
-from llm.common import stored, table
+from llm.common import importable, stored, table
 
 SEQUENCE = 2048
 
@@ -17,8 +17,12 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build):
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
