@@ -25,18 +25,34 @@ SPARK_NAMES = {
     "TIMESTAMP": "timestamp_ntz",
     "TIMESTAMP WITH TIME ZONE": "timestamp",
 }
+TEXT_NAMES = ("TEXT", "VARCHAR", "CHAR", "CHARACTER", "CHARACTER VARYING")
+ALIASES = {
+    "INT": "INTEGER",
+    "INT4": "INTEGER",
+    "INT8": "BIGINT",
+    "INT2": "SMALLINT",
+    "BOOL": "BOOLEAN",
+    "FLOAT": "DOUBLE PRECISION",
+    "FLOAT4": "REAL",
+    "FLOAT8": "DOUBLE PRECISION",
+    "DOUBLE": "DOUBLE PRECISION",
+    "TIMESTAMPTZ": "TIMESTAMP WITH TIME ZONE",
+    "TIMESTAMP WITHOUT TIME ZONE": "TIMESTAMP",
+    "STRING": "TEXT",
+}
 VARCHAR_LIMIT = 10_000
 ELEMENT_NUMERIC_PRECISION = 17
 # --- end of fixed values -----------------------------------------------------
 
-_SIZED = re.compile(r"^\s*([A-Z ]+?)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?\s*$")
+_SIZED = re.compile(r"^\s*([A-Z][A-Z0-9 ]*?)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?\s*$")
 
 
 def _parts(sql_type: str) -> tuple[str, int | None, int | None]:
     match = _SIZED.match(sql_type.upper())
     if match is None:
-        return "TEXT", None, None
+        raise ValueError(f"not a declared type: {sql_type!r}")
     name, first, second = match.groups()
+    name = ALIASES.get(name, name)
     return name, int(first) if first else None, int(second) if second else None
 
 
@@ -62,7 +78,11 @@ def spark_type(sql_type: str) -> str:
         return f"decimal({precision},{min(second or 0, precision)})"
     if name in BOOLEAN_NAMES:
         return "boolean"
-    return SPARK_NAMES.get(name, "string")
+    if name in TEXT_NAMES:
+        return "string"
+    if name not in SPARK_NAMES:
+        raise ValueError(f"unknown declared type: {sql_type!r}")
+    return SPARK_NAMES[name]
 
 
 def text_length(sql_type: str) -> int | None:

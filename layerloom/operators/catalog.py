@@ -203,7 +203,8 @@ def catalog_upsert(columns: DataFrame, dump: DataFrame) -> DataFrame:
     """The column catalog after a metadata dump.
 
     A match changes type, mandatory flag, width and scale only; a new column
-    also gets its order, while source type and extent stay unset.
+    also gets its order, while source type and extent stay unset. Of a column
+    that the dump repeats, the last one counts.
     """
     filled = dump.withColumns(
         {
@@ -211,4 +212,6 @@ def catalog_upsert(columns: DataFrame, dump: DataFrame) -> DataFrame:
             "progress_order": F.coalesce("progress_order", F.lit(0)),
         }
     )
+    rest = [F.desc(c) for c in ("progress_order", *CATALOG_UPDATED)]
+    filled = latest_per_key(filled, CATALOG_KEYS, rest)
     return upsert(columns, filled, CATALOG_KEYS, CATALOG_UPDATED, (*CATALOG_UPDATED, "progress_order"))

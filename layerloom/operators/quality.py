@@ -1,4 +1,4 @@
-"""Data quality checks over the text of an extract, in one pass."""
+"""Data quality checks over the text of a whole extract."""
 
 from __future__ import annotations
 
@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 # --- fixed values: issue kinds, severities and limits ------------------------
 MAX_LENGTH = 100_000
-MAX_ISSUES_PER_TYPE = 100
 SAMPLE_LENGTH = 100
 DELIMITERS = (";", "|", "\t")
-SAMPLE_ROWS = 10_000
 SEVERITY = {
     "unescaped_quotes": "warning",
     "control_characters": "warning",
@@ -24,20 +22,6 @@ SEVERITY = {
 
 RANKING_PARTS = 256
 
-SUGGESTION = {
-    "unescaped_quotes": "quotes are escaped when the file is loaded",
-    "control_characters": "replace tabs and line breaks by spaces",
-    "encoding_error": "fix the encoding at the source",
-    "excessive_length": "check whether the value is meant to be this long",
-    "delimiter_in_data": "delimiters are escaped when the file is loaded",
-}
-
-
-def head(df: DataFrame, row_number: Column, n: int) -> DataFrame:
-    """The first ``n`` rows of a file by row number: a filter, not a sort."""
-    return df.filter(row_number <= n)
-
-
 def cells(df: DataFrame, row_number: Column, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per non-NULL cell: ``row_number, col_pos, column_name, value``.
 
@@ -106,7 +90,7 @@ def _described(issues: DataFrame) -> DataFrame:
             chain = F.when(F.col("issue_type") == kind, F.lit(text)).otherwise(chain)
         return chain
 
-    return issues.select("*", by_kind(SEVERITY).alias("severity"), by_kind(SUGGESTION).alias("suggestion"))
+    return issues.select("*", by_kind(SEVERITY).alias("severity"))
 
 
 def _first(found: DataFrame, groups: Sequence[str], n: int) -> DataFrame:
@@ -114,15 +98,16 @@ def _first(found: DataFrame, groups: Sequence[str], n: int) -> DataFrame:
     return found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
 
 
-def issues(tall: DataFrame, table_name: str, per_type: int = MAX_ISSUES_PER_TYPE) -> DataFrame:
-    """The issue report: the first ``per_type`` issues of each kind, column by column.
+def issues(tall: DataFrame, table_name: str, per_type: int | None = None) -> DataFrame:
+    """The issue report: all issues, or a short list of the first ``per_type`` of each kind, column by column.
 
-    The cap is the report's size; :func:`summary` counts everything. It runs
-    within salted parts of a kind first: of the many issues of one kind, the
-    task that ranks the kind sees ``per_type`` rows per part.
+    A short list is ranked within salted parts of a kind first: of the many
+    issues of one kind, the task that ranks the kind sees ``per_type`` rows per part.
     """
-    salted = cell_issues(tall).withColumn("_part", F.pmod(F.xxhash64("col_pos", "row_number"), F.lit(RANKING_PARTS)))
-    capped = _first(_first(salted, ["issue_type", "_part"], per_type).drop("_part"), ["issue_type"], per_type)
+    listed = cell_issues(tall)
+    if per_type is not None:
+        salted = listed.withColumn("_part", F.pmod(F.xxhash64("col_pos", "row_number"), F.lit(RANKING_PARTS)))
+        listed = _first(_first(salted, ["issue_type", "_part"], per_type).drop("_part"), ["issue_type"], per_type)
     quoted = F.concat(F.lit("'"), F.col("delimiter"), F.lit("'"))
     general = delimiter_counts(tall).select(
         F.lit(0).cast("bigint").alias("row_number"),
@@ -131,7 +116,7 @@ def issues(tall: DataFrame, table_name: str, per_type: int = MAX_ISSUES_PER_TYPE
         F.lit("delimiter_in_data").alias("issue_type"),
         F.concat(F.col("row_count").cast("string"), F.lit(" rows contain "), quoted).alias("value_sample"),
     )
-    return _described(capped.unionByName(general)).select(F.lit(table_name).alias("table_name"), "*")
+    return _described(listed.unionByName(general)).select(F.lit(table_name).alias("table_name"), "*")
 
 
 def summary(tall: DataFrame) -> DataFrame:
@@ -144,11 +129,6 @@ def summary(tall: DataFrame) -> DataFrame:
     return _described(both).select("issue_type", "severity", "issue_count")
 
 
-def counts_of(found: DataFrame) -> DataFrame:
-    """Counts over an issue report (:func:`issues`), so over what the cap let through."""
-    return found.groupBy("issue_type", "severity").agg(F.count(F.lit(1)).alias("issue_count"))
-
-
 def report(counts: DataFrame, table_name: str) -> DataFrame:
     """One row per table: totals by severity; it passes without errors."""
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.constants import FILE_LOG_ID, LOADED_AT, RAW_LINEAGE_COLUMNS, SOURCE_FILE
+from layerloom.constants import FILE_LOG_ID, LOADED_AT, RAW_LINEAGE_COLUMNS, ROW_POSITION, SOURCE_FILE
 from layerloom.functions.text import base_text, final_text
 from layerloom.operators.keyed import moment
 
@@ -33,22 +33,26 @@ def to_raw(
     """The raw form of an extract: two projections of one stage, no shuffle.
 
     Pass ``F.col("_metadata.file_name")`` as ``source_file`` to record the
-    file of each row when many files are read at once.
+    file of each row when many files are read at once. Columns that say where
+    a row stands in its file set (``ROW_POSITION``) stay as they are.
     """
     file = source_file if isinstance(source_file, Column) else F.lit(source_file)
     log = log_id if isinstance(log_id, Column) else F.lit(log_id).cast("string")
     lineage = [moment(loaded_at), file, log]
+    data = [f for f in df.schema if f.name not in ROW_POSITION]
+    position = [c for c in ROW_POSITION if c in df.columns]
     based = df.select(
-        *[base_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema],
+        *[base_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in data],
+        *position,
         *[c.alias(n) for c, n in zip(lineage, RAW_LINEAGE_COLUMNS, strict=True)],
     )
     return based.select(
-        *[final_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema], *RAW_LINEAGE_COLUMNS
+        *[final_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in data], *RAW_LINEAGE_COLUMNS, *position
     )
 
 
 def data_columns(raw: DataFrame) -> list[str]:
-    return [c for c in raw.columns if c not in RAW_LINEAGE_COLUMNS]
+    return [c for c in raw.columns if c not in (*RAW_LINEAGE_COLUMNS, *ROW_POSITION)]
 
 
 def oversized(raw: DataFrame, limit: int = MAX_CELL_BYTES) -> Column:

@@ -48,8 +48,8 @@ def calendar(bounds: DataFrame) -> DataFrame:
 
 
 def currency_codes(codes: DataFrame, run_ts: datetime | str) -> DataFrame:
-    """The code list as a full refresh: ``code, name`` in, one row per code out."""
-    named = codes.select(F.left("code", F.lit(3)).alias("code"), F.left("name", F.lit(255)).alias("name"))
+    """The code list as a full refresh: ``code, name`` in, one row per code out, both uncut."""
+    named = codes.select("code", "name")
     # distinct() is a hash aggregate, so the max over text only sorts what is left
     return named.distinct().groupBy("code").agg(F.max("name").alias("name")).withColumn("updated_at", moment(run_ts))
 

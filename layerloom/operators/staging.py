@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.constants import HASHDIFF, RUN_ID, VALID_FROM
+from layerloom.constants import HASHDIFF, ROW_POSITION, RUN_ID, VALID_FROM
 from layerloom.functions.casts import array_part, extent_parts, rejected, trimmed_element, trimmed_scalar
 from layerloom.functions.hashing import hashdiff
 from layerloom.operators.catalog import TargetColumn
@@ -87,7 +87,7 @@ def to_staging(
     With ``hash_columns`` the content hash is computed in the same pass, so a
     later merge reads key and hash only.
     """
-    rows = typed(raw, columns, lenient=lenient)
+    rows = typed(raw, columns, keep=[c for c in ROW_POSITION if c in raw.columns], lenient=lenient)
     extra = [F.lit(run_id).alias(RUN_ID), moment(valid_from).alias(VALID_FROM)]
     if hash_columns is not None:
         extra.append(hashdiff(hash_columns).alias(HASHDIFF))

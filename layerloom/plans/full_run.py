@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import COMPLETED, FAILED, FILE_LOG_ID, FULL_RESET
+from layerloom.constants import COMPLETED, FAILED, FILE_LOG_ID, FILE_ORDER, FULL_RESET, ROW_POSITION, SOURCE_ROW
 from layerloom.operators import landing, monitoring, quality, raw, staging
 from layerloom.operators.catalog import TableSpec, enrich, load_spec
 from layerloom.operators.scd2 import History
@@ -48,8 +48,10 @@ class FileSet:
 
 
 def history_of(spec: TableSpec) -> History:
+    """Newest row wins: the file of the latest extraction, then the later row of a file."""
     return History(
         keys=spec.primary_keys,
+        order=ROW_POSITION,
         columns=tuple(c.name for c in spec.columns),
         hash_columns=spec.hash_columns(),
     )
@@ -61,35 +63,40 @@ def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
     rows = (
         resolved.filter(F.col("resolution") != "superseded")
         .groupBy(
-            "table_name",
+            "physical_name",
             F.when(joint, F.lit(None)).otherwise(F.col("path")).alias("single"),
         )
         .agg(
-            F.max(F.struct("extraction_date", "file_name", "config_name", "physical_name", "effective_mode")).alias("m"),
+            F.max(F.struct("extraction_date", "file_name", "table_name", "config_name", "effective_mode")).alias("m"),
             F.array_sort(F.collect_list(F.struct("extraction_date", "file_name", "path"))).alias("files"),
         )
-        .orderBy("table_name", "m.extraction_date", "m.file_name")
+        .orderBy("physical_name", "m.extraction_date", "m.file_name")
     )
     seen: Counter[str] = Counter()
     sets = []
     for r in rows.collect():
         newest = r["m"]
-        name = newest["physical_name"]
+        name = r["physical_name"]
         load_id = f"{run_id}.{seen[name]}" if seen[name] else run_id
         seen[name] += 1
         paths = tuple(f["path"] for f in r["files"])
-        sets.append(FileSet(load_id, r["table_name"], newest["config_name"], name, newest["effective_mode"], paths))
+        sets.append(FileSet(load_id, newest["table_name"], newest["config_name"], name, newest["effective_mode"], paths))
     return sets
 
 
 def quality_report(layers: Layers, extract: DataFrame, name: str, load_id: str) -> None:
-    """Issues and report over the first rows of each file; a bad report does not stop the load."""
-    names = extract.columns
+    """All issues of the whole extract, and its report; a bad report does not stop the load."""
     numbered = extract.select("*", (F.col("_metadata.row_index") + 1).alias("_row"))
-    tall = quality.cells(quality.head(numbered, F.col("_row"), quality.SAMPLE_ROWS), F.col("_row"), names)
+    tall = quality.cells(numbered, F.col("_row"), extract.columns)
     layers.append("monitoring", "quality_issues", quality.issues(tall, name), f"{load_id}-{name}")
-    found = layers.load_rows("monitoring", "quality_issues", f"{load_id}-{name}")
-    layers.append("monitoring", "quality_reports", quality.report(quality.counts_of(found), name), f"{load_id}-{name}")
+    layers.append("monitoring", "quality_reports", quality.report(quality.summary(tall), name), f"{load_id}-{name}")
+
+
+def positioned(spark: SparkSession, extract: DataFrame, paths: tuple[str, ...]) -> DataFrame:
+    """The extract with its file's path and with ROW_POSITION; paths come oldest extraction first."""
+    order = spark.createDataFrame(list(zip(paths, range(len(paths)), strict=True)), f"_path string, {FILE_ORDER} int")
+    rows = extract.select("*", scanned_path().alias("_path"), F.col("_metadata.row_index").alias(SOURCE_ROW))
+    return rows.join(order, "_path", "left")
 
 
 def load_table(
@@ -113,10 +120,12 @@ def load_table(
     extract = read_file_set(spark, files.paths)
     if check_quality:
         quality_report(layers, extract, name, files.load_id)
-    path = scanned_path()
+    placed = positioned(spark, extract, files.paths)
+    path = F.col("_path")
     file_name = F.element_at(F.split(path, "/"), -1)
     raw_name = raw.raw_table_name(spec.table_name, spec.config_name)
-    rows = raw.to_raw(extract, run_ts, file_name, monitoring.file_log_id(path, run_id))
+    rows = raw.to_raw(placed.select(*extract.columns, *ROW_POSITION, "_path"), run_ts, file_name, monitoring.file_log_id(path, run_id))
+    rows = rows.drop("_path")
     layers.replace("raw", raw_name, rows)
     stored = layers.read("raw", raw_name)
     raw_count = stored.count()
@@ -127,11 +136,10 @@ def load_table(
     started = time.monotonic()
     good, failed = stored, 0
     if quarantine:
-        numbered = stored.select("*", F.col("_metadata.row_index").alias("_row_index"))
-        checked = staging.with_cast_error(numbered, spec.columns)
-        bad = raw.load_errors(checked, name, F.col("_row_index"))
+        checked = staging.with_cast_error(stored, spec.columns)
+        bad = raw.load_errors(checked, name, F.col(SOURCE_ROW))
         layers.append("raw", "raw_load_errors", bad, f"{files.load_id}-{name}")
-        good = raw.accepted(checked).drop("_row_index")
+        good = raw.accepted(checked)
         failed = layers.load_rows("raw", "raw_load_errors", f"{files.load_id}-{name}").count()
     table = history_of(spec)
     typed = staging.to_staging(good, spec.columns, files.load_id, run_ts, table.hash_columns)
@@ -176,7 +184,7 @@ def run(
     layers.append("monitoring", "inventory", scan_landing(spark, landing_root, run_ts, tables=only), run_id)
     listing = layers.load_rows("monitoring", "inventory", run_id)
     ready = enrich(landing.discovered(listing), tables)
-    resolved = landing.resolve_file_sets(ready)
+    resolved = landing.resolve_file_sets(ready, group_by="physical_name")
     log = monitoring.file_log_rows(ready, run_id, run_ts)
     layers.append("monitoring", "file_log", log, run_id)
 

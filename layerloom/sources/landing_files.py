@@ -28,8 +28,6 @@ DUMP_JSON = (
 )
 RESULTS_JSON = "metadata struct<invocation_id: string>, results array<struct<unique_id: string, status: string, execution_time: double>>"
 
-# An empty parquet file is little more than its schema.
-EMPTY_FILE_LIMIT = 1024 * 1024
 PARQUET_MAGIC = "50415231"
 
 
@@ -141,7 +139,13 @@ def measure_content(spark: SparkSession, folder: str, checksums: bool = True) ->
         counted = count_rows(spark, f"{folder}/*.parquet").select(
             base_name(F.col("file_path"), r"\.parquet").alias("base_name"), "actual_row_count"
         )
-        small = _binary(spark, folder, "*.parquet").filter(F.col("length") < EMPTY_FILE_LIMIT)
+        # only files without rows are opened for their marks: empty ones, whatever their size, and damaged ones
+        listed = _binary(spark, folder, "*.parquet").select("path", base_name(F.col("path"), r"\.parquet").alias("base_name"))
+        silent = [r["path"] for r in listed.join(counted, "base_name", "left_anti").select("path").collect()]
+        if silent:
+            small = spark.read.format("binaryFile").load(silent)
+        else:
+            small = _binary(spark, folder, "*.parquet").filter(F.lit(False))
         head, tail = F.hex(F.substring("content", 1, 4)), F.hex(F.substring("content", -4, 4))
         empty = (
             small.filter((head == PARQUET_MAGIC) & (tail == PARQUET_MAGIC))
@@ -184,10 +188,11 @@ def read_file_set(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All files of one table as one frame; differing schemas are an error."""
     if len(paths) == 1:
         return spark.read.parquet(paths[0])
-    merged = spark.read.option("mergeSchema", True).parquet(*paths)
-    if merged.schema != spark.read.parquet(paths[-1]).schema:
-        raise ValueError("the files of one set have different schemas")
-    return merged
+    first = spark.read.parquet(paths[0]).schema
+    for path in paths[1:]:  # one footer each
+        if spark.read.parquet(path).schema != first:
+            raise ValueError(f"the files of one set have different schemas: {path}")
+    return spark.read.schema(first).parquet(*paths)
 
 
 def read_catalog_dump(spark: SparkSession, folder: str) -> DataFrame:

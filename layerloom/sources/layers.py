@@ -18,6 +18,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -192,8 +193,11 @@ class Layers:
         return joined.select(*[values.get(c, versions[c]).alias(c) for c in versions.columns])
 
     def _base_past(self, table: str, commits: Commits) -> DataFrame:
-        every = self.spark.read.parquet(self.path("ods", table, "base"))
-        return every.filter((F.col(STATE) == PAST) & F.col(LOAD).isin(*commits.bases)).drop(LOAD, STATE)
+        """Ended rows of the bases since the last reset, read from their own folders only."""
+        parts = [p for load in commits.bases if (p := self._read(self._base_folder(table, load, PAST))) is not None]
+        if not parts:
+            return self._base_live(table, commits.bases[-1]).filter(F.lit(False))
+        return reduce(DataFrame.unionByName, parts)
 
     def past(self, table: str, commits: Commits | None = None) -> DataFrame | None:
         """Ended rows of every committed load since the last reset."""

@@ -48,8 +48,10 @@ def feed_history(
     """
 
     def load(rows: DataFrame, batch_id: int) -> None:
+        # The query's id is part of the run's: a new checkpoint counts its batches from 0 again.
+        query_id = rows.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
         batch = prepare(rows)
-        load_history(layers, name, batch, table, mode, run_ts(batch_id), f"{name}-batch-{batch_id}")
+        load_history(layers, name, batch, table, mode, run_ts(batch_id), f"{name}-{query_id}-batch-{batch_id}")
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

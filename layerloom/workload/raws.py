@@ -93,10 +93,11 @@ def raw_load_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- quality: documents and pages -----------------------------------------------------
 
-DOC_CELLS = ("text", "lang", "source")
+DOC_CELLS = ("text", "lang", "source", "n_chars")
 
 _CELLS_SQL = """cells AS (SELECT doc_id AS row_number, 1 AS col_pos, 'text' AS column_name, text AS value FROM documents
-  UNION ALL SELECT doc_id, 2, 'lang', lang FROM documents UNION ALL SELECT doc_id, 3, 'source', source FROM documents)"""
+  UNION ALL SELECT doc_id, 2, 'lang', lang FROM documents UNION ALL SELECT doc_id, 3, 'source', source FROM documents
+  UNION ALL SELECT doc_id, 4, 'n_chars', cast(n_chars AS VARCHAR) FROM documents)"""
 _PAGES_SQL = """cells AS (SELECT page_id AS row_number, 1 AS col_pos, 'url' AS column_name, url AS value FROM pages
   UNION ALL SELECT page_id, 2, 'html', html FROM pages)"""
 _ESCAPED = r"""'''' || replace(replace(replace(replace(left(value, 100), '\', '\\'), chr(9), '\t'), chr(10), '\n'), chr(13), '\r') || ''''"""
@@ -122,14 +123,13 @@ def page_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "quality_issues",
-    f"""WITH {_CELLS_SQL}, {_FOUND_SQL},
-capped AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY issue_type ORDER BY col_pos, row_number) <= 100)
-SELECT 'documents' AS table_name, row_number, col_pos, column_name, issue_type, value_sample, severity FROM capped
+    f"""WITH {_CELLS_SQL}, {_FOUND_SQL}
+SELECT 'documents' AS table_name, row_number, col_pos, column_name, issue_type, value_sample, severity FROM found
 UNION ALL SELECT 'documents', 0, col_pos, column_name, 'delimiter_in_data',
   row_count || ' rows contain ''' || delimiter || '''', 'info' FROM delims""",
 )
 def quality_issues(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.issues(document_cells(spark, folder), "documents").drop("suggestion")
+    return quality.issues(document_cells(spark, folder), "documents")
 
 
 @query(

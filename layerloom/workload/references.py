@@ -25,7 +25,7 @@ def dim_time(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "currency_codes",
-    f"""SELECT left(upper(l_returnflag || p_type), 3) AS code, max(p_type || ' ' || l_returnflag) AS name,
+    f"""SELECT upper(l_returnflag || p_type) AS code, max(p_type || ' ' || l_returnflag) AS name,
   TIMESTAMP '{FIRST_TS}' AS updated_at FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
 )
 def currency_codes(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from oracle import connect, normalized, type_mismatches
 
 from __spark_entry__ import entry, oracle_sql, queries
+from layerloom.workload import QUERIES
 
 pytestmark = pytest.mark.integration
 
@@ -19,10 +20,10 @@ def duck(folder):
 
 def test_every_query_has_sql():
     assert set(oracle_sql()) <= set(queries())
-    assert not set(queries()) - set(oracle_sql())
+    assert not set(QUERIES) - set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, folder, duck, name):
     df = queries()[name](spark, folder)
     names, ours = normalized(df.columns, df.collect())
