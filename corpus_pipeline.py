@@ -20,7 +20,7 @@ SEQUENCE = 2048
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
-    judged = quality.judge(docs.select("doc_id", "text", "lang", "source", text_key().alias("text_key")))
+    judged = quality.judge(docs.select("doc_id", "text", "lang", "source", text_key().alias("text_key")), carry=("doc_id", "text_key"))
     return keep_rows(docs, judged).select(*COLUMNS)
 
 

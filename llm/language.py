@@ -117,11 +117,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 
 def predict(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
-    """All columns of docs but its text, then lang_pred, score and rejected, from the whole text alone.
+    """All columns of docs but its text, then lang_pred, score and rejected (in place of columns so named), from the whole text alone.
 
     `und`, score 0 and rejected: the text is null, empty or has no letter, or nothing was learned.
     """
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c not in (text, "lang_pred", "score", "rejected")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x CENTROIDS x DIMENSIONS doubles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -149,16 +149,16 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     return _estimate(_distances(rows, estimates).where(F.col("distance2") <= QUANTILE_REWEIGHT), FACTOR_REWEIGHT, "quality-final")
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """All columns but the text, then the statistics, base_failed, distance2 and kept, one row per row.
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in carry, language and source, then the statistics, base_failed, distance2 and kept, one row per row.
 
     A null text has no words and fails the base rule; so does an empty one. Null languages and sources are
     groups of their own. Repeated rows count as often as they occur. Groups of fewer than LEAST_ROWS passing
     documents pool with the other small ones of their language, then of all languages; where even these are
     too few there is no distance and base rules alone decide. Estimates use documents that pass the base rules.
     """
-    keep = [c for c in docs.columns if c != text]
-    step = statistics(docs, text).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    keep = [*carry, lang, source]
+    step = statistics(docs.select(*keep, text), text).withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     step = stored(step.select("*", *[v.alias(f"v_{n}") for n, v in zip(NAMES, vector(), strict=True)]), "quality-statistics")
     # Which estimate each (language, source) takes: its own, its language's small ones', or all small ones'.
     groups = step.groupBy(F.col(lang).alias("k_lang"), F.col(source).alias("k_source")).agg(F.count_if(~F.col("base_failed")).alias("own"))

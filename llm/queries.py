@@ -33,7 +33,7 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(table(spark, folder, "documents").select("doc_id", "text", "lang", "source")).drop("lang", "source")
+    return quality.judge(table(spark, folder, "documents")).drop("lang", "source")
 
 
 @query
