@@ -94,6 +94,8 @@ def _unit(blobs: list[bytes]) -> np.ndarray:
     x = np.zeros((len(rows), max(map(len, rows), default=0)))
     for row, values in zip(x, rows, strict=True):
         row[: len(values)] = values
+    if not x.size:
+        return x
     x /= np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
