@@ -27,6 +27,7 @@ from llm.chunks import OTHER_SPACE
 from llm.common import document_keys, real_id, spread_of, stored
 
 THRESHOLD, SEED = 20, 5
+DOCUMENTS = 2000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 PLACE = np.dtype([("h", "<u8"), ("id", "<i8"), ("th", "<i4"), ("at", "<u4")])
@@ -35,6 +36,13 @@ PACKED = "bucket int, known boolean, heads binary, hashes binary"
 SPOTS = "id long, th int, spots binary"
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of DOCUMENTS rows at most, which bounds what a map task packs at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, DOCUMENTS):
+            yield batch.slice(start, DOCUMENTS)
+
+
 def words_of(text: str) -> list[str]:
     return WORD.findall(text) if OTHER_SPACE.search(text) else text.split()
 
@@ -88,7 +96,7 @@ def spots(ids: np.ndarray, ths: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
 
 def _map_seeds(buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             parts = []
             for key, th, text in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text")), strict=True):
                 words = words_of(text)
@@ -132,7 +140,7 @@ def _repeated_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _map_extensions(buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hashes, anchors, places = [], [], []
             for key, th, text, found in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text", "spots")), strict=True):
                 words, wanted = words_of(text), np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in found]))

@@ -35,6 +35,8 @@ BASE = 0xD6E8FEB86659FD93
 INVERSE = pow(BASE, -1, 2**64)
 SPOT = np.dtype([("h", "<u8"), ("at", "<u4"), ("n", "<u4")])
 HEAD = np.dtype([("h", "<u8"), ("id", "<i8"), ("th", "<i4"), ("at", "<u4"), ("n", "<u4")])
+# Records a map task packs at a time, and how many more buckets the many strings at the ends of repeats take.
+HELD, FINER = 400_000, 4
 PACKED = "bucket int, known boolean, heads binary, hashes binary, several binary"
 SPOTS = "id long, th int, spots binary"
 
@@ -180,7 +182,14 @@ def _map(buckets: int, runs: bool, places: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            parts = [p for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (p := places(powers, *row))]
+            parts, held = [], 0
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part := places(powers, *row):
+                    parts.append(part)
+                    held += len(part[0])
+                if held >= HELD:
+                    yield _records(buckets, runs, *(np.concatenate(x) for x in zip(*parts, strict=True)))
+                    parts, held = [], 0
             if parts:
                 yield _records(buckets, runs, *(np.concatenate(x) for x in zip(*parts, strict=True)))
 
@@ -265,7 +274,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keyed = document_keys(docs, doc_id, text).withColumn("text", F.col("text").cast("binary"))
 
     def ranked(rows: DataFrame, places: Callable, purpose: str, strings: bool = False) -> DataFrame:
-        moved = rows.mapInArrow(_map(buckets, strings, places), PACKED).repartition(buckets, "bucket")
+        n = buckets * FINER if strings else buckets
+        moved = rows.mapInArrow(_map(n, strings, places), PACKED).repartition(n, "bucket")
         found = moved.mapInArrow(_reduce(strings), SPOTS).groupBy("id", "th").agg(F.collect_list("spots").alias("spots"))
         return stored(found, purpose)
 
