@@ -103,7 +103,7 @@ def _records(buckets: int, runs: bool, keys: np.ndarray, hashes: np.ndarray, hea
     # A repeated row is the same place, not another one.
     other = (lead["id"] != heads["id"]) | (lead["th"] != heads["th"]) | (lead["at"] != heads["at"])
     several = np.logical_or.reduceat(other, np.flatnonzero(first)) if len(heads) else np.empty(0, bool)
-    rest, rows = heads[other], []
+    rest, rows = _merged(heads[other]) if runs else heads[other], []
     for b, at in by_bucket((rest["id"] ^ rest["th"]) % buckets, buckets):
         rows.append((b, True, rest[at].tobytes(), b"", b""))
     keys, hashes, heads = keys[first], hashes[first], heads[first]
@@ -124,6 +124,16 @@ def _records(buckets: int, runs: bool, keys: np.ndarray, hashes: np.ndarray, hea
     )
 
 
+def _merged(heads: np.ndarray) -> np.ndarray:
+    """One head for each run of consecutive places, with its length in n."""
+    heads = heads[np.lexsort((heads["at"], heads["th"], heads["id"]))]
+    joint = (heads["id"][1:] == heads["id"][:-1]) & (heads["th"][1:] == heads["th"][:-1]) & (heads["at"][1:] == heads["at"][:-1] + 1)
+    begin = np.flatnonzero(np.concatenate([[True], ~joint])) if len(heads) else np.empty(0, int)
+    out = heads[begin]
+    out["n"] = np.diff(np.append(begin, len(heads)))
+    return out
+
+
 def _reduce(strings: bool) -> Callable:
     """Places whose hash isn't unique, packed per document. strings: heads stand for runs of starts."""
 
@@ -150,7 +160,12 @@ def _reduce(strings: bool) -> Callable:
             other = (lead["id"] != places["id"]) | (lead["th"] != places["th"]) | (lead["at"] != places["at"])
             group = np.logical_or.reduceat(other | repeated, begin)
             repeated = group[np.cumsum(first) - 1]
-        found = np.concatenate([places[repeated], known])
+        found = places[repeated]
+        if strings:
+            found = np.concatenate([_merged(found), known])
+            found["n"] += THRESHOLD - 1  # bytes that a run of strings covers
+        else:
+            found = np.concatenate([found, known])
         order = np.lexsort((found["at"], found["th"], found["id"]))
         found = found[order]
         if not len(found):
@@ -249,14 +264,14 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["id", "th", "at", "h", "open"])
 
 
-def _cover(n: int, spots: list[bytes] | None, length: int | None = None) -> np.ndarray:
-    """Which of the first n bytes the strings at the spots cover; length: of each, else as the spots say."""
+def _cover(n: int, spots: list[bytes] | None) -> np.ndarray:
+    """Which of the first n bytes the spots cover."""
     change = np.zeros(n + 1, np.int64)
     for blob in spots or ():
         found = np.frombuffer(blob, SPOT)
         at = found["at"].astype(np.int64)
         np.add.at(change, np.minimum(at, n), 1)
-        np.add.at(change, np.minimum(at + (length or found["n"]), n), -1)
+        np.add.at(change, np.minimum(at + found["n"], n), -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -291,7 +306,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for batch in batches:
             rows = []
             for key, data, covered, spots in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "covered", "spots")), strict=True):
-                gone = _cover(len(data), covered) | _cover(len(data), spots, THRESHOLD)
+                gone = _cover(len(data), covered) | _cover(len(data), spots)
                 spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and bool(gone[0])))
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans else data
                 rows.append((key, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None))
