@@ -84,7 +84,6 @@ def test_text(spark):
         ("TIMESTAMP WITH TIME ZONE", "timestamp"),
         ("VARCHAR(30)", "string"),
         ("TEXT", "string"),
-        ("something else", "string"),
     ],
 )
 def test_spark_type(declared, expected):
@@ -150,3 +149,9 @@ def test_cast_errors_name_every_bad_cell(spark):
         "a": "invalid INTEGER in column 'n'; invalid DATE in column 'd'",
         "": None,
     }
+
+
+def test_aliases_and_unknown_types():
+    assert [spark_type(t) for t in ("INT", "BOOL", "TIMESTAMPTZ", "TIMESTAMP WITHOUT TIME ZONE")] == ["int", "boolean", "timestamp", "timestamp_ntz"]
+    with pytest.raises(ValueError, match="unknown declared type"):
+        spark_type("something else")
