@@ -68,25 +68,77 @@ class ChunkEncoder:
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+# Characters on which Python and the library agree about case, letters and white space.
+PLAIN = re.compile("[\t-\r\x20-\x7e¡-ɏ]*")
+# Printable stand-ins of bytes, as byte-level vocabularies write them.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+PRINTED = re.compile("[!-~]*")
+STAND_INS = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
+
+
+def word_rule(spec: dict) -> tuple[str, bool] | None:
+    """(pattern of words, lower case or not) of a byte-level tokenizer file, or None where its steps are others than these."""
+    steps = lambda x, key: [] if x is None else x[key] if x["type"] == "Sequence" else [x]
+    normal = steps(spec["normalizer"], "normalizers")
+    blank = [x for x in normal if x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " "]
+    before = steps(spec["pre_tokenizer"], "pretokenizers")
+    if spec["model"]["type"] != "BPE" or spec["model"].get("dropout") or not before or before[-1]["type"] != "ByteLevel" or before[-1]["add_prefix_space"]:
+        return None
+    if any(x["type"] not in ("NFC", "Lowercase") and x not in blank for x in normal):
+        return None
+    if len(before) == 1 and before[0]["use_regex"] and not blank:
+        import public_tokenizers
+
+        return public_tokenizers.PATTERN, any(x["type"] == "Lowercase" for x in normal)
+    if len(before) == 2 and before[0]["type"] == "Split" and before[0]["behavior"] == "Removed" and before[0]["invert"] and not before[1]["use_regex"]:
+        return before[0]["pattern"].get("Regex"), any(x["type"] == "Lowercase" for x in normal)
+    return None
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def file_encoder(path: str) -> ChunkEncoder:
-    """The tokenizers library's encoder of a vocabulary file, one per worker process."""
+    """The tokenizers library's encoder of a vocabulary file, one per worker process.
+
+    Plain chunks go word by word to the library's merge model, which costs half of what its whole chain of steps
+    does for such short texts; all others, and those with an added token, take the whole chain.
+    """
     if path not in _ENCODERS:
+        import json
         import os
 
+        import regex
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        rule, model = word_rule(spec), tokenizer.model
+        split, lower = (regex.compile(rule[0]), rule[1]) if rule and rule[0] else (None, False)
+        added = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or "(?!)")
 
         def encode_new(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = []
-            for k in range(0, len(chunks), 10_000):
-                ids += [e.ids for e in tokenizer.encode_batch_fast(chunks[k : k + 10_000], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            return np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum())), lengths
+            plain = [bool(split and PLAIN.fullmatch(c)) and not added.search(c) for c in chunks]
+            others = [c for c, is_plain in zip(chunks, plain, strict=True) if not is_plain]
+            whole: list[list[int]] = []
+            for k in range(0, len(others), 10_000):
+                whole += [e.ids for e in tokenizer.encode_batch_fast(others[k : k + 10_000], add_special_tokens=False)]
+            # One flat list and tuples: millions of small lists would keep the garbage collector busy.
+            rest, words, ids, ends = iter(whole), {}, [], []
+            for chunk, is_plain in zip(chunks, plain, strict=True):
+                if not is_plain:
+                    ids += next(rest)
+                else:
+                    for word in split.findall(chunk.lower() if lower else chunk):
+                        if (known := words.get(word)) is None:
+                            printable = word if PRINTED.fullmatch(word) else word.encode().decode("latin-1").translate(STAND_INS)
+                            known = words[word] = tuple([t.id for t in model.tokenize(printable)])
+                        ids += known
+                ends.append(len(ids))
+            return np.array(ids, np.int32), np.diff(np.array(ends, np.int64), prepend=0)
 
         _ENCODERS.clear()
         _ENCODERS[path] = ChunkEncoder(encode_new)

@@ -136,6 +136,19 @@ def test_token_files_round_trip(spark, rows, docs, tmp_path):
     assert token_files.write(_empty(spark), folder, path, 1).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_chunk_encoder(spark, folder, name):
+    from tokenizers import Tokenizer
+
+    from llm import chunks
+
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()]
+    texts += ["It's WE'LL don't  x\n\n y", "İstanbul Éa e\u0301 ſ ß ǅ", "a<|endoftext|>b <|startoftext|>", "x\x00\x7f\xa0y ½ ²3", "日本 語 😀a", "12345 a1b2 _x_ ''s"]
+    encoder, tokenizer = chunks.file_encoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_merge_replay(spark, rows, docs):
     import tiktoken
 
