@@ -112,8 +112,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
     sample: dict[str, list[np.ndarray]] = {}
     for r in learned.where("lang is not null").select("lang", "counts").orderBy("lang", "counts").toLocalIterator():
-        sample.setdefault(r["lang"], []).append(_weigh(np.frombuffer(r["counts"], "<u4"), idf))
-    return Centroids(idf, {k: np.stack(v) for k, v in sample.items()})
+        sample.setdefault(r["lang"], []).append(_weigh(np.frombuffer(r["counts"], "<u4"), idf).astype(np.float32))
+    # Rows go as their matrix is made, so the driver holds the sample once.
+    return Centroids(idf, {k: np.stack(sample.pop(k)) for k in list(sample)})
 
 
 def predict(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
