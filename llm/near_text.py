@@ -28,6 +28,8 @@ from llm.passages import words_of
 from llm.suffixes import PACKED, SPOT, SPOTS, _heads, _map, _mixed, _reduce
 
 SHINGLE, THRESHOLD = 5, 0.8
+# The threshold as a fraction: sizes are compared in whole numbers, so that pairs at exactly the threshold are links.
+PART, WHOLE = 4, 5
 # Hash functions, parts of the hash range, least k-mers per part. A pair at the threshold shares a sketch with
 # probability 0.8 ** LEAST, so it shares none of HASHES * PARTS with probability 5e-6.
 HASHES, PARTS, LEAST = 10, 4, 6
@@ -79,17 +81,19 @@ def sketches(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Aligned shingles over all shingles of both. Labels are unique in a text, so the best alignment is the longest
-    increasing run of partners. A pair at the threshold aligns nothing farther apart than the band."""
+    increasing run of partners. A pair at the threshold aligns nothing farther apart than the band, which is
+    (WHOLE - PART) / (WHOLE + PART) of both lengths."""
     if not len(a) or not len(b):
         return 0.0
-    band = (1 - THRESHOLD) / (1 + THRESHOLD) * (len(a) + len(b))
+    both = len(a) + len(b)
+    band = (WHOLE - PART) * both // (WHOLE + PART)
     if abs(len(a) - len(b)) > band:
         return 0.0
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     near = np.abs(i - j) <= band
     partners = j[near][np.argsort(i[near])]
     aligned = len(partners)
-    if aligned < THRESHOLD * (len(a) + len(b) - aligned):
+    if WHOLE * aligned < PART * (both - aligned):
         return 0.0
     if (np.diff(partners) < 0).any():
         tails: list[int] = []
@@ -97,7 +101,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
             k = bisect_left(tails, p)
             tails[k : k + 1] = [p]
         aligned = len(tails)
-    return aligned / (len(a) + len(b) - aligned)
+    return aligned / (both - aligned)
 
 
 def _places(_, node: int, th: int, text: str):
@@ -184,13 +188,13 @@ def components(docs: DataFrame) -> DataFrame:
     meant = texts.join(placed.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("id"), F.lit(0).alias("th"), "text")
     moved = meant.mapInArrow(_map(buckets, False, _label_places), PACKED).repartition(buckets, "bucket").mapInArrow(_reduce(False), SPOTS)
     counts = moved.mapInArrow(_counts, "node long, n int, s int").groupBy("node").agg(F.max("n").alias("n"), F.sum("s").alias("s"))
-    placed = stored(placed.join(counts.where(F.col("s") >= THRESHOLD * F.col("n")), "node"), "open-members")
+    placed = stored(placed.join(counts.where(WHOLE * F.col("s") >= PART * F.col("n")), "node"), "open-members")
 
     # A link aligns at most the fewer shared shingles of the two. Component pairs that this rules out for their best
     # members never meet; nor do members that it rules out.
     def possible(s: str, s2: str, n: str, n2: str) -> Column:
         most = F.least(s, s2)
-        return most >= THRESHOLD * (F.col(n) + F.col(n2) - most) - 1e-6
+        return WHOLE * most >= PART * (F.col(n) + F.col(n2) - most)
 
     kinds = placed.groupBy("sketch", "component").agg(F.max("s").alias("s"), F.min("n").alias("n"))
     others = kinds.select("sketch", F.col("component").alias("other"), F.col("s").alias("s2"), F.col("n").alias("n2"))

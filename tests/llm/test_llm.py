@@ -207,6 +207,45 @@ def test_near_duplicates(spark, rows, docs):
     assert near_text.near_duplicates(_empty(spark)).count() == 0
 
 
+def _aligned_share(a, b):
+    """(aligned, all) labelled shingles of two word lists, by dynamic programming."""
+    shingles = []
+    for words in (a, b):
+        seen: Counter = Counter()
+        runs = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        shingles.append([(run, seen.update([run]) or seen[run]) for run in runs])
+    x, y = shingles
+    row = [0] * (len(y) + 1)
+    for s in x:
+        before, row = row, [0]
+        for k, t in enumerate(y):
+            row.append(before[k] + 1 if s == t else max(before[k + 1], row[k]))
+    return row[-1], len(x) + len(y) - row[-1]
+
+
+def test_similarity_at_the_threshold():
+    rng, at = random.Random(7), 0
+    for union in [*range(5, 100, 5), 250, 400]:
+        whole = [f"w{rng.randrange(10**9)}" for _ in range(union + 4)]
+        part, gone = union * 4 // 5 + 4, union // 5
+        for other in (whole[:part], whole[-part:], whole[gone // 2 :][:part], whole[: part - 1], whole[-part + 1 :], [*whole[gone:], "new"]):
+            aligned, every = _aligned_share(whole, other)
+            at += 5 * aligned == 4 * every
+            a, b = near_text.labels(" ".join(whole)), near_text.labels(" ".join(other))
+            for x, y in ((a, b), (b, a)):
+                assert (near_text.similarity(x, y) >= near_text.THRESHOLD) == (5 * aligned >= 4 * every)
+    assert at >= 60
+
+
+def test_near_duplicates_at_the_threshold(spark):
+    rng, rows = random.Random(8), []
+    for k, union in enumerate([250, 300, 400, 600]):
+        whole = [f"w{rng.randrange(10**9)}" for _ in range(union + 4)]
+        rows += [(10 * k, " ".join(whole)), (10 * k + 1, " ".join(whole[: union * 4 // 5 + 4])), (10 * k + 2, " ".join(whole[-(union * 4 // 5 + 4) :]))]
+    found = {r["doc_id"]: r["class_id"] for r in near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: i // 10 * 10 for i, _ in rows}
+
+
 def test_language(spark, docs, folder):
     known = spark.read.parquet(f"{folder}/documents.parquet")
     model = language.fit(known.where(~language.held_out(F.col("doc_id"))))
