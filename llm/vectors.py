@@ -1,4 +1,9 @@
-"""Near-duplicate embeddings: inverted lists with product-quantised residuals, exact rerank."""
+"""Near-duplicate embeddings: inverted lists with product-quantised residuals, exact rerank.
+
+No link is lost: a vector meets every list that the list's radius and the plane between centres
+don't rule out, and codes only exclude what must be too far. Lists near each other form a zone, the
+unit of exchange; of two zones one asks the other, and a link counts for both its ends.
+"""
 
 from __future__ import annotations
 
@@ -17,16 +22,16 @@ from llm.common import connected_components, stored
 @dataclass(frozen=True)
 class IndexSettings:
     """sample: vectors the codebooks are fitted on, at most; list_size: vectors per list aimed at, up to
-    max_lists lists; probes: lists each query looks into; subspaces, codes: the residual code;
-    block: rows of one side in one task."""
+    max_lists lists; subspaces, codes: the residual code; block: members in a zone, as a mean, and in one
+    task, at most; asking: rows that ask in one task, at most."""
 
     sample: int = 16_000
     list_size: int = 128
     max_lists: int = 8_192
-    probes: int = 16
     subspaces: int = 8
     codes: int = 256
     block: int = 4_096
+    asking: int = 16_384
 
 
 def _kmeans(x: np.ndarray, k: int, steps: int = 8) -> np.ndarray:
@@ -49,33 +54,56 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 class Codebooks:
     """Coarse centres and, per subspace, the codewords of residuals."""
 
-    def __init__(self, sample: np.ndarray, lists: int, settings: IndexSettings):
-        self.probes = min(settings.probes, lists)
+    def __init__(self, sample: np.ndarray, lists: int, zones: int, settings: IndexSettings):
         self.centers = _kmeans(sample, lists)
-        rest = sample - self.centers[_nearest(sample, self.centers)]
+        self.norms = (self.centers**2).sum(1)
+        own = _nearest(sample, self.centers)
+        self.zone_of = _nearest(self.centers, _kmeans(self.centers, min(zones, len(self.centers)))).astype(np.int32)
+        self.zones = int(self.zone_of.max()) + 1
+        rest = sample - self.centers[own]
         self.bounds = np.linspace(0, sample.shape[1], min(settings.subspaces, sample.shape[1]) + 1).astype(int)
         self.words = [_kmeans(rest[:, a:b], settings.codes) for a, b in zip(self.bounds[:-1], self.bounds[1:], strict=True)]
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(list, probed lists, codes, how far the coded vector is from the true one)."""
-        closeness = x @ self.centers.T - (self.centers**2).sum(1) / 2
-        probed = np.argsort(-closeness, 1, kind="stable")[:, : self.probes]
-        own = probed[:, 0]
+        """(list, distance from its centre, codes, how far the coded vector is from the true one)."""
+        own = _nearest(x, self.centers)
         rest = x - self.centers[own]
         codes = np.stack([_nearest(rest[:, a:b], w) for a, b, w in self._parts()], 1)
-        decoded = np.concatenate([w[codes[:, m]] for m, w in enumerate(self.words)], 1)
-        return own, probed, codes.astype(np.uint8), np.sqrt(((rest - decoded) ** 2).sum(1))
+        return own, np.sqrt((rest**2).sum(1)), codes.astype(np.uint8), np.sqrt(((rest - self._decoded(codes)) ** 2).sum(1))
 
     def _parts(self):
         return zip(self.bounds[:-1], self.bounds[1:], self.words, strict=True)
 
-    def distances(self, x: np.ndarray, of_list: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric: squared distances of queries to the coded members of a list, by table lookup."""
-        rest, total = x - self.centers[of_list], np.zeros((len(x), len(codes)))
+    def _decoded(self, codes: np.ndarray) -> np.ndarray:
+        return np.concatenate([w[codes[:, m]] for m, w in enumerate(self.words)], 1)
+
+    def possible(self, x: np.ndarray, own: np.ndarray, lists: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
+        """Per query and list: can a member lie within reach? It is within the list's radius of its centre, and on that side of the plane to the query's own centre."""
+        c = self.centers[lists]
+        far = np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + self.norms[lists], 0)
+        near = np.sqrt(far) <= reach + radius[lists] + 1e-6
+        near &= radius[lists] >= 0  # lists without members
+        owns, at = np.unique(own, return_inverse=True)
+        o = self.centers[owns]
+        apart = np.sqrt(np.maximum(self.norms[owns][:, None] - 2 * o @ c.T + self.norms[lists], 0))
+        home = ((x - self.centers[own]) ** 2).sum(1)
+        return near & (far - home[:, None] <= 2 * reach * apart[at] + 1e-6)
+
+    def offsets(self, of_list: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What coded members add to every query's squared distance."""
+        return ((self.centers[of_list] + self._decoded(codes)) ** 2).sum(1)
+
+    def distances(self, x: np.ndarray, lists: np.ndarray, at: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Asymmetric: squared distances of coded members (list lists[at]) to queries, by table lookup."""
+        total = (x @ self.centers[lists].T).T[at]
         for m, (a, b, w) in enumerate(self._parts()):
-            table = (rest[:, a:b] ** 2).sum(1)[:, None] - 2 * rest[:, a:b] @ w.T + (w**2).sum(1)
-            total += table[:, codes[:, m]]
-        return total
+            total += (w @ x[:, a:b].T).take(codes[:, m], 0)
+        return (x * x).sum(1) + offsets[:, None] - 2 * total
+
+
+def asks(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Every zone asks itself; of two zones exactly one asks the other, each about half of them."""
+    return (mine == other) | ((other > mine) == ((mine + other) % 2 == 1))
 
 
 def usable(vector: Column) -> Column:
@@ -84,7 +112,7 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, finite) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-MEMBER = "list int, rep long, copies long, vector binary, codes binary, off double, probed binary"
+MEMBER = "zone int, list int, rep long, copies long, vector binary, codes binary, off double, far double"
 FOUND = "kind int, rep long, other long, n long"
 
 
@@ -111,67 +139,84 @@ def links(distinct: DataFrame, threshold: float, settings: IndexSettings) -> tup
     lists = int(min(settings.max_lists, max(1, n // settings.list_size)))
     taken = distinct.orderBy(F.xxhash64("rep"), "rep").limit(settings.sample).select("vector").toPandas()
     sample = _unit([np.pad(np.asarray(v, np.float64), (0, dim - len(v))).tobytes() for v in taken["vector"]])
-    books = Codebooks(sample, lists, settings) if len(sample) else None
+    books = Codebooks(sample, lists, -(-n // settings.block), settings) if len(sample) else None
     books = spark.sparkContext.broadcast(books)  # max_lists x dimension doubles at most
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("vector").to_pylist()
             full = [np.pad(np.asarray(v, np.float64), (0, dim - len(v))).tobytes() for v in rows]
-            own, probed, codes, off = books.value.encode(_unit(full)) if rows else (np.empty(0, int), [], [], [])
-            arrays = [pa.array(own.astype(np.int32)), batch.column("rep"), batch.column("copies"), pa.array(full, pa.binary())]
-            arrays += [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off, pa.float64())]
-            arrays += [pa.array([p.astype("<i4").tobytes() for p in probed], pa.binary())]
+            own, far, codes, off = books.value.encode(_unit(full)) if rows else (np.empty(0, int), [], [], [])
+            zones = books.value.zone_of[own] if rows else own
+            arrays = [pa.array(zones, pa.int32()), pa.array(own, pa.int32()), batch.column("rep"), batch.column("copies"), pa.array(full, pa.binary())]
+            arrays += [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off, pa.float64()), pa.array(far, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in MEMBER.split(", ")])
 
     members = stored(distinct.repartition(F.xxhash64("rep")).mapInArrow(index, MEMBER), "vector-index")
 
+    reach = np.sqrt(2 - 2 * threshold) + 1e-6
+    radius = np.full(lists, -1.0)
+    for row in members.groupBy("list").agg(F.max("far").alias("far")).collect():  # max_lists rows at most
+        radius[row["list"]] = row["far"]
+    radius = spark.sparkContext.broadcast(radius)
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [np.frombuffer(p, "<i4") for p in batch.column("probed").to_pylist()]
-            at = pa.array(np.repeat(np.arange(len(lists)), [len(p) for p in lists]))
-            rows = batch.select(["list", "rep", "copies", "vector"]).take(at)
-            flat = pa.array(np.concatenate(lists) if lists else np.empty(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([flat, *rows.columns], names=["list", "own", "rep", "copies", "vector"])
-
-    queries = members.mapInArrow(probe, "list int, own int, rep long, copies long, vector binary")
-    # Large lists are cut into blocks of members and of queries; every pair of blocks is a group of its own.
-    asked = queries.groupBy("list").agg(F.count("*").alias("queries"))
-    blocks = members.groupBy("list").agg(F.count("*").alias("members")).join(asked, "list")
-    count = lambda c: F.ceil(F.col(c) / settings.block).cast("int")
-    blocks = blocks.select("list", count("members").alias("mbs"), count("queries").alias("qbs"))
+        for whole in batches:
+            for s in range(0, whole.num_rows, 512):
+                batch, b = whole.slice(s, 512), books.value
+                x, own = _unit(batch.column("vector").to_pylist()), batch.column("list").to_numpy()
+                near = b.possible(x, own, np.arange(len(b.centers)), radius.value, reach)
+                meets = np.zeros((len(x), b.zones), bool)
+                i, j = np.nonzero(near)
+                meets[i, b.zone_of[j]] = True
+                at, zones = np.nonzero(meets & asks(b.zone_of[own][:, None], np.arange(b.zones)))
+                rows = batch.select(["zone", "list", "rep", "copies", "vector"]).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([pa.array(zones, pa.int32()), *rows.columns], names=["zone", "own", "list", "rep", "copies", "vector"])
+
+    queries = members.mapInArrow(probe, "zone int, own int, list int, rep long, copies long, vector binary")
+    # Large zones are cut into blocks of members and of queries; every pair of blocks is a group of its own.
+    asked = queries.groupBy("zone").agg(F.count("*").alias("queries"))
+    blocks = members.groupBy("zone").agg(F.count("*").alias("members")).join(asked, "zone")
+    count = lambda c, most: F.ceil(F.col(c) / most).cast("int")
+    blocks = blocks.select("zone", count("members", settings.block).alias("mbs"), count("queries", settings.asking).alias("qbs"))
     deal = lambda c, k: F.pmod(F.xxhash64("rep", F.lit(k)), F.col(c)).cast("int")
     copy = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = members.join(blocks, "list").withColumn("mb", deal("mbs", 1)).withColumn("qb", copy("qbs")).drop("mbs", "qbs")
-    right = queries.join(blocks, "list").withColumn("qb", deal("qbs", 2)).withColumn("mb", copy("mbs")).drop("mbs", "qbs")
-    reach = np.sqrt(2 - 2 * threshold) + 1e-6
+    left = members.drop("far").join(blocks, "zone").withColumn("mb", deal("mbs", 1)).withColumn("qb", copy("qbs")).drop("mbs", "qbs")
+    right = queries.join(blocks, "zone").withColumn("qb", deal("qbs", 2)).withColumn("mb", copy("mbs")).drop("mbs", "qbs")
 
     def compare(key, mine: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int, int]] = []
         if len(mine) and len(asking):
-            of_list = int(key[0])
+            b, asking = books.value, asking.sort_values("list", kind="stable")
             y, codes = _unit(list(mine["vector"])), np.stack([np.frombuffer(c, np.uint8) for c in mine["codes"]])
-            off, reps = mine["off"].to_numpy(), mine["rep"].to_numpy()
-            probed = np.stack([np.frombuffer(p, "<i4") for p in mine["probed"]])
+            off, reps, copies = mine["off"].to_numpy(), mine["rep"].to_numpy(), mine["copies"].to_numpy()
+            lists, of = np.unique(mine["list"].to_numpy(), return_inverse=True)
+            fixed, most = b.offsets(lists[of], codes), (off + reach) ** 2 + 1e-6
             for s in range(0, len(asking), 128):
                 part = asking.iloc[s : s + 128]
                 x, ids = _unit(list(part["vector"])), part["rep"].to_numpy()
-                near = np.sqrt(np.maximum(books.value.distances(x, of_list, codes), 0)) - off <= reach
-                i, j = np.nonzero(near & (ids[:, None] != reps))
+                open_lists = b.possible(x, part["list"].to_numpy(), lists, radius.value, reach).any(0)
+                at = np.flatnonzero(open_lists[of])
+                near = b.distances(x, lists, of[at], codes[at], fixed[at]) <= most[at][:, None]
+                at = at[near.any(1)]
+                j, i = np.nonzero(y[at] @ x.T >= threshold - 1e-9)
+                j = at[j]
+                other = ids[i] != reps[j]
+                i, j = i[other], j[other]
                 if not len(i):
                     continue
                 cosine = np.concatenate([(x[i[k : k + 4096]] * y[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)])
                 i, j = i[cosine >= threshold], j[cosine >= threshold]
-                counts = np.bincount(i, mine["copies"].to_numpy()[j], len(ids))
+                counts = np.bincount(i, copies[j], len(ids))
                 out += [(0, int(ids[k]), 0, int(counts[k])) for k in np.flatnonzero(counts)]
-                # The member counts the query as well, unless it will ask for itself.
-                back = ~(probed[j] == part["own"].to_numpy()[i][:, None]).any(1)
+                # The member counts the query as well, unless it asks for itself: within a zone both do.
+                back = part["own"].to_numpy()[i] != int(key[0])
                 extra = np.bincount(j[back], part["copies"].to_numpy()[i[back]], len(reps))
                 out += [(0, int(reps[k]), 0, int(extra[k])) for k in np.flatnonzero(extra)]
                 out += _forest(ids, reps, i, j)
         return pd.DataFrame(out, columns=["kind", "rep", "other", "n"])
 
-    group = ["list", "mb", "qb"]
+    group = ["zone", "mb", "qb"]
     found = stored(left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(compare, FOUND), "vector-links")
     counts = found.where("kind = 0").groupBy("rep").agg(F.sum("n").alias("n"))
     return counts, found.where("kind = 1").select(F.col("rep").alias("a"), F.col("other").alias("b"))

@@ -278,6 +278,24 @@ def test_vectors(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_vectors_of_many_lists(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 64))
+    x[1500:] = x[:1500] + rng.normal(size=(1500, 64)) * 0.45
+    x[2000:2600] = x[5] + rng.normal(size=(600, 64)) * 0.2  # one group over far more than 16 lists
+    x[2900:2950] = x[5]
+    settings = vectors.IndexSettings(list_size=8, block=256)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in vectors.near_duplicates(table, settings=settings).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.9
+    component = np.arange(len(x))
+    while (lower := np.array([component[row].min() for row in close])).tolist() != component.tolist():
+        component = lower
+    assert [found[k]["n_links"] for k in range(len(x))] == (close.sum(1) - 1).tolist()
+    assert [found[k]["component_id"] for k in range(len(x))] == component.tolist()
+
+
 def test_url_rules(spark):
     urls = {
         1: "http://A.Example.ORG/es/1", 2: "https://example.org/en/12?x", 3: "http://x.org#f", 4: "http://y.com/de/1", 5: "http://com/fr/", 6: None,
