@@ -2,7 +2,7 @@
 
 Documents are tokenized, cut only where longer than a sequence, and range-sorted
 by length, which gives every piece its rank among the pieces of its length. The
-matching is bulk-synchronous: one round per length, longest first. A round sweeps
+matching is a loop on the driver, one round per length, longest first. A round sweeps
 the gaps upwards from its length, gives the smallest fitting gaps to the lowest
 ranks (ranks resolve who gets which gap), and puts the used gaps back at their new
 size. Equal gaps and equal pieces are runs, so the state of a round is at most one
