@@ -35,11 +35,15 @@ from llm.common import stored
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LEAST_DOCUMENTS, SCALE, SMOOTHING, TOP_TERMS = 10, 1_000_000_000, 2, 10
 FIRST_LEVEL = 2
-# Text of one block; and bits of the survivors' bitmap, 2 MB for each task whatever the corpus.
-BLOCK_BYTES, BITMAP_BITS = 8_000_000, 1 << 24
+# Text of one block; sums that a task holds before it hands them on; bits of the survivors' bitmap, 2 MB for
+# each task whatever the corpus.
+BLOCK_BYTES, HELD_SUMS, BITMAP_BITS = 2_000_000, 200_000, 1 << 24
 # Cells (terms x sources) of one task that sums divergences.
 TASK_CELLS = 2_000_000
 
+# Numbers of sources and terms share a long.
+WIDTH = 1 << 32
+
 BLOCK_SCHEMA = (
     "langs array<string>, sources array<string>, doc_lang binary, doc_source binary, "
     "terms binary, term_ends binary, term_lang binary, doc_ends binary, doc_terms binary, doc_counts binary"
@@ -74,7 +78,7 @@ def _block(texts: list[bytes], langs: list[str], sources: list[str]) -> dict:
         "terms": b"".join(terms), "term_ends": np.cumsum([0, *map(len, terms)], dtype=np.int64).tobytes(),
         "term_lang": np.array(term_lang, np.int32).tobytes(),
         "doc_ends": np.searchsorted(keys, np.arange(len(texts) + 1) * width).astype(np.int64).tobytes(),
-        "doc_terms": (keys % width).astype(np.int32).tobytes(), "doc_counts": counts.astype(np.int64).tobytes(),
+        "doc_terms": (keys % width).astype(np.int32).tobytes(), "doc_counts": counts.astype(np.int32).tobytes(),
     }
 
 
@@ -113,7 +117,7 @@ class _Opened:
     """A block's arrays."""
 
     def __init__(self, row: dict):
-        ints = {k: np.frombuffer(row[k], np.int64 if k in ("term_ends", "doc_ends", "doc_counts") else np.int32) for k in (
+        ints = {k: np.frombuffer(row[k], np.int64 if k in ("term_ends", "doc_ends") else np.int32) for k in (
             "doc_lang", "doc_source", "term_ends", "term_lang", "doc_ends", "doc_terms", "doc_counts")}
         self.langs, self.sources = row["langs"], row["sources"]
         self.doc_source, self.term_lang, self.doc_terms, self.doc_counts = (ints[k] for k in ("doc_source", "term_lang", "doc_terms", "doc_counts"))
@@ -152,6 +156,26 @@ def _has(mask: np.ndarray, place: int) -> bool:
     return bool(mask[place >> 3] >> (place & 7) & 1)
 
 
+def _prefixes(block: _Opened, length: int, above: int, mask: np.ndarray | None, bits: int) -> tuple[list[tuple[str, bytes, bool]], np.ndarray]:
+    """The prefixes (lang, prefix, complete) of a block's terms under surviving ones, and for each pair its prefix or -1."""
+    group, keys, last, upper, alive = np.full(len(block.terms), -1, np.int64), [], None, None, True
+    for k, (term, lang) in enumerate(zip(block.terms, block.term_lang.tolist(), strict=True)):
+        if mask is not None:
+            if len(term) <= above:
+                continue
+            if upper != (lang, term[:above]):
+                upper = (lang, term[:above])
+                alive = _has(mask, _place(block.langs[lang], upper[1], False, bits))
+            if not alive:
+                continue
+        key = (block.langs[lang], term[:length], len(term) <= length)
+        if key != last:
+            keys.append(key)
+            last = key
+        group[k] = len(keys) - 1
+    return keys, group[block.doc_terms]
+
+
 def level_counts(blocked: DataFrame, length: int, above: int, survivors: bytes | None, bits: int) -> DataFrame:
     """(lang, prefix, complete, docs): documents with each prefix of ``length`` bytes, under the survivors of length ``above``.
 
@@ -161,30 +185,24 @@ def level_counts(blocked: DataFrame, length: int, above: int, survivors: bytes |
     arrow = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("complete", pa.bool_()), ("docs", pa.int64())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = None if survivors is None else np.frombuffer(survivors, np.uint8)
+        mask, sums = None if survivors is None else np.frombuffer(survivors, np.uint8), {}
+
+        def made() -> pa.RecordBatch:
+            columns = [*zip(*sums, strict=True), sums.values()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)
+
         for block in _opened(batches):
-            group, keys, last, alive = np.full(len(block.terms), -1, np.int64), [], None, {}
-            for k, (term, lang) in enumerate(zip(block.terms, block.term_lang.tolist(), strict=True)):
-                if mask is not None:
-                    if len(term) <= above:
-                        continue
-                    upper = (lang, term[:above])
-                    if upper not in alive:
-                        alive = {upper: _has(mask, _place(block.langs[lang], upper[1], False, bits))}
-                    if not alive[upper]:
-                        continue
-                key = (lang, term[:length], len(term) <= length)
-                if key != last:
-                    keys.append(key)
-                    last = key
-                group[k] = len(keys) - 1
-            of_pair = group[block.doc_terms]
+            keys, of_pair = _prefixes(block, length, above, mask, bits)
             doc, of_pair = block.doc_of_pair[of_pair >= 0], of_pair[of_pair >= 0]
             first = np.ones(len(doc), bool)
             first[1:] = (doc[1:] != doc[:-1]) | (of_pair[1:] != of_pair[:-1])
-            docs = np.bincount(of_pair[first], minlength=len(keys))
-            columns = [[block.langs[g] for g, _, _ in keys], [p for _, p, _ in keys], [c for _, _, c in keys], docs.astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)
+            for key, docs in zip(keys, np.bincount(of_pair[first], minlength=len(keys)).tolist(), strict=True):
+                sums[key] = sums.get(key, 0) + docs
+            if len(sums) > HELD_SUMS:
+                yield made()
+                sums = {}
+        if sums:
+            yield made()
 
     return blocked.mapInArrow(counted, schema).groupBy("lang", "prefix", "complete").agg(F.sum("docs").alias("docs"))
 
@@ -210,17 +228,35 @@ def term_counts(blocked: DataFrame, kept: DataFrame, bits: int = BITMAP_BITS) ->
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.frombuffer(survivors, np.uint8)
+        terms, sources, held = defaultdict(count().__next__), defaultdict(count().__next__), []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            return keys, np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+
+        def made() -> pa.RecordBatch:
+            (keys, sums), names = merged(), list(terms)
+            pick = keys % WIDTH
+            langs, words = (pa.array([n[x] for n in names], t).take(pa.array(pick)) for x, t in ((0, pa.string()), (1, pa.binary())))
+            groups = pa.array(list(sources), pa.string()).take(pa.array(keys // WIDTH))
+            return pa.RecordBatch.from_arrays([langs, groups, words, pa.array(sums)], schema=arrow)
+
         for block in _opened(batches):
-            is_kept = np.array([_has(mask, _place(block.langs[g], t, True, bits)) for t, g in zip(block.terms, block.term_lang.tolist(), strict=True)], bool)
-            of_kept = is_kept[block.doc_terms]
-            width = max(len(block.terms), 1)
-            keys, where = np.unique((block.doc_source[block.doc_of_pair].astype(np.int64) * width + block.doc_terms)[of_kept], return_inverse=True)
-            sums = np.zeros(len(keys), np.int64)
-            np.add.at(sums, where, block.doc_counts[of_kept])
-            term, source = keys % width, keys // width
-            terms = pa.array(block.terms, pa.binary()).take(pa.array(term))
-            langs = pa.array(block.langs, pa.string()).take(pa.array(block.term_lang[term]))
-            yield pa.RecordBatch.from_arrays([langs, pa.array(block.sources, pa.string()).take(pa.array(source)), terms, pa.array(sums)], schema=arrow)
+            number = np.full(len(block.terms), -1, np.int64)
+            for k, (term, g) in enumerate(zip(block.terms, block.term_lang.tolist(), strict=True)):
+                if _has(mask, _place(block.langs[g], term, True, bits)):
+                    number[k] = terms[block.langs[g], term]
+            source = np.array([sources[x] for x in block.sources], np.int64)
+            of_pair = number[block.doc_terms]
+            held.append(((source[block.doc_source][block.doc_of_pair] * WIDTH + of_pair)[of_pair >= 0], block.doc_counts[of_pair >= 0]))
+            if sum(len(k) for k, _ in held) > 8 * HELD_SUMS:
+                held = [merged()]
+            if len(terms) > HELD_SUMS or len(held[0][0]) > 4 * HELD_SUMS:
+                yield made()
+                terms.clear(), sources.clear(), held.clear()
+                terms.default_factory, sources.default_factory = count().__next__, count().__next__
+        if held:
+            yield made()
 
     summed = blocked.mapInArrow(counted, schema).groupBy("lang", "source", "prefix").agg(F.sum("count").alias("count"))
     return summed.join(kept.select("lang", "prefix"), ["lang", "prefix"], "left_semi").withColumn("term", F.col("prefix").cast("string")).drop("prefix")
