@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from llm.common import arrow_batches, stored
 
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LEAST_DOCUMENTS, SCALE, SMOOTHING, TOP_TERMS = 10, 1_000_000_000, 2, 10
@@ -38,6 +38,7 @@ FIRST_LEVEL = 2
 # Text of one block; sums that a task holds before it hands them on; bits of the survivors' bitmap, 2 MB for
 # each task whatever the corpus.
 BLOCK_BYTES, HELD_SUMS, BITMAP_BITS = 2_000_000, 200_000, 1 << 24
+DOCUMENTS_AT_A_TIME, BLOCKS_AT_A_TIME = 500, 2
 # Cells (terms x sources) of one task that sums divergences.
 TASK_CELLS = 2_000_000
 
@@ -211,7 +212,8 @@ def kept_terms(blocked: DataFrame, least: int = LEAST_DOCUMENTS, bits: int = BIT
     """(lang, prefix, complete): the complete terms in at least ``least`` documents of their language, stored."""
     kept, length, above, mask = None, FIRST_LEVEL, 0, None
     while True:
-        level = stored(level_counts(blocked, length, above, mask, bits).where(F.col("docs") >= least).drop("docs"), f"terms-{length}")
+        with arrow_batches(blocked.sparkSession, BLOCKS_AT_A_TIME):
+            level = stored(level_counts(blocked, length, above, mask, bits).where(F.col("docs") >= least).drop("docs"), f"terms-{length}")
         done = level.where("complete")
         kept = done if kept is None else kept.unionByName(done)
         going = level.where("not complete")
@@ -249,9 +251,9 @@ def term_counts(blocked: DataFrame, kept: DataFrame, bits: int = BITMAP_BITS) ->
             source = np.array([sources[x] for x in block.sources], np.int64)
             of_pair = number[block.doc_terms]
             held.append(((source[block.doc_source][block.doc_of_pair] * WIDTH + of_pair)[of_pair >= 0], block.doc_counts[of_pair >= 0]))
-            if sum(len(k) for k, _ in held) > 8 * HELD_SUMS:
+            if sum(len(k) for k, _ in held) > 2 * HELD_SUMS:
                 held = [merged()]
-            if len(terms) > HELD_SUMS or len(held[0][0]) > 4 * HELD_SUMS:
+            if len(terms) > HELD_SUMS or len(held[0][0]) > HELD_SUMS:
                 yield made()
                 terms.clear(), sources.clear(), held.clear()
                 terms.default_factory, sources.default_factory = count().__next__, count().__next__
@@ -295,9 +297,12 @@ def audit(
     Pairs of sources meet in blocks of terms as a matrix of shares per task, so no row is made per pair and
     term; a common term or a large source costs a cell like any other.
     """
-    blocked = stored(blocks(docs, text, lang, source), "term-blocks")
+    spark = docs.sparkSession
+    with arrow_batches(spark, DOCUMENTS_AT_A_TIME):
+        blocked = stored(blocks(docs, text, lang, source), "term-blocks")
     kept = kept_terms(blocked, least, bits)
-    counts = stored(term_counts(blocked, kept, bits), "term-counts")
+    with arrow_batches(spark, BLOCKS_AT_A_TIME):
+        counts = stored(term_counts(blocked, kept, bits), "term-counts")
 
     plain = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))])
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"))
