@@ -18,7 +18,6 @@ reach the driver.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -32,15 +31,18 @@ from pyspark.sql import functions as F
 
 from llm.common import arrow_batches, stored
 
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+# Terms are runs of ASCII letters and bytes beyond ASCII, A-Z in lower case; every other byte parts them.
+PARTED = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 LEAST_DOCUMENTS, SCALE, SMOOTHING, TOP_TERMS = 10, 1_000_000_000, 2, 10
-FIRST_LEVEL = 2
+FIRST_LEVEL = 4
 # Text of one block; sums that a task holds before it hands them on; bits of the survivors' bitmap, 2 MB for
 # each task whatever the corpus.
-BLOCK_BYTES, HELD_SUMS, BITMAP_BITS = 2_000_000, 200_000, 1 << 24
-DOCUMENTS_AT_A_TIME, BLOCKS_AT_A_TIME = 500, 2
+BLOCK_BYTES, HELD_SUMS, BITMAP_BITS = 4_000_000, 200_000, 1 << 24
+DOCUMENTS_AT_A_TIME, BLOCKS_AT_A_TIME = 500, 1
+# Parts that a large group is dealt into.
+SALTS = 1 << 16
 # Cells (terms x sources) of one task that sums divergences.
-TASK_CELLS = 2_000_000
+TASK_CELLS = 100_000
 
 # Numbers of sources and terms share a long.
 WIDTH = 1 << 32
@@ -59,7 +61,7 @@ def _block(texts: list[bytes], langs: list[str], sources: list[str]) -> dict:
     local: list[np.ndarray] = []
     for text, lang in zip(texts, doc_lang.tolist(), strict=True):
         vocabulary = vocabularies.setdefault(lang, defaultdict(count().__next__))
-        local.append(np.fromiter(map(vocabulary.__getitem__, TERM.findall(text.lower())), np.int64))
+        local.append(np.fromiter(map(vocabulary.__getitem__, text.translate(PARTED).split()), np.int64))
     # Terms are numbered in the order (language, bytes), so a document's terms with one prefix stand together.
     terms, term_lang, numbers = [], [], {}
     for lang in sorted(vocabularies):
@@ -109,9 +111,14 @@ BLOCK_ARROW = pa.schema([(f.split()[0], _LIST if "array" in f else _BYTES) for f
 
 
 def blocks(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Documents as blocks of sorted terms and term counts, see BLOCK_SCHEMA; no shuffle."""
+    """Documents as blocks of sorted terms and term counts, see BLOCK_SCHEMA.
+
+    They are range-partitioned by language and source, so a task meets few groups and sums up most of what it
+    finds; rows of a large group are dealt by a number, so ranges split it.
+    """
     plain = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))])
-    return plain.mapInArrow(_blocks, BLOCK_SCHEMA)
+    dealt = plain.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return dealt.repartitionByRange("lang", "source", "salt").drop("salt").mapInArrow(_blocks, BLOCK_SCHEMA)
 
 
 class _Opened:
@@ -157,23 +164,31 @@ def _has(mask: np.ndarray, place: int) -> bool:
     return bool(mask[place >> 3] >> (place & 7) & 1)
 
 
+def _changes(lang: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """Where a sorted row differs from the one before it."""
+    first = np.ones(len(lang), bool)
+    first[1:] = lang[1:] != lang[:-1]
+    for c in columns:
+        first[1:] |= c[1:] != c[:-1]
+    return first
+
+
 def _prefixes(block: _Opened, length: int, above: int, mask: np.ndarray | None, bits: int) -> tuple[list[tuple[str, bytes, bool]], np.ndarray]:
     """The prefixes (lang, prefix, complete) of a block's terms under surviving ones, and for each pair its prefix or -1."""
-    group, keys, last, upper, alive = np.full(len(block.terms), -1, np.int64), [], None, None, True
-    for k, (term, lang) in enumerate(zip(block.terms, block.term_lang.tolist(), strict=True)):
-        if mask is not None:
-            if len(term) <= above:
-                continue
-            if upper != (lang, term[:above]):
-                upper = (lang, term[:above])
-                alive = _has(mask, _place(block.langs[lang], upper[1], False, bits))
-            if not alive:
-                continue
-        key = (block.langs[lang], term[:length], len(term) <= length)
-        if key != last:
-            keys.append(key)
-            last = key
-        group[k] = len(keys) - 1
+    sizes = np.array([len(t) for t in block.terms], np.int64)
+    place = np.arange(len(sizes))
+    if mask is not None:
+        place = np.flatnonzero(sizes > above)
+        lang, upper = block.term_lang[place], np.array([block.terms[k][:above] for k in place.tolist()], f"S{above}")
+        first = _changes(lang, upper)
+        alive = [_has(mask, _place(block.langs[g], u, False, bits)) for g, u in zip(lang[first].tolist(), upper[first].tolist(), strict=True)]
+        place = place[np.array(alive, bool)[np.cumsum(first) - 1]] if alive else place
+    lang, complete = block.term_lang[place], sizes[place] <= length
+    cut = np.array([block.terms[k][:length] for k in place.tolist()], f"S{length}")
+    first = _changes(lang, cut, complete)
+    keys = [(block.langs[g], c, bool(w)) for g, c, w in zip(lang[first].tolist(), cut[first].tolist(), complete[first].tolist(), strict=True)]
+    group = np.full(len(sizes), -1, np.int64)
+    group[place] = np.cumsum(first) - 1
     return keys, group[block.doc_terms]
 
 
@@ -264,28 +279,39 @@ def term_counts(blocked: DataFrame, kept: DataFrame, bits: int = BITMAP_BITS) ->
     return summed.join(kept.select("lang", "prefix"), ["lang", "prefix"], "left_semi").withColumn("term", F.col("prefix").cast("string")).drop("prefix")
 
 
-# Exact in whole numbers: p = 1 + floor(SCALE * (count + 2) / (N + 2 V)), f = floor((p - q)^2 / (p + q)); p is at
-# most SCALE + 1, so squares fit a long, and the quotient's numerator has 38 digits.
-def share(counted: str, total: str = "N", terms: str = "V") -> Column:
-    wide = lambda x: f"cast({x} as decimal(20,0))"
-    return F.expr(f"1 + {wide(f'{counted} + {SMOOTHING}')} * {SCALE}BD div ({wide(total)} + {SMOOTHING} * {wide(terms)})")
+def _share(counted: np.ndarray, total: np.ndarray, terms: int) -> np.ndarray:
+    """1 + floor(SCALE * (count + SMOOTHING) / (N + SMOOTHING * V)), exact: in longs while they fit, else in Python's integers."""
+    kind = np.int64 if counted.max(initial=0) < 9_000_000_000 else object
+    up, down = (counted.astype(kind) + SMOOTHING) * SCALE, total.astype(kind) + SMOOTHING * terms
+    return (1 + up // down).astype(np.int64)
 
 
-def divergence(p: str, q: str) -> Column:
-    return F.expr(f"({p} - {q}) * ({p} - {q}) div ({p} + {q})")
+def _divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """floor((p - q)^2 / (p + q)); shares are at most SCALE + 1, so squares fit a long."""
+    return (p - q) ** 2 // (p + q)
 
 
-def _pair_sums(key: tuple, terms: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
-    """Divergence of all source pairs of one language over one block of terms: (lang, source, item, value)."""
-    groups = groups.sort_values("source").reset_index(drop=True)
-    row = pd.Index(groups["source"]).get_indexer(terms["source"])
-    column, distinct = pd.factorize(terms["term"])
-    shares = np.repeat(groups["absent"].to_numpy(np.int64)[:, None], len(distinct), axis=1)
-    shares[row, column] = terms["p"].to_numpy(np.int64)
-    sums = np.array([((shares - p) ** 2 // (shares + p)).sum(axis=1) for p in shares], np.int64).reshape(len(groups), len(groups))
-    one, other = np.nonzero(~np.eye(len(groups), dtype=bool))
-    names = groups["source"].to_numpy(object)
-    return pd.DataFrame({"lang": key[0], "source": names[one], "item": names[other], "value": sums[one, other]})
+def _compared(top: int):
+    def compare(key: tuple, rows: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+        """What some terms of one language add to each pair of sources, and the ``top`` terms of each source among them."""
+        groups = groups.sort_values("source").reset_index(drop=True)
+        names, totals, terms = groups["source"].to_numpy(object), groups["N"].to_numpy(np.int64), int(groups["V"].iloc[0])
+        column, items = pd.factorize(rows["term"])
+        counts = np.zeros((len(names), len(items)), np.int64)
+        counts[pd.Index(names).get_indexer(rows["source"]), column] = rows["count"].to_numpy(np.int64)
+        p, q = _share(counts, totals[:, None], terms), _share(counts.sum(axis=0), groups["lang_N"].to_numpy(np.int64)[:1], terms)
+        sums = np.array([_divergence(p, row).sum(axis=1) for row in p])
+        one, other = np.nonzero(~np.eye(len(names), dtype=bool))
+        found = [pd.DataFrame({"source": names[one], "part": "pair", "item": names[other], "value": sums[one, other]})]
+        by_bytes = np.argsort(np.argsort([x.encode() for x in items]))
+        for row, name in enumerate(names):
+            typical = np.flatnonzero((counts[row] > 0) & (p[row] > q))
+            value = _divergence(p[row, typical], q[typical])
+            best = np.lexsort((by_bytes[typical], -value))[:top]
+            found.append(pd.DataFrame({"source": name, "part": "term", "item": np.asarray(items, object)[typical[best]], "value": value[best]}))
+        return pd.concat([x for x in found if len(x)] or found[:1]).assign(lang=key[0])[["lang", "source", "part", "item", "value"]]
+
+    return compare
 
 
 def audit(
@@ -294,8 +320,8 @@ def audit(
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): divergence of every source from each other one, and its ``top`` most typical terms.
 
-    Pairs of sources meet in blocks of terms as a matrix of shares per task, so no row is made per pair and
-    term; a common term or a large source costs a cell like any other.
+    A language's terms are dealt to tasks; each holds the counts of its terms in all sources as a matrix. So no
+    row is made per pair and term, and a common term or a large source costs a cell like any other.
     """
     spark = docs.sparkSession
     with arrow_batches(spark, DOCUMENTS_AT_A_TIME):
@@ -307,31 +333,20 @@ def audit(
     plain = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))])
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"))
     totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("N"))
-    groups = (
-        plain.distinct().join(sizes, "lang", "left").join(totals, ["lang", "source"], "left")
-        .fillna(0, ["V", "N"])
-        .withColumn("absent", F.when(F.col("V") > 0, share("0L")))
-    )
+    groups = plain.distinct().join(sizes, "lang", "left").join(totals, ["lang", "source"], "left").fillna(0, ["V", "N"])
     groups = stored(groups, "source-groups")
 
-    # In each task a language's sources by some of its terms; how many tasks follows from its number of cells.
-    widths = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"), F.max("V").alias("V"))
-    widths = widths.where("V > 0").withColumn("parts", F.ceil(F.col("sources") * F.col("V") / F.lit(task_cells)).cast("int"))
-    shares = counts.join(groups.select("lang", "source", "N", "V"), ["lang", "source"]).join(widths.select("lang", "parts"), "lang")
-    shares = shares.select("lang", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int").alias("part"), "source", "term", share("count").alias("p"))
-    sides = groups.join(widths.select("lang", "parts"), "lang").select("lang", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "source", "absent")
-    sums = shares.groupBy("lang", "part").cogroup(sides.groupBy("lang", "part")).applyInPandas(_pair_sums, "lang string, source string, item string, value bigint")
-    sums = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    # How many tasks a language's terms are dealt to follows from its number of cells.
+    widths = groups.groupBy("lang").agg(F.sum("N").alias("lang_N"), F.max("V").alias("of_lang"), F.count(F.lit(1)).alias("sources")).where("of_lang > 0")
+    widths = widths.select("lang", "lang_N", F.ceil(F.col("sources") * F.col("of_lang") / F.lit(task_cells)).cast("int").alias("parts"))
+    rows = counts.join(widths, "lang").select("lang", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int").alias("cell"), "source", "term", "count")
+    sides = groups.join(widths, "lang").select("lang", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"), "source", "N", "V", "lang_N")
+    schema = "lang string, source string, part string, item string, value bigint"
+    found = stored(rows.groupBy("lang", "cell").cogroup(sides.groupBy("lang", "cell")).applyInPandas(_compared(top), schema), "compared")
+
+    sums = found.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     pairs = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang").where("source <> item")
     pairs = pairs.join(sums, ["lang", "source", "item"], "left").fillna(0, ["value"])
-
-    whole = counts.groupBy("lang", "term").agg(F.sum("count").alias("whole"))
-    of_lang = groups.groupBy("lang").agg(F.sum("N").alias("lang_N"), F.max("V").alias("V"))
-    terms = (
-        counts.join(groups.select("lang", "source", "N"), ["lang", "source"]).join(whole, ["lang", "term"]).join(of_lang, "lang")
-        .select("lang", "source", F.col("term").alias("item"), share("count").alias("p"), share("whole", "lang_N").alias("q"))
-        .where("p > q").select("lang", "source", "item", divergence("p", "q").alias("value"))
-    )
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = lambda rows, part: rows.select("lang", "source", F.lit(part).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
-    return ranked(pairs, "pair").unionByName(ranked(terms, "term").where(F.col("rank") <= top))
+    return ranked(pairs, "pair").unionByName(ranked(found.where("part = 'term'"), "term").where(F.col("rank") <= top))
