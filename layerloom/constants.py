@@ -23,9 +23,9 @@ LOADED_AT = "_loaded_at"
 SOURCE_FILE = "_source_file"
 FILE_LOG_ID = "_sftp_log_id"
 RAW_LINEAGE_COLUMNS = (LOADED_AT, SOURCE_FILE, FILE_LOG_ID)
-# Where a row stands in its file set: the file (oldest extraction first) and the row in the file.
-FILE_ORDER, SOURCE_ROW = "_etl_file_order", "_etl_source_row"
-ROW_POSITION = (FILE_ORDER, SOURCE_ROW)
+# As of when a row was true, a total order over all loads: extraction time, file, row in the file.
+EXTRACTED_AT, EXTRACT_FILE, SOURCE_ROW = "_etl_extracted_at", "_etl_extract_file", "_etl_source_row"
+ROW_POSITION = (EXTRACTED_AT, EXTRACT_FILE, SOURCE_ROW)
 
 # Columns that never take part in change detection.
 HASH_EXCLUDED = frozenset(

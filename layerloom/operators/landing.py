@@ -124,6 +124,22 @@ def inventory(
     return result if tables is None else result.filter(F.col("table_name").isin(*tables))
 
 
+def validated(listing: DataFrame, metadata: DataFrame, content: DataFrame) -> DataFrame:
+    """An inventory made without content, after the files it lets through were opened; adds ``schema_print``."""
+    expected = metadata.select("base_name", "row_count", "checksum_md5")
+    checked = check_files(expected, content).select("base_name", F.col("actual_row_count").alias("_rows"), "problem")
+    prints = content.select("base_name", "schema_print")
+    values = {
+        "actual_row_count": F.col("_rows"),
+        "skip_reason": F.coalesce("skip_reason", F.when(F.col("problem").isNotNull(), F.lit("validation_failed"))),
+    }
+    found = checked.join(prints, "base_name")
+    joined = listing.join(found, "base_name", "left")
+    problem = F.col("skip_reason").isNull() & F.col("_rows").isNull()  # opened and not found again
+    values["skip_reason"] = F.coalesce(values["skip_reason"], F.when(problem, F.lit("validation_failed")))
+    return joined.select(*[values.get(c, F.col(c)).alias(c) for c in listing.columns], "schema_print")
+
+
 def discovered(listing: DataFrame) -> DataFrame:
     return listing.filter(F.col("skip_reason").isNull()).drop("skip_reason", "status_error")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -29,17 +30,19 @@ def to_raw(
     loaded_at: datetime | str | Column,
     source_file: str | Column,
     log_id: str | Column | None,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
     """The raw form of an extract: two projections of one stage, no shuffle.
 
     Pass ``F.col("_metadata.file_name")`` as ``source_file`` to record the
     file of each row when many files are read at once. Columns that say where
-    a row stands in its file set (``ROW_POSITION``) stay as they are.
+    a row stands in its file set (``ROW_POSITION``) stay as they are; columns
+    to ``drop`` serve the lineage only.
     """
     file = source_file if isinstance(source_file, Column) else F.lit(source_file)
     log = log_id if isinstance(log_id, Column) else F.lit(log_id).cast("string")
     lineage = [moment(loaded_at), file, log]
-    data = [f for f in df.schema if f.name not in ROW_POSITION]
+    data = [f for f in df.schema if f.name not in (*ROW_POSITION, *drop)]
     position = [c for c in ROW_POSITION if c in df.columns]
     based = df.select(
         *[base_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in data],

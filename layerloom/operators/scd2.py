@@ -27,6 +27,7 @@ from layerloom.constants import (
     IS_CURRENT,
     IS_DELETED,
     LOAD_MODES,
+    ROW_POSITION,
     RUN_ID,
     SCD2_COLUMNS,
     VALID_FROM,
@@ -44,14 +45,20 @@ class History:
     """What a merge needs to know about one table.
 
     ``order`` names the columns that pick the winner among batch rows of one
-    key, largest first. By default the newest staging row wins. The hash
-    breaks remaining ties, so the winner's content is always the same.
+    key, largest first. By default the newest staging row wins: latest run, then
+    extraction, file and row in the file. The hash breaks remaining ties, so the winner's content is always the same.
+
+    ``as_of`` names the columns that say when a row was true (``ROW_POSITION``:
+    extraction time first). They pick the winner unless ``order`` is given,
+    travel with every version, and guard the merge: a row that is older than
+    what is live, or was confirmed or deleted since, changes nothing.
     """
 
     keys: tuple[str, ...]
     columns: tuple[str, ...]
     hash_columns: tuple[str, ...] | None = None
     order: tuple[str, ...] = ()
+    as_of: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if not self.keys:
@@ -62,8 +69,12 @@ class History:
         return hashdiff(self.columns if self.hash_columns is None else self.hash_columns)
 
     def winner_order(self, batch: DataFrame) -> list[Column]:
-        newest = (VALID_FROM,) if VALID_FROM in batch.columns else ()
-        return [F.desc(c) for c in (*(self.order or newest), HASHDIFF)]
+        newest = tuple(c for c in (VALID_FROM, *ROW_POSITION) if c in batch.columns)
+        return [F.desc(c) for c in (*(self.order or self.as_of or newest), HASHDIFF)]
+
+    def moment_of(self, prefix: str = "") -> Column:
+        """The as-of columns as one value that compares; a row without a position is older than any other."""
+        return F.struct(*[F.col(f"{prefix}{c}") for c in self.as_of])
 
 
 def with_hash(batch: DataFrame, table: History) -> DataFrame:
@@ -74,10 +85,51 @@ def with_hash(batch: DataFrame, table: History) -> DataFrame:
 
 
 def incoming(batch: DataFrame, table: History) -> DataFrame:
-    """One row per key: business columns and hash."""
+    """One row per key: business columns, hash and as-of columns."""
     hashed = with_hash(batch, table)
     winners = latest_per_key(hashed, table.keys, table.winner_order(hashed))
-    return winners.select(*table.columns, HASHDIFF)
+    return winners.select(*table.columns, HASHDIFF, *table.as_of)
+
+
+STALE = "_stale"
+
+
+def newest_known(known: DataFrame, source: DataFrame, table: History) -> DataFrame:
+    """Per source key, the newest as-of of ``known`` rows (key and as-of columns)."""
+    narrow = known.select(*table.keys, *table.as_of)
+    matched = skew_safe_join(narrow, source.select(*table.keys), table.keys, "left_semi")
+    return matched.groupBy(*table.keys).agg(F.max(table.moment_of()).alias("_newest"))
+
+
+def marked_stale(source: DataFrame, known: DataFrame, table: History, horizon: datetime | None = None) -> DataFrame:
+    """Source rows with ``_stale``: older than what is known of their key, or than the last full extract.
+
+    Stale rows still count as present, so a FULL load does not delete their keys.
+    """
+    if not table.as_of:
+        return source
+    joined = source.join(newest_known(known, source, table), list(table.keys), "left")
+    stale = F.coalesce(table.moment_of() < F.col("_newest"), F.lit(False))
+    if horizon is not None:
+        stale = stale | F.coalesce(F.col(table.as_of[0]) < moment(horizon), F.lit(False))
+    return joined.select(*source.columns, stale.alias(STALE))
+
+
+def _is_stale(source: DataFrame) -> Column:
+    return F.col(STALE) if STALE in source.columns else F.lit(False)
+
+
+def horizon_of(source: DataFrame, table: History) -> datetime | None:
+    """When the newest row of a batch was extracted."""
+    return source.agg(F.max(table.as_of[0])).first()[0] if table.as_of else None
+
+
+def confirmed(live: DataFrame, source: DataFrame, table: History) -> DataFrame:
+    """Key and as-of of fresh source rows that say what is live already."""
+    on = [*table.keys, HASHDIFF]
+    fresh = source.filter(~_is_stale(source))
+    known = skew_safe_join(live.select(*on), fresh.select(*on), on, "left_semi").distinct()
+    return fresh.join(known, on, "left_semi").select(*table.keys, *table.as_of)
 
 
 def opened(rows: DataFrame, table: History, run_ts: datetime | str | Column, run_id: str) -> DataFrame:
@@ -90,6 +142,7 @@ def opened(rows: DataFrame, table: History, run_ts: datetime | str | Column, run
         F.lit(False).alias(IS_DELETED),
         F.col(HASHDIFF),
         F.lit(run_id).alias(RUN_ID),
+        *table.as_of,
     )
 
 
@@ -111,18 +164,33 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"unknown load mode {mode!r}")
 
 
-def decided(live: DataFrame, source: DataFrame, table: History, mode: str) -> DataFrame:
+def decided(live: DataFrame, source: DataFrame, table: History, mode: str, horizon: datetime | None = None) -> DataFrame:
     """Live rows with ``_action``: close a changed row, delete a missing key (FULL only).
 
-    A NULL key never matches, so in FULL mode such rows are deleted.
+    A NULL key never matches, so in FULL mode such rows are deleted. Rows that
+    were extracted after the ``horizon`` of a full extract are not missing from
+    it. A row that a newer source row confirms takes over its as-of.
     """
-    narrow = source.select(*table.keys, F.col(HASHDIFF).alias("_src_hash"), F.lit(True).alias("_hit"))
+    narrow = source.select(
+        *table.keys,
+        F.col(HASHDIFF).alias("_src_hash"),
+        _is_stale(source).alias("_src_stale"),
+        F.lit(True).alias("_hit"),
+        *[F.col(c).alias(f"_src{c}") for c in table.as_of],
+    )
     joined = skew_safe_join(live, narrow, table.keys, "left")
-    changed = F.col("_hit") & ~F.col(HASHDIFF).eqNullSafe(F.col("_src_hash"))
+    changed = F.col("_hit") & ~F.col("_src_stale") & ~F.col(HASHDIFF).eqNullSafe(F.col("_src_hash"))
     action = F.when(changed, F.lit(CLOSE))
     if mode == FULL:
-        action = action.when(F.col("_hit").isNull(), F.lit(DELETE))
-    return joined.select(*live.columns, action.otherwise(F.lit(KEEP)).alias("_action"))
+        missing = F.col("_hit").isNull()
+        if horizon is not None:
+            missing = missing & F.coalesce(F.col(table.as_of[0]) <= moment(horizon), F.lit(True))
+        action = action.when(missing, F.lit(DELETE))
+    acted = joined.withColumn("_action", action.otherwise(F.lit(KEEP)))
+    newer = (F.col("_action") == KEEP) & F.col("_hit") & ~F.col("_src_stale")
+    return acted.select(
+        *[F.when(newer, F.col(f"_src{c}")).otherwise(F.col(c)).alias(c) if c in table.as_of else c for c in live.columns], "_action"
+    )
 
 
 def _applied(rows: DataFrame, run_ts: Column) -> DataFrame:
@@ -138,21 +206,22 @@ def _applied(rows: DataFrame, run_ts: Column) -> DataFrame:
 
 def close_changed(history: DataFrame, batch: DataFrame, table: History, run_ts: datetime | str) -> DataFrame:
     """Only the rows a merge closes because their content changed."""
-    source = incoming(batch, table)
-    rows = decided(current_view(history), source, table, INCREMENTAL)
+    live = current_view(history)
+    rows = decided(live, marked_stale(incoming(batch, table), live, table), table, INCREMENTAL)
     return _applied(rows.filter(F.col("_action") == CLOSE), moment(run_ts))
 
 
 def soft_delete(history: DataFrame, batch: DataFrame, table: History, run_ts: datetime | str) -> DataFrame:
     """Only the rows a FULL merge deletes because their key is gone."""
     source = incoming(batch, table)
-    rows = decided(current_view(history), source, table, FULL)
+    rows = decided(current_view(history), source, table, FULL, horizon_of(source, table))
     return _applied(rows.filter(F.col("_action") == DELETE), moment(run_ts))
 
 
 def to_insert(live: DataFrame, source: DataFrame, table: History) -> DataFrame:
-    """Source rows with no live version of the same key and content."""
-    return unmatched(source, live, [*table.keys, HASHDIFF], table.keys)
+    """Fresh source rows with no live version of the same key and content."""
+    fresh = source.filter(~F.col(STALE)).drop(STALE) if STALE in source.columns else source
+    return unmatched(fresh, live, [*table.keys, HASHDIFF], table.keys)
 
 
 def new_keys(history: DataFrame, source: DataFrame, table: History) -> DataFrame:
@@ -177,9 +246,10 @@ def insert_versions(
     In FULL mode the delete step follows the insert and cannot match a NULL
     key, so such a row goes out closed and deleted in the same run.
     """
-    source = incoming(batch, table)
+    live = current_view(history)
+    source = marked_stale(incoming(batch, table), live, table)
     stamp = moment(run_ts)
-    rows = opened(to_insert(current_view(history), source, table), table, stamp, run_id)
+    rows = opened(to_insert(live, source, table), table, stamp, run_id)
     if mode != FULL:
         return rows
     lost = _null_key(table)
@@ -197,9 +267,11 @@ def changed_rows(
 ) -> DataFrame:
     """Every live row after the merge plus the inserted versions; no older history."""
     check_mode(mode)
-    rows = _applied(decided(live, incoming(batch, table), table, mode), moment(run_ts))
+    source = marked_stale(incoming(batch, table), live, table)
+    horizon = horizon_of(source, table) if mode == FULL else None
+    rows = _applied(decided(live, source, table, mode, horizon), moment(run_ts))
     added = insert_versions(live, batch, table, run_ts, run_id, mode)
-    return rows.select(*table.columns, *SCD2_COLUMNS).unionByName(added)
+    return rows.select(*table.columns, *SCD2_COLUMNS, *table.as_of).unionByName(added)
 
 
 def merge(
@@ -214,19 +286,22 @@ def merge(
     check_mode(mode)
     if history is None or mode == FULL_RESET:
         return open_versions(batch, table, run_ts, run_id)
-    ordered = history.select(*table.columns, *SCD2_COLUMNS)
+    ordered = history.select(*table.columns, *SCD2_COLUMNS, *table.as_of)
     past = ordered.filter(~is_live())
     return past.unionByName(changed_rows(current_view(ordered), batch, table, mode, run_ts, run_id))
 
 
 
-def endings(live: DataFrame, source: DataFrame, table: History, mode: str, run_ts: datetime | str) -> DataFrame:
+def endings(
+    live: DataFrame, source: DataFrame, table: History, mode: str, run_ts: datetime | str, horizon: datetime | None = None
+) -> DataFrame:
     """What a merge ends, as row identities (key, hash, opening run) with end time.
 
     Rows that share an identity share their fate, so the identity is enough to
     apply the ends later; no business column is read.
     """
-    rows = decided(live.select(*table.keys, HASHDIFF, RUN_ID), source, table, mode).filter(F.col("_action") != KEEP)
+    narrow = live.select(*table.keys, HASHDIFF, RUN_ID, *table.as_of)
+    rows = decided(narrow, source, table, mode, horizon).filter(F.col("_action") != KEEP)
     return rows.select(
         *table.keys, HASHDIFF, RUN_ID, moment(run_ts).alias(VALID_TO), (F.col("_action") == DELETE).alias(IS_DELETED)
     )

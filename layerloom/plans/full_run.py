@@ -10,16 +10,17 @@ from __future__ import annotations
 import time
 from collections import Counter
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import COMPLETED, FAILED, FILE_LOG_ID, FILE_ORDER, FULL_RESET, ROW_POSITION, SOURCE_ROW
+from layerloom.constants import COMPLETED, EXTRACT_FILE, FAILED, FILE_LOG_ID, FULL_RESET, ROW_POSITION, SOURCE_ROW
 from layerloom.operators import landing, monitoring, quality, raw, staging
 from layerloom.operators.catalog import TableSpec, enrich, load_spec
 from layerloom.operators.scd2 import History
 from layerloom.plans.history_load import load_history
-from layerloom.sources.landing_files import read_file_set, scan_landing, scanned_path
+from layerloom.sources.landing_files import SCANNED_PATH, positioned, read_file_set, scan_landing
 from layerloom.sources.layers import Layers
 
 TABLE_STAT_SCHEMA = (
@@ -45,13 +46,15 @@ class FileSet:
     physical_name: str
     load_mode: str
     paths: tuple[str, ...]
+    extracted: tuple[datetime, ...] = ()
+    schemas: int = 1
 
 
 def history_of(spec: TableSpec) -> History:
-    """Newest row wins: the file of the latest extraction, then the later row of a file."""
+    """Newest row wins: the file of the latest extraction, then the later row of a file; over all loads."""
     return History(
         keys=spec.primary_keys,
-        order=ROW_POSITION,
+        as_of=ROW_POSITION,
         columns=tuple(c.name for c in spec.columns),
         hash_columns=spec.hash_columns(),
     )
@@ -69,6 +72,7 @@ def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
         .agg(
             F.max(F.struct("extraction_date", "file_name", "table_name", "config_name", "effective_mode")).alias("m"),
             F.array_sort(F.collect_list(F.struct("extraction_date", "file_name", "path"))).alias("files"),
+            F.count_distinct("schema_print").alias("schemas"),
         )
         .orderBy("physical_name", "m.extraction_date", "m.file_name")
     )
@@ -79,8 +83,9 @@ def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
         name = r["physical_name"]
         load_id = f"{run_id}.{seen[name]}" if seen[name] else run_id
         seen[name] += 1
-        paths = tuple(f["path"] for f in r["files"])
-        sets.append(FileSet(load_id, newest["table_name"], newest["config_name"], name, newest["effective_mode"], paths))
+        paths, extracted = (tuple(f[c] for f in r["files"]) for c in ("path", "extraction_date"))
+        names = newest["table_name"], newest["config_name"], name
+        sets.append(FileSet(load_id, *names, newest["effective_mode"], paths, extracted, r["schemas"]))
     return sets
 
 
@@ -92,13 +97,6 @@ def quality_report(layers: Layers, extract: DataFrame, name: str, load_id: str)
     layers.append("monitoring", "quality_reports", quality.report(quality.summary(tall), name), f"{load_id}-{name}")
 
 
-def positioned(spark: SparkSession, extract: DataFrame, paths: tuple[str, ...]) -> DataFrame:
-    """The extract with its file's path and with ROW_POSITION; paths come oldest extraction first."""
-    order = spark.createDataFrame(list(zip(paths, range(len(paths)), strict=True)), f"_path string, {FILE_ORDER} int")
-    rows = extract.select("*", scanned_path().alias("_path"), F.col("_metadata.row_index").alias(SOURCE_ROW))
-    return rows.join(order, "_path", "left")
-
-
 def load_table(
     layers: Layers,
     files: FileSet,
@@ -117,15 +115,14 @@ def load_table(
         stats.append((run_id, layer, name, source, loaded, failed, seconds, files.load_mode, COMPLETED, None))
 
     started = time.monotonic()
-    extract = read_file_set(spark, files.paths)
+    if files.schemas > 1:
+        raise ValueError(f"the files of one set have different schemas: {', '.join(files.paths)}")
+    extract = read_file_set(spark, files.paths, checked=True)
     if check_quality:
         quality_report(layers, extract, name, files.load_id)
-    placed = positioned(spark, extract, files.paths)
-    path = F.col("_path")
-    file_name = F.element_at(F.split(path, "/"), -1)
+    placed = positioned(extract, files.paths, files.extracted)
     raw_name = raw.raw_table_name(spec.table_name, spec.config_name)
-    rows = raw.to_raw(placed.select(*extract.columns, *ROW_POSITION, "_path"), run_ts, file_name, monitoring.file_log_id(path, run_id))
-    rows = rows.drop("_path")
+    rows = raw.to_raw(placed, run_ts, F.col(EXTRACT_FILE), monitoring.file_log_id(F.col(SCANNED_PATH), run_id), drop=(SCANNED_PATH,))
     layers.replace("raw", raw_name, rows)
     stored = layers.read("raw", raw_name)
     raw_count = stored.count()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from layerloom.constants import FULL, FULL_RESET, HASHDIFF, IS_DELETED, RUN_ID
 from layerloom.operators import scd2
 from layerloom.operators.scd2 import History
-from layerloom.sources.layers import BASE, DELTA, ENDED_ROWS, Layers, load_name
+from layerloom.sources.layers import AS_OF, BASE, DELTA, ENDED_ROWS, Layers, load_name
 
 # An hourly load then rewrites the live rows once a day.
 COMPACT_AFTER = 24
@@ -47,7 +47,9 @@ def load_history(
     Of the stored rows only key, hash and opening run are read, so a load
     costs a narrow scan plus the batch; live rows are rewritten by compaction
     only, every ``compact_after`` loads. A run that is already committed is
-    skipped, so a retried caller does no harm.
+    skipped, so a retried caller does no harm. Rows that are older than what
+    the history knows of their key (``History.as_of``) change nothing, so files
+    may come late and staging may be replayed.
     """
     scd2.check_mode(mode)
     commits = layers.commits(name)
@@ -56,15 +58,23 @@ def load_history(
     live = None if mode == FULL_RESET else layers.live(name, commits)
     if live is None:
         written = layers.write_base(name, scd2.open_versions(batch, table, run_ts, run_id), run_id)
-        layers.commit(name, commits, run_id, BASE, resets=True)
+        whole = scd2.horizon_of(written, table) if mode in (FULL, FULL_RESET) else None
+        layers.commit(name, commits, run_id, BASE, resets=True, full_as_of=whole)
         n = written.count()
         return dict(zip(scd2.STATS, (n, n, 0, 0, n, 0), strict=True))
 
     source = scd2.incoming(batch, table)
+    whole = scd2.horizon_of(source, table) if mode == FULL else None
+    if table.as_of:
+        at = [*table.keys, *table.as_of]
+        seen, known = layers.confirmed(name, commits), live.select(*at)
+        if seen is not None:
+            known = known.unionByName(seen.select(*table.keys, f"{AS_OF}.*"))
+        source = scd2.marked_stale(source, known, table, commits.full_as_of)
     opened = layers.write_opened(
         name, scd2.opened(scd2.to_insert(live, source, table), table, run_ts, run_id), run_id
     )
-    ends = scd2.endings(live, source, table, mode, run_ts)
+    ends = scd2.endings(live, source, table, mode, run_ts, whole)
     if mode == FULL:
         ends = ends.unionByName(scd2.unmatchable(opened, table, run_ts))
     identity = [*table.keys, HASHDIFF, RUN_ID]
@@ -75,8 +85,11 @@ def load_history(
         ),
         run_id,
     )
+    if table.as_of and mode != FULL:
+        seen_now = scd2.confirmed(live, source, table).select(*table.keys, table.moment_of().alias(AS_OF))
+        layers.write_confirmed(name, seen_now, run_id)
     stats = _delta_stats(opened, ended, layers.known_keys(name, table.keys, commits), table)
-    layers.commit(name, commits, run_id, DELTA)
+    layers.commit(name, commits, run_id, DELTA, full_as_of=whole)
     if len(commits.deltas) + 1 >= compact_after:
         layers.compact(name)
     return stats
@@ -85,7 +98,10 @@ def load_history(
 def replay_from_staging(
     layers: Layers, name: str, staging: DataFrame, table: History, run_ts: datetime | str, run_id: str
 ) -> dict[str, int]:
-    """Recover a history from its staging rows: a FULL merge, refused on empty staging."""
+    """Recover a history from its staging rows, of one run or several: a FULL merge, refused on empty staging.
+
+    Of each key the newest version counts, whichever run staged it.
+    """
     if staging.isEmpty():
         raise ValueError(f"no staging rows to replay for {name}")
     return load_history(layers, name, staging, table, FULL, run_ts, run_id)

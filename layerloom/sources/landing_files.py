@@ -7,12 +7,16 @@ Spark; a missing folder reads as empty.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom.constants import EXTRACT_FILE, EXTRACTED_AT, SOURCE_ROW
 from layerloom.operators import landing
 
 METADATA_JSON = (
@@ -28,8 +32,6 @@ DUMP_JSON = (
 )
 RESULTS_JSON = "metadata struct<invocation_id: string>, results array<struct<unique_id: string, status: string, execution_time: double>>"
 
-PARQUET_MAGIC = "50415231"
-
 
 def _or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) -> DataFrame:
     try:
@@ -128,40 +130,65 @@ def count_rows(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def measure_content(spark: SparkSession, folder: str, checksums: bool = True) -> DataFrame:
-    """What the extracts of a folder really hold (:data:`landing.CONTENT_SCHEMA`).
+# What a file check reads at a time, and the tasks per core that files are dealt to.
+DIGEST_BYTES, TASKS_PER_CORE = 8 * 1024 * 1024, 4
+FOOTER_SCHEMA = "base_name string, readable boolean, actual_row_count bigint, actual_md5 string, schema_print string"
+
 
-    ``checksums`` reads every byte; leave it off where metadata carries none,
-    or where files pass the 2 GB limit of a binary value.
+def _check_file(path: str, digest: bool) -> tuple[bool, int | None, str | None, str | None]:
+    """(readable, rows, MD5, schema print) of one parquet file, from its footer; the MD5 is read in pieces."""
+    import hashlib
+    from urllib.parse import quote
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(quote(path, safe="/:@"))  # a store that can't be opened is an error of the run, not of a file
+    md5 = None
+    try:
+        with store.open_input_file(place) as file:
+            footer = pq.read_metadata(file)
+        columns = [footer.schema.column(k) for k in range(footer.num_columns)]
+        schema = ", ".join(f"{c.path} {c.physical_type} {c.logical_type}" for c in columns)
+        if digest:
+            total = hashlib.md5(usedforsecurity=False)
+            with store.open_input_stream(place, buffer_size=DIGEST_BYTES) as stream:
+                while piece := stream.read(DIGEST_BYTES):
+                    total.update(piece)
+            md5 = total.hexdigest()
+        return True, footer.num_rows, md5, hashlib.md5(schema.encode(), usedforsecurity=False).hexdigest()
+    except (OSError, pa.ArrowException):
+        return False, None, md5, None
+
+
+def _check_files(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        for name, path, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            columns = [[name], *([x] for x in _check_file(path, digest))]
+            kinds = (pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.string())
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["base_name", "readable", "actual_row_count", "actual_md5", "schema_print"])
+
+
+def check_contents(files: DataFrame) -> DataFrame:
+    """What files really hold (:data:`FOOTER_SCHEMA`), in one distributed pass over ``base_name, path, digest``.
+
+    A task reads the footers of its slice of the list and, where ``digest`` is
+    true, the file's bytes in pieces of a few megabytes, so a file may have any
+    size. A damaged or vanished file is an outcome of that file. The list never
+    passes through the driver.
     """
+    slices = files.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+    listed = files.select("base_name", "path", "digest").repartition(slices)
+    return listed.mapInArrow(_check_files, FOOTER_SCHEMA)
 
-    def load() -> DataFrame:
-        counted = count_rows(spark, f"{folder}/*.parquet").select(
-            base_name(F.col("file_path"), r"\.parquet").alias("base_name"), "actual_row_count"
-        )
-        # only files without rows are opened for their marks: empty ones, whatever their size, and damaged ones
-        listed = _binary(spark, folder, "*.parquet").select("path", base_name(F.col("path"), r"\.parquet").alias("base_name"))
-        silent = [r["path"] for r in listed.join(counted, "base_name", "left_anti").select("path").collect()]
-        if silent:
-            small = spark.read.format("binaryFile").load(silent)
-        else:
-            small = _binary(spark, folder, "*.parquet").filter(F.lit(False))
-        head, tail = F.hex(F.substring("content", 1, 4)), F.hex(F.substring("content", -4, 4))
-        empty = (
-            small.filter((head == PARQUET_MAGIC) & (tail == PARQUET_MAGIC))
-            .select(base_name(F.col("path"), r"\.parquet").alias("base_name"))
-            .join(counted, "base_name", "left_anti")
-            .withColumn("actual_row_count", F.lit(0).cast("bigint"))
-        )
-        found = counted.unionByName(empty).withColumn("readable", F.lit(True))
-        if not checksums:
-            return found.withColumn("actual_md5", F.lit(None).cast("string"))
-        sums = _binary(spark, folder, "*.parquet").select(
-            base_name(F.col("path"), r"\.parquet").alias("base_name"), F.md5("content").alias("actual_md5")
-        )
-        return found.join(sums, "base_name", "left")
 
-    return _or_empty(spark, load, landing.CONTENT_SCHEMA)
+def measure_content(spark: SparkSession, folder: str, checksums: bool = True) -> DataFrame:
+    """What all extracts of a folder hold, whatever their sidecars say (:data:`FOOTER_SCHEMA`)."""
+    return check_contents(list_files(spark, folder).withColumn("digest", F.lit(checksums)))
 
 
 def scan_landing(
@@ -172,27 +199,64 @@ def scan_landing(
     checksums: bool = True,
     tables: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The inventory of a landing folder, see :func:`landing.inventory`."""
-    content = measure_content(spark, f"{root}/parquet", checksums) if validate else None
-    return landing.inventory(
-        list_files(spark, f"{root}/parquet"),
-        read_metadata(spark, f"{root}/metadata"),
-        read_status(spark, f"{root}/status"),
-        content,
-        run_ts,
-        tables,
+    """The inventory of a landing folder, see :func:`landing.inventory`.
+
+    Sidecars and the table filter decide first: only files they let through
+    are opened, and only those whose metadata has a checksum are read whole.
+    Validated files also carry the print of their schema.
+    """
+    files, metadata = list_files(spark, f"{root}/parquet"), read_metadata(spark, f"{root}/metadata")
+    status = read_status(spark, f"{root}/status")
+    gated = landing.inventory(files, metadata, status, None, run_ts, tables)
+    if not validate:
+        return gated.withColumn("schema_print", F.lit(None).cast("string"))
+    wanted = metadata.select("base_name", (F.col("checksum_md5").isNotNull() & F.lit(checksums)).alias("digest"))
+    content = check_contents(landing.discovered(gated).join(wanted, "base_name"))
+    return landing.validated(gated, metadata, content)
+
+
+SCANNED_PATH = "_scanned_path"
+
+
+def positioned(extract: DataFrame, paths: Sequence[str], extracted: Sequence[datetime]) -> DataFrame:
+    """The extract with its file's path and with ROW_POSITION, all in the scan's own projection.
+
+    The extraction time of each file is a constant map, looked up by path; it is dealt into small maps
+    so a look-up costs the same for any number of files.
+    """
+    data = [F.col(f"`{c}`") for c in extract.columns]
+    placed = extract.select(*data, scanned_path().alias(SCANNED_PATH), F.col("_metadata.row_index").alias(SOURCE_ROW))
+    times = {p: t.isoformat(sep=" ") for p, t in zip(paths, extracted, strict=True)}
+    if len(set(times.values())) == 1:
+        when = F.lit(next(iter(times.values())))
+    else:
+        parts = max(1, len(times) // 4)
+        dealt: list[dict[str, str]] = [{} for _ in range(parts)]
+        for path, time in times.items():
+            dealt[zlib.crc32(path.encode()) % parts][path] = time
+        maps = F.from_json(F.lit(json.dumps(dealt)), "array<map<string,string>>")
+        when = F.element_at(F.get(maps, (F.crc32(SCANNED_PATH) % parts).cast("int")), F.col(SCANNED_PATH))
+    return placed.select(
+        *data,
+        SCANNED_PATH,
+        when.cast("timestamp_ntz").alias(EXTRACTED_AT),
+        F.element_at(F.split(F.col(SCANNED_PATH), "/"), -1).alias(EXTRACT_FILE),
+        SOURCE_ROW,
     )
 
 
-def read_file_set(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All files of one table as one frame; differing schemas are an error."""
-    if len(paths) == 1:
-        return spark.read.parquet(paths[0])
-    first = spark.read.parquet(paths[0]).schema
-    for path in paths[1:]:  # one footer each
-        if spark.read.parquet(path).schema != first:
-            raise ValueError(f"the files of one set have different schemas: {path}")
-    return spark.read.schema(first).parquet(*paths)
+def read_file_set(spark: SparkSession, paths: Sequence[str], checked: bool = False) -> DataFrame:
+    """All files of one table as one frame; differing schemas are an error.
+
+    Unless the schema prints were ``checked`` already, footers are compared on the executors.
+    """
+    if len(paths) > 1 and not checked:
+        listed = spark.createDataFrame([(p, p, False) for p in paths], "base_name string, path string, digest boolean")
+        prints = check_contents(listed).groupBy("schema_print").agg(F.max("base_name").alias("example"))
+        kinds = prints.limit(2).collect()
+        if len(kinds) > 1:
+            raise ValueError(f"the files of one set have different schemas: {kinds[1]['example']}")
+    return spark.read.parquet(*paths)
 
 
 def read_catalog_dump(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,9 @@ A history table is a *base* plus the *deltas* after it:
 * a base load holds all live rows, and the rows that ended since the base
   before it;
 * a delta load holds the versions it opened, and for each row it ended only
-  the row's identity (key, content hash, opening run) and end time.
+  the row's identity (key, content hash, opening run) and end time;
+* where versions carry as-of columns, an incremental load also notes the keys
+  it confirmed and as of when, and a full one the time of its extract.
 
 So a load writes what changed and never rewrites what is stored; compaction
 folds the deltas into a new base. Readers see a load only once its commit row
@@ -17,7 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -29,8 +31,8 @@ from layerloom.constants import IS_CURRENT, IS_DELETED, VALID_TO
 LOAD, STATE = "_load", "_state"
 LIVE, PAST = "live", "past"
 BASE, DELTA = "base", "delta"
-ENDED_ROWS = "_ended_rows"
-COMMIT_SCHEMA = "load string, position bigint, kind string, resets boolean"
+ENDED_ROWS, AS_OF = "_ended_rows", "_as_of"
+COMMIT_SCHEMA = "load string, position bigint, kind string, resets boolean, full_as_of timestamp_ntz"
 _NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -49,6 +51,8 @@ class Commits:
     deltas: tuple[str, ...] = ()
     position: int = 0
     loads: frozenset[str] = frozenset()
+    # When the newest full extract was taken; nothing older may change a row.
+    full_as_of: datetime | None = None
 
 
 def _same_row(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -137,16 +141,20 @@ class Layers:
             return Commits()
         bases: list[str] = []
         deltas: list[str] = []
+        full_as_of = None
         for entry in log:
+            full_as_of = max(filter(None, (entry["full_as_of"], None if entry["resets"] else full_as_of)), default=None)
             if entry["kind"] == BASE:
                 bases, deltas = [*([] if entry["resets"] else bases), entry["load"]], []
             else:
                 deltas.append(entry["load"])
-        return Commits(tuple(bases), tuple(deltas), log[-1]["position"], frozenset(r["load"] for r in log))
+        return Commits(tuple(bases), tuple(deltas), log[-1]["position"], frozenset(r["load"] for r in log), full_as_of)
 
-    def commit(self, table: str, commits: Commits, run_id: str, kind: str, resets: bool = False) -> None:
+    def commit(
+        self, table: str, commits: Commits, run_id: str, kind: str, resets: bool = False, full_as_of: datetime | None = None
+    ) -> None:
         """Make a written load visible: one small file, written atomically."""
-        entry = (load_name(run_id), commits.position + 1, kind, resets)
+        entry = (load_name(run_id), commits.position + 1, kind, resets, full_as_of)
         row = self.spark.createDataFrame([entry], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path("ods", table, "commits"))
 
@@ -212,6 +220,16 @@ class Layers:
         live = self.live(table, commits)
         return None if live is None else self.past(table, commits).unionByName(live)
 
+    def confirmed(self, table: str, commits: Commits) -> DataFrame | None:
+        """Keys that loads since the last reset confirmed, with the newest as-of of each."""
+        loads = [*commits.bases[-1:], *commits.deltas]
+        folders = [self.path("ods", table, "confirmed", f"{LOAD}={load}") for load in loads]
+        found = [rows for f in folders if (rows := self._read(f)) is not None]  # not every load confirms
+        if not found:
+            return None
+        rows = reduce(DataFrame.unionByName, found)
+        return rows.groupBy(*[c for c in rows.columns if c != AS_OF]).agg(F.max(AS_OF).alias(AS_OF))
+
     def known_keys(self, table: str, keys: Sequence[str], commits: Commits) -> DataFrame:
         """Keys of every stored version, live or ended; no join, key columns only."""
         versions = self._versions(table, commits).select(*keys)
@@ -235,6 +253,9 @@ class Layers:
         target = self._write_load(self.path("ods", table, "ended"), rows, run_id)
         return self.spark.read.schema(rows.schema).parquet(target)
 
+    def write_confirmed(self, table: str, rows: DataFrame, run_id: str) -> None:
+        self._write_load(self.path("ods", table, "confirmed"), rows, run_id)
+
     def compact(self, table: str) -> bool:
         """Fold the deltas into a new base; the history reads the same before and after."""
         commits = self.commits(table)
@@ -244,5 +265,7 @@ class Layers:
         ended = self._ended_since_base(table, commits)
         run_id = f"compact-{commits.position + 1}"
         self.write_base(table, rows if ended is None else rows.unionByName(ended), run_id)
+        if (seen := self.confirmed(table, commits)) is not None:
+            self.write_confirmed(table, seen, run_id)
         self.commit(table, commits, run_id, BASE)
         return True

@@ -11,9 +11,10 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from layerloom.constants import INCREMENTAL
+from layerloom.constants import EXTRACT_FILE, EXTRACTED_AT, INCREMENTAL, SOURCE_ROW
 from layerloom.operators.scd2 import History
 from layerloom.plans.history_load import load_history
 from layerloom.sources.layers import Layers
@@ -24,11 +25,21 @@ def _now(_: int) -> datetime:
 
 
 def landed_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """New parquet files under ``path``, oldest first."""
+    """New parquet files under ``path``, oldest first.
+
+    Rows carry ROW_POSITION: when their file was written, its path, and the row
+    in it, so files of one micro-batch have an order too.
+    """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    written = F.col("_metadata.file_modification_time")
+    return reader.parquet(path).select(
+        "*",
+        F.convert_timezone(F.current_timezone(), F.lit("UTC"), written.cast("timestamp_ntz")).alias(EXTRACTED_AT),
+        F.col("_metadata.file_path").alias(EXTRACT_FILE),
+        F.col("_metadata.row_index").alias(SOURCE_ROW),
+    )
 
 
 def feed_history(
@@ -44,7 +55,9 @@ def feed_history(
 ) -> StreamingQuery:
     """Start the feed: everything available once, or every ``interval``.
 
-    ``prepare`` turns the landed rows into staging rows.
+    ``prepare`` turns the landed rows into staging rows and keeps ROW_POSITION,
+    by which the newest row of a key wins within a batch. A table with
+    ``as_of=ROW_POSITION`` also holds against files that come late.
     """
 
     def load(rows: DataFrame, batch_id: int) -> None:
