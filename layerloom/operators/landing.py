@@ -36,11 +36,11 @@ def row_count_mismatch(actual: Column, expected: Column) -> Column:
     return F.coalesce((expected > 0) & (F.abs(actual - expected) > tolerance), F.lit(False))
 
 
-def check_files(expected: DataFrame, content: DataFrame) -> DataFrame:
+def check_files(expected: DataFrame, content: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Validate files by readability, row count, then checksum.
 
     ``expected`` carries ``base_name, row_count, checksum_md5``; ``content``
-    what was measured (:data:`CONTENT_SCHEMA`).
+    what was measured (:data:`CONTENT_SCHEMA`, and columns to ``carry`` along).
     """
     joined = expected.select("base_name", "row_count", "checksum_md5").join(content, "base_name", "left")
     unreadable = ~F.coalesce(F.col("readable"), F.lit(False))
@@ -57,6 +57,7 @@ def check_files(expected: DataFrame, content: DataFrame) -> DataFrame:
         "actual_row_count",
         problem.alias("problem"),
         problem.isNull().alias("is_valid"),
+        *carry,
     )
 
 
@@ -127,16 +128,13 @@ def inventory(
 def validated(listing: DataFrame, metadata: DataFrame, content: DataFrame) -> DataFrame:
     """An inventory made without content, after the files it lets through were opened; adds ``schema_print``."""
     expected = metadata.select("base_name", "row_count", "checksum_md5")
-    checked = check_files(expected, content).select("base_name", F.col("actual_row_count").alias("_rows"), "problem")
-    prints = content.select("base_name", "schema_print")
+    checked = check_files(expected, content, carry=["schema_print"])
+    found = checked.select("base_name", F.col("actual_row_count").alias("_rows"), "problem", "schema_print")
+    joined = listing.join(found, "base_name", "left")
     values = {
         "actual_row_count": F.col("_rows"),
         "skip_reason": F.coalesce("skip_reason", F.when(F.col("problem").isNotNull(), F.lit("validation_failed"))),
     }
-    found = checked.join(prints, "base_name")
-    joined = listing.join(found, "base_name", "left")
-    problem = F.col("skip_reason").isNull() & F.col("_rows").isNull()  # opened and not found again
-    values["skip_reason"] = F.coalesce(values["skip_reason"], F.when(problem, F.lit("validation_failed")))
     return joined.select(*[values.get(c, F.col(c)).alias(c) for c in listing.columns], "schema_print")
 
 

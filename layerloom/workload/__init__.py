@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerloom.workload import casting, catalogs, histories, landings, monitors, raws, references, streams
+from layerloom.workload import casting, catalogs, histories, landed, landings, monitors, raws, references, streams
 from layerloom.workload.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "casting",
     "catalogs",
     "histories",
+    "landed",
     "landings",
     "monitors",
     "raws",
