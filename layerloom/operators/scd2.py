@@ -124,14 +124,6 @@ def horizon_of(source: DataFrame, table: History) -> datetime | None:
     return source.agg(F.max(table.as_of[0])).first()[0] if table.as_of else None
 
 
-def confirmed(live: DataFrame, source: DataFrame, table: History) -> DataFrame:
-    """Key and as-of of fresh source rows that say what is live already."""
-    on = [*table.keys, HASHDIFF]
-    fresh = source.filter(~_is_stale(source))
-    known = skew_safe_join(live.select(*on), fresh.select(*on), on, "left_semi").distinct()
-    return fresh.join(known, on, "left_semi").select(*table.keys, *table.as_of)
-
-
 def opened(rows: DataFrame, table: History, run_ts: datetime | str | Column, run_id: str) -> DataFrame:
     """Hashed rows as current versions of this run."""
     return rows.select(
@@ -164,12 +156,15 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"unknown load mode {mode!r}")
 
 
-def decided(live: DataFrame, source: DataFrame, table: History, mode: str, horizon: datetime | None = None) -> DataFrame:
+def decided(
+    live: DataFrame, source: DataFrame, table: History, mode: str, horizon: datetime | None = None, carry: Sequence[Column] = ()
+) -> DataFrame:
     """Live rows with ``_action``: close a changed row, delete a missing key (FULL only).
 
     A NULL key never matches, so in FULL mode such rows are deleted. Rows that
     were extracted after the ``horizon`` of a full extract are not missing from
-    it. A row that a newer source row confirms takes over its as-of.
+    it. A row that a newer source row confirms takes over its as-of. Columns to
+    ``carry`` may look at the match (``_hit``, ``_src_hash``).
     """
     narrow = source.select(
         *table.keys,
@@ -189,7 +184,7 @@ def decided(live: DataFrame, source: DataFrame, table: History, mode: str, horiz
     acted = joined.withColumn("_action", action.otherwise(F.lit(KEEP)))
     newer = (F.col("_action") == KEEP) & F.col("_hit") & ~F.col("_src_stale")
     return acted.select(
-        *[F.when(newer, F.col(f"_src{c}")).otherwise(F.col(c)).alias(c) if c in table.as_of else c for c in live.columns], "_action"
+        *[F.when(newer, F.col(f"_src{c}")).otherwise(F.col(c)).alias(c) if c in table.as_of else c for c in live.columns], "_action", *carry
     )
 
 
@@ -292,21 +287,40 @@ def merge(
 
 
 
-def endings(
-    live: DataFrame, source: DataFrame, table: History, mode: str, run_ts: datetime | str, horizon: datetime | None = None
+def fates(
+    live: DataFrame, source: DataFrame, table: History, mode: str, horizon: datetime | None = None
 ) -> DataFrame:
-    """What a merge ends, as row identities (key, hash, opening run) with end time.
+    """What becomes of live rows, by identity (key, hash, opening run): ``_action``, and ``_same`` where the batch says the same.
 
-    Rows that share an identity share their fate, so the identity is enough to
-    apply the ends later; no business column is read.
+    No business column is read. Outside FULL mode only rows whose key is in the batch are listed.
     """
+    same = F.coalesce(F.col(HASHDIFF) == F.col("_src_hash"), F.lit(False)).alias("_same")
     narrow = live.select(*table.keys, HASHDIFF, RUN_ID, *table.as_of)
-    rows = decided(narrow, source, table, mode, horizon).filter(F.col("_action") != KEEP)
+    rows = decided(narrow, source, table, mode, horizon, carry=(same, F.col("_hit")))
+    listed = rows if mode == FULL else rows.filter("_hit")
+    return listed.select(*table.keys, HASHDIFF, RUN_ID, "_action", "_same")
+
+
+def ended(acted: DataFrame, table: History, run_ts: datetime | str) -> DataFrame:
+    """The rows a merge ends, as identities with end time.
+
+    Rows that share an identity share their fate, so the identity is enough to
+    apply the ends later.
+    """
+    rows = acted.filter(F.col("_action") != KEEP)
     return rows.select(
         *table.keys, HASHDIFF, RUN_ID, moment(run_ts).alias(VALID_TO), (F.col("_action") == DELETE).alias(IS_DELETED)
     )
 
 
+def endings(
+    live: DataFrame, source: DataFrame, table: History, mode: str, run_ts: datetime | str, horizon: datetime | None = None
+) -> DataFrame:
+    """What a merge ends, in one step."""
+    narrow = live.select(*table.keys, HASHDIFF, RUN_ID, *table.as_of)
+    return ended(decided(narrow, source, table, mode, horizon), table, run_ts)
+
+
 def unmatchable(rows: DataFrame, table: History, run_ts: datetime | str) -> DataFrame:
     """Versions with a NULL key part, as endings: a FULL load deletes them at once."""
     return rows.filter(_null_key(table)).select(

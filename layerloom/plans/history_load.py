@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from layerloom.constants import FULL, FULL_RESET, HASHDIFF, IS_DELETED, RUN_ID
 from layerloom.operators import scd2
 from layerloom.operators.scd2 import History
-from layerloom.sources.layers import AS_OF, BASE, DELTA, ENDED_ROWS, Layers, load_name
+from layerloom.sources.layers import AS_OF, BASE, DELTA, ENDED_ROWS, PART, Base, Layers, load_name
 
 # An hourly load then rewrites the live rows once a day.
 COMPACT_AFTER = 24
@@ -44,9 +45,10 @@ def load_history(
 ) -> dict[str, int]:
     """Merge a batch into a stored history and return its counters.
 
-    Of the stored rows only key, hash and opening run are read, so a load
-    costs a narrow scan plus the batch; live rows are rewritten by compaction
-    only, every ``compact_after`` loads. A run that is already committed is
+    Of the stored rows only key, hash and opening run are read, and an
+    INCREMENTAL load reads only the parts its keys fall into; live rows are
+    rewritten by compaction only, every ``compact_after`` loads, changed parts
+    alone. A run that is already committed is
     skipped, so a retried caller does no harm. Rows that are older than what
     the history knows of their key (``History.as_of``) change nothing, so files
     may come late and staging may be replayed.
@@ -55,26 +57,34 @@ def load_history(
     commits = layers.commits(name)
     if load_name(run_id) in commits.loads:
         return dict.fromkeys(scd2.STATS, 0)
-    live = None if mode == FULL_RESET else layers.live(name, commits)
-    if live is None:
-        written = layers.write_base(name, scd2.open_versions(batch, table, run_ts, run_id), run_id)
+    if mode == FULL_RESET or not commits.bases:
+        rows = scd2.open_versions(batch, table, run_ts, run_id)
+        keys = tuple((k, rows.schema[k].dataType.simpleString()) for k in table.keys)
+        base = Base("", layers.parts_for(batch.count()))
+        written = layers.write_base(name, rows, run_id, replace(commits, bases=(base,), keys=keys))
         whole = scd2.horizon_of(written, table) if mode in (FULL, FULL_RESET) else None
-        layers.commit(name, commits, run_id, BASE, resets=True, full_as_of=whole)
+        layers.commit(name, replace(commits, keys=keys), run_id, BASE, resets=True, full_as_of=whole, base=base)
         n = written.count()
         return dict(zip(scd2.STATS, (n, n, 0, 0, n, 0), strict=True))
 
-    source = scd2.incoming(batch, table)
+    # The batch is hashed and deduplicated once; every later step reads it, or its narrow columns, back.
+    winners = layers.work(name, "winners", scd2.incoming(batch, table).withColumn(PART, commits.part()), run_id)
+    parts = None if mode == FULL else sorted(r[0] for r in winners.select(PART).distinct().collect())
+    source, live = winners.drop(PART), layers.live(name, commits, parts)
     whole = scd2.horizon_of(source, table) if mode == FULL else None
     if table.as_of:
         at = [*table.keys, *table.as_of]
-        seen, known = layers.confirmed(name, commits), live.select(*at)
+        seen, known = layers.confirmed(name, commits, parts), live.select(*at)
         if seen is not None:
             known = known.unionByName(seen.select(*table.keys, f"{AS_OF}.*"))
-        source = scd2.marked_stale(source, known, table, commits.full_as_of)
-    opened = layers.write_opened(
-        name, scd2.opened(scd2.to_insert(live, source, table), table, run_ts, run_id), run_id
-    )
-    ends = scd2.endings(live, source, table, mode, run_ts, whole)
+        source = layers.work(name, "source", scd2.marked_stale(source, known, table, commits.full_as_of), run_id)
+    # One narrow join of live rows and batch says what ends, what is there already, and what is confirmed.
+    fates = layers.work(name, "fates", scd2.fates(live, source, table, mode, whole), run_id)
+    fresh = source.filter(~F.col(scd2.STALE)).drop(scd2.STALE) if table.as_of else source
+    same = fates.filter("_same").select(*table.keys).distinct()
+    missing = fresh.join(same, list(table.keys), "left_anti")
+    opened = layers.write_opened(name, scd2.opened(missing, table, run_ts, run_id), run_id, commits)
+    ends = scd2.ended(fates, table, run_ts)
     if mode == FULL:
         ends = ends.unionByName(scd2.unmatchable(opened, table, run_ts))
     identity = [*table.keys, HASHDIFF, RUN_ID]
@@ -84,14 +94,17 @@ def load_history(
             F.count(F.lit(1)).alias(ENDED_ROWS)
         ),
         run_id,
+        commits,
     )
     if table.as_of and mode != FULL:
-        seen_now = scd2.confirmed(live, source, table).select(*table.keys, table.moment_of().alias(AS_OF))
-        layers.write_confirmed(name, seen_now, run_id)
-    stats = _delta_stats(opened, ended, layers.known_keys(name, table.keys, commits), table)
+        seen_now = fresh.join(same, list(table.keys), "left_semi").select(*table.keys, table.moment_of().alias(AS_OF))
+        layers.write_confirmed(name, seen_now, run_id, commits)
+    stats = _delta_stats(opened, ended, layers.known_keys(name, table.keys, commits, parts), table)
     layers.commit(name, commits, run_id, DELTA, full_as_of=whole)
+    layers.drop_work(name, run_id, ("winners", "source", "fates"))
     if len(commits.deltas) + 1 >= compact_after:
         layers.compact(name)
+        layers.purge(name)
     return stats
 
 

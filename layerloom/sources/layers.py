@@ -6,19 +6,23 @@ A history table is a *base* plus the *deltas* after it:
   before it;
 * a delta load holds the versions it opened, and for each row it ended only
   the row's identity (key, content hash, opening run) and end time;
+* all of them are split into parts by a hash of the key, so a load reads and
+  compaction rewrites only the parts whose keys it touches;
 * where versions carry as-of columns, an incremental load also notes the keys
   it confirmed and as of when, and a full one the time of its extract.
 
 So a load writes what changed and never rewrites what is stored; compaction
-folds the deltas into a new base. Readers see a load only once its commit row
-exists: a load lost half-way leaves nothing visible and can simply run again.
+folds the deltas into a new base of the changed parts, and older bases keep the
+others. Readers see a load only once its commit row exists: a load lost
+half-way leaves nothing visible and can simply run again. What no recent state
+of the table reaches any more can be removed.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -28,11 +32,16 @@ from pyspark.sql import functions as F
 
 from layerloom.constants import IS_CURRENT, IS_DELETED, VALID_TO
 
-LOAD, STATE = "_load", "_state"
+LOAD, STATE, PART = "_load", "_state", "_part"
 LIVE, PAST = "live", "past"
 BASE, DELTA = "base", "delta"
 ENDED_ROWS, AS_OF = "_ended_rows", "_as_of"
-COMMIT_SCHEMA = "load string, position bigint, kind string, resets boolean, full_as_of timestamp_ntz"
+COMMIT_SCHEMA = (
+    "load string, position bigint, kind string, resets boolean, full_as_of timestamp_ntz, "
+    "keys array<struct<name: string, type: string>>, parts int, written array<int>"
+)
+# A part of this many rows is read by a few tasks; the driver lists at most MAX_PARTS folders of a base.
+ROWS_PER_PART, MAX_PARTS = 2_000_000, 4096
 _NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -43,16 +52,65 @@ def load_name(run_id: str) -> str:
     return f"run-{run_id}"
 
 
+@dataclass(frozen=True)
+class Base:
+    """A base load: its number of parts, and those it wrote (None: all)."""
+
+    load: str
+    parts: int = 1
+    written: frozenset[int] | None = None
+
+
 @dataclass(frozen=True)
 class Commits:
     """The committed loads that make up a history, oldest first."""
 
-    bases: tuple[str, ...] = ()
+    bases: tuple[Base, ...] = ()
     deltas: tuple[str, ...] = ()
     position: int = 0
     loads: frozenset[str] = frozenset()
     # When the newest full extract was taken; nothing older may change a row.
     full_as_of: datetime | None = None
+    # Key columns with their stored types: a part is found by the hash of the stored type.
+    keys: tuple[tuple[str, str], ...] = ()
+
+    @property
+    def parts(self) -> int:
+        return self.bases[-1].parts if self.bases else 1
+
+    def owners(self) -> list[tuple[Base, frozenset[int]]]:
+        """Bases that hold live rows, each with its parts: a part belongs to the newest base that wrote it."""
+        left, found = set(range(self.parts)), []
+        for base in reversed(self.bases):
+            own = frozenset(left if base.written is None else left & base.written)
+            left -= own
+            if own:
+                found.append((base, own))
+            if base.written is None:
+                break
+        return found
+
+    def part(self) -> Column:
+        if self.parts == 1 or not self.keys:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast(t) for k, t in self.keys]), F.lit(self.parts)).cast("int")
+
+
+def folded(log: Sequence) -> Commits:
+    """The state after some entries of the commit log."""
+    bases: list[Base] = []
+    deltas: list[str] = []
+    full_as_of, keys = None, ()
+    for entry in log:
+        full_as_of = max(filter(None, (entry["full_as_of"], None if entry["resets"] else full_as_of)), default=None)
+        if entry["kind"] == BASE:
+            written = None if entry["written"] is None else frozenset(entry["written"])
+            bases, deltas = [*([] if entry["resets"] else bases), Base(entry["load"], entry["parts"] or 1, written)], []
+            keys = tuple((k["name"], k["type"]) for k in entry["keys"] or ())
+        else:
+            deltas.append(entry["load"])
+    position = log[-1]["position"] if log else 0
+    return Commits(tuple(bases), tuple(deltas), position, frozenset(r["load"] for r in log), full_as_of, keys)
 
 
 def _same_row(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -64,13 +122,18 @@ def _same_row(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column
 class Layers:
     spark: SparkSession
     root: str
+    rows_per_part: int = ROWS_PER_PART
+
+    def parts_for(self, rows: int) -> int:
+        return max(1, min(MAX_PARTS, -(-rows // self.rows_per_part)))
 
     def path(self, layer: str, table: str, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), layer, table.lower(), *parts])
 
-    def _read(self, *paths: str) -> DataFrame | None:
+    def _read(self, *paths: str, root: str | None = None) -> DataFrame | None:
+        reader = self.spark.read if root is None else self.spark.read.option("basePath", root)
         try:
-            return self.spark.read.parquet(*paths)
+            return reader.parquet(*paths)
         except AnalysisException as error:
             if error.getCondition() in _NO_FILES:
                 return None
@@ -127,85 +190,104 @@ class Layers:
 
     # -- history: commits --------------------------------------------------------
 
-    def commits(self, table: str) -> Commits:
-        """Bases since the last reset and deltas since the last base.
-
-        The log is one short row per load, so the driver reads it whole.
-        """
-        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet
+    def log(self, table: str) -> list:
+        """The commit log, oldest first: one short row per load, so the driver reads it whole."""
         try:
-            log = sorted(rows(self.path("ods", table, "commits")).collect(), key=lambda r: r["position"])
+            return sorted(self.spark.read.schema(COMMIT_SCHEMA).parquet(self.path("ods", table, "commits")).collect(), key=lambda r: r["position"])
         except AnalysisException as error:
             if error.getCondition() not in _NO_FILES:
                 raise
-            return Commits()
-        bases: list[str] = []
-        deltas: list[str] = []
-        full_as_of = None
-        for entry in log:
-            full_as_of = max(filter(None, (entry["full_as_of"], None if entry["resets"] else full_as_of)), default=None)
-            if entry["kind"] == BASE:
-                bases, deltas = [*([] if entry["resets"] else bases), entry["load"]], []
-            else:
-                deltas.append(entry["load"])
-        return Commits(tuple(bases), tuple(deltas), log[-1]["position"], frozenset(r["load"] for r in log), full_as_of)
+            return []
+
+    def commits(self, table: str) -> Commits:
+        """Bases since the last reset and deltas since the last base."""
+        return folded(self.log(table))
 
     def commit(
-        self, table: str, commits: Commits, run_id: str, kind: str, resets: bool = False, full_as_of: datetime | None = None
+        self,
+        table: str,
+        commits: Commits,
+        run_id: str,
+        kind: str,
+        resets: bool = False,
+        full_as_of: datetime | None = None,
+        base: Base | None = None,
     ) -> None:
         """Make a written load visible: one small file, written atomically."""
         entry = (load_name(run_id), commits.position + 1, kind, resets, full_as_of)
+        if base is None:
+            entry += (None, None, None)
+        else:
+            entry += (list(commits.keys), base.parts, None if base.written is None else sorted(base.written))
         row = self.spark.createDataFrame([entry], COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path("ods", table, "commits"))
 
     # -- history: reading ----------------------------------------------------------
+    # ``parts`` names the parts to read, None all of them: Spark lists and opens no other folder's files.
 
     def _base_folder(self, table: str, load: str, state: str) -> str:
         return self.path("ods", table, "base", f"{LOAD}={load}", f"{STATE}={state}")
 
-    def _base_live(self, table: str, load: str) -> DataFrame:
-        rows = self._read(self._base_folder(table, load, LIVE))
+    @staticmethod
+    def _of_parts(rows: DataFrame | None, parts: Sequence[int] | None, keep: bool = False) -> DataFrame | None:
+        if rows is None:
+            return None
+        found = rows if parts is None else rows.filter(F.col(PART).isin(*parts))
+        return found if keep else found.drop(PART)
+
+    def _base_live(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
+        held = []
+        for base, own in commits.owners():
+            wanted = None if len(own) == commits.parts and parts is None else sorted(own if parts is None else own & set(parts))
+            if wanted != [] and (rows := self._read(self._base_folder(table, base.load, LIVE))) is not None:
+                held.append(self._of_parts(rows, wanted))
         # a base without live rows has no live folder, but knows its schema
-        return self.spark.read.parquet(self._base_folder(table, load, "schema")) if rows is None else rows
+        if held:
+            return reduce(DataFrame.unionByName, held)
+        return self.spark.read.parquet(self._base_folder(table, commits.bases[-1].load, "schema")).drop(PART)
 
-    def _delta(self, table: str, part: str, loads: Sequence[str]) -> DataFrame | None:
-        folders = [self.path("ods", table, part, f"{LOAD}={load}") for load in loads]
-        return self._read(*folders) if folders else None
+    def _delta(self, table: str, kind: str, loads: Sequence[str], parts: Sequence[int] | None = None, keep: bool = False) -> DataFrame | None:
+        folders = [self.path("ods", table, kind, f"{LOAD}={load}") for load in loads]
+        rows = self._read(*folders, root=self.path("ods", table, kind)) if folders else None
+        return None if rows is None else self._of_parts(rows.drop(LOAD), parts, keep)
 
-    def _versions(self, table: str, commits: Commits) -> DataFrame:
+    def _versions(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
         """Rows live at the last base and rows opened since, ended ones included."""
-        base = self._base_live(table, commits.bases[-1])
-        opened = self._delta(table, "opened", commits.deltas)
+        base = self._base_live(table, commits, parts)
+        opened = self._delta(table, "opened", commits.deltas, parts)
         return base if opened is None else base.unionByName(opened)
 
     def _identity(self, ended: DataFrame) -> list[str]:
         return [c for c in ended.columns if c not in (VALID_TO, IS_DELETED, ENDED_ROWS)]
 
-    def live(self, table: str, commits: Commits | None = None) -> DataFrame | None:
+    def live(self, table: str, commits: Commits | None = None, parts: Sequence[int] | None = None) -> DataFrame | None:
         """Live rows; the ends recorded since the last base are few and narrow."""
         commits = commits or self.commits(table)
         if not commits.bases:
             return None
-        versions, ended = self._versions(table, commits), self._delta(table, "ended", commits.deltas)
+        versions, ended = self._versions(table, commits, parts), self._delta(table, "ended", commits.deltas, parts)
         if ended is None:
             return versions
         return versions.join(ended, _same_row(versions, ended, self._identity(ended)), "left_anti")
 
-    def _ended_since_base(self, table: str, commits: Commits) -> DataFrame | None:
-        ended = self._delta(table, "ended", commits.deltas)
+    def _ended_since_base(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame | None:
+        ended = self._delta(table, "ended", commits.deltas, parts)
         if ended is None:
             return None
-        versions = self._versions(table, commits)
+        versions = self._versions(table, commits, parts)
         joined = versions.join(ended, _same_row(versions, ended, self._identity(ended)))
         values = {VALID_TO: ended[VALID_TO], IS_CURRENT: F.lit(False), IS_DELETED: ended[IS_DELETED]}
         return joined.select(*[values.get(c, versions[c]).alias(c) for c in versions.columns])
 
-    def _base_past(self, table: str, commits: Commits) -> DataFrame:
+    def _base_past(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
         """Ended rows of the bases since the last reset, read from their own folders only."""
-        parts = [p for load in commits.bases if (p := self._read(self._base_folder(table, load, PAST))) is not None]
-        if not parts:
-            return self._base_live(table, commits.bases[-1]).filter(F.lit(False))
-        return reduce(DataFrame.unionByName, parts)
+        held = []
+        for base in commits.bases:
+            # the parts of a base with another number of parts are others
+            wanted = parts if base.parts == commits.parts else None
+            if (rows := self._read(self._base_folder(table, base.load, PAST))) is not None:
+                held.append(self._of_parts(rows, wanted))
+        return reduce(DataFrame.unionByName, held) if held else self._base_live(table, commits).filter(F.lit(False))
 
     def past(self, table: str, commits: Commits | None = None) -> DataFrame | None:
         """Ended rows of every committed load since the last reset."""
@@ -220,52 +302,113 @@ class Layers:
         live = self.live(table, commits)
         return None if live is None else self.past(table, commits).unionByName(live)
 
-    def confirmed(self, table: str, commits: Commits) -> DataFrame | None:
+    def confirmed(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame | None:
         """Keys that loads since the last reset confirmed, with the newest as-of of each."""
-        loads = [*commits.bases[-1:], *commits.deltas]
+        loads = [*[b.load for b in commits.bases[-1:]], *commits.deltas]
         folders = [self.path("ods", table, "confirmed", f"{LOAD}={load}") for load in loads]
         found = [rows for f in folders if (rows := self._read(f)) is not None]  # not every load confirms
         if not found:
             return None
-        rows = reduce(DataFrame.unionByName, found)
+        rows = self._of_parts(reduce(DataFrame.unionByName, found), parts)
         return rows.groupBy(*[c for c in rows.columns if c != AS_OF]).agg(F.max(AS_OF).alias(AS_OF))
 
-    def known_keys(self, table: str, keys: Sequence[str], commits: Commits) -> DataFrame:
-        """Keys of every stored version, live or ended; no join, key columns only."""
-        versions = self._versions(table, commits).select(*keys)
-        return versions.unionByName(self._base_past(table, commits).select(*keys))
+    def known_keys(self, table: str, keys: Sequence[str], commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
+        """Keys of every stored version, live or ended; no join, key columns of the named parts only."""
+        versions = self._versions(table, commits, parts).select(*keys)
+        return versions.unionByName(self._base_past(table, commits, parts).select(*keys))
 
     # -- history: writing ------------------------------------------------------------
 
-    def write_base(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
-        """Write live and ended rows in one job; not yet visible."""
+    def write_base(self, table: str, rows: DataFrame, run_id: str, commits: Commits) -> DataFrame:
+        """Write live and ended rows in one job, split into the parts of ``commits``; not yet visible."""
         state = F.when(F.col(IS_CURRENT), F.lit(LIVE)).otherwise(F.lit(PAST))
-        target = self._write_load(self.path("ods", table, "base"), rows.withColumn(STATE, state), run_id, STATE)
+        split = rows.withColumn(STATE, state).withColumn(PART, commits.part())
+        if commits.parts > 1:  # few files per part; a part that one key fills is split by AQE
+            split = split.hint("rebalance", PART)
+        target = self._write_load(self.path("ods", table, "base"), split, run_id, STATE, PART)
         empty = self.spark.createDataFrame([], rows.schema)
-        empty.write.mode("overwrite").parquet(f"{target}/{STATE}=schema")
+        empty.write.mode("overwrite").parquet(f"{target}/{STATE}=schema/{PART}=0")
         return self.spark.read.schema(rows.schema).parquet(target)
 
-    def write_opened(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
-        target = self._write_load(self.path("ods", table, "opened"), rows, run_id)
+    def _write_delta(self, table: str, kind: str, rows: DataFrame, run_id: str, commits: Commits | None) -> DataFrame:
+        split = rows.withColumn(PART, (commits or self.commits(table)).part())
+        target = self._write_load(self.path("ods", table, kind), split, run_id, PART)
         return self.spark.read.schema(rows.schema).parquet(target)
 
-    def write_ended(self, table: str, rows: DataFrame, run_id: str) -> DataFrame:
-        target = self._write_load(self.path("ods", table, "ended"), rows, run_id)
+    def write_opened(self, table: str, rows: DataFrame, run_id: str, commits: Commits | None = None) -> DataFrame:
+        return self._write_delta(table, "opened", rows, run_id, commits)
+
+    def write_ended(self, table: str, rows: DataFrame, run_id: str, commits: Commits | None = None) -> DataFrame:
+        return self._write_delta(table, "ended", rows, run_id, commits)
+
+    def write_confirmed(self, table: str, rows: DataFrame, run_id: str, commits: Commits | None = None) -> None:
+        self._write_delta(table, "confirmed", rows, run_id, commits)
+
+    def work(self, table: str, step: str, rows: DataFrame, run_id: str) -> DataFrame:
+        """Rows of one step of a load, stored until :meth:`drop_work`."""
+        target = self._write_load(self.path("ods", table, "work", step), rows, run_id)
         return self.spark.read.schema(rows.schema).parquet(target)
 
-    def write_confirmed(self, table: str, rows: DataFrame, run_id: str) -> None:
-        self._write_load(self.path("ods", table, "confirmed"), rows, run_id)
+    def _remove(self, path: str) -> None:
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def drop_work(self, table: str, run_id: str, steps: Sequence[str]) -> None:
+        for step in steps:
+            self._remove(self.path("ods", table, "work", step, f"{LOAD}={load_name(run_id)}"))
+
+    def changed_parts(self, table: str, commits: Commits) -> list[int]:
+        """Parts that the deltas since the last base touched: at most MAX_PARTS numbers."""
+        found = [rows for kind in ("opened", "ended") if (rows := self._delta(table, kind, commits.deltas, keep=True)) is not None]
+        return sorted({r[0] for rows in found for r in rows.select(PART).distinct().collect()})
 
     def compact(self, table: str) -> bool:
-        """Fold the deltas into a new base; the history reads the same before and after."""
+        """Fold the deltas into a new base of the changed parts; the history reads the same before and after.
+
+        All parts are rewritten when most of them changed, or when the table has
+        outgrown their number.
+        """
         commits = self.commits(table)
         if not commits.deltas:
             return False
-        rows = self.live(table, commits)
-        ended = self._ended_since_base(table, commits)
+        changed = self.changed_parts(table, commits)
+        grown = self.parts_for(self._versions(table, commits).count())  # from row group counts
+        if grown > 2 * commits.parts or 2 * len(changed) >= commits.parts:
+            changed, base = None, Base("", max(grown, commits.parts))
+        else:
+            base = Base("", commits.parts, frozenset(changed))
         run_id = f"compact-{commits.position + 1}"
-        self.write_base(table, rows if ended is None else rows.unionByName(ended), run_id)
+        rows, ended = self.live(table, commits, changed), self._ended_since_base(table, commits, changed)
+        resized = replace(commits, bases=(*commits.bases, base))
+        self.write_base(table, rows if ended is None else rows.unionByName(ended), run_id, resized)
         if (seen := self.confirmed(table, commits)) is not None:
-            self.write_confirmed(table, seen, run_id)
-        self.commit(table, commits, run_id, BASE)
+            self.write_confirmed(table, seen, run_id, resized)
+        self.commit(table, commits, run_id, BASE, base=base)
         return True
+
+    def purge(self, table: str, keep: int = 2) -> list[str]:
+        """Remove what none of the last ``keep + 1`` states of the table reaches; returns the removed folders.
+
+        ``keep`` is the horizon for readers: a query that began up to so many
+        loads ago still finds its files. Ended rows stay until a reset.
+        """
+        log = self.log(table)
+        reached: set[str] = set()
+        for end in range(max(1, len(log) - keep), len(log) + 1):
+            state = folded(log[:end])
+            owners = {base.load for base, _ in state.owners()} | {base.load for base in state.bases[-1:]}
+            for base in state.bases:
+                reached.add(self._base_folder(table, base.load, PAST))
+                if base.load in owners:
+                    reached |= {self._base_folder(table, base.load, kind) for kind in (LIVE, "schema")}
+            for load in (*[base.load for base in state.bases[-1:]], *state.deltas):
+                reached |= {self.path("ods", table, kind, f"{LOAD}={load}") for kind in ("opened", "ended", "confirmed")}
+        known = set()
+        for entry in log:
+            known |= {self._base_folder(table, entry["load"], kind) for kind in (LIVE, "schema", PAST)} if entry["kind"] == BASE else set()
+            known |= {self.path("ods", table, kind, f"{LOAD}={entry['load']}") for kind in ("opened", "ended", "confirmed")}
+        removed = sorted(known - reached)
+        for folder in removed:
+            self._remove(folder)
+        return removed

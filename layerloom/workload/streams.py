@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import FULL, RUN_ID
+from layerloom.constants import FULL, INCREMENTAL, RUN_ID
 from layerloom.plans.history_load import load_history
 from layerloom.session import work_dir
 from layerloom.sources.layers import Layers
@@ -17,10 +17,13 @@ from layerloom.workload.histories import (
     LINES_SQL,
     ORDER_COLUMNS,
     ORDERS,
+    ORDERS_SQL,
     _hash_sql,
     _merge_sql,
     first_lines,
+    first_orders,
     second_lines,
+    second_orders,
 )
 from layerloom.workload.registry import FIRST_TS, SECOND_TS, query, table
 
@@ -41,6 +44,16 @@ def compacted_history(spark: SparkSession, folder: str) -> DataFrame:
     return layers.history("lines")
 
 
+@query("scd2_parted_history", _merge_sql(ORDERS_SQL, ORDERS.keys, ORDER_COLUMNS, INCREMENTAL))
+def parted_history(spark: SparkSession, folder: str) -> DataFrame:
+    """A history in many parts: a base, a load that touches all, compaction, removal of what is no longer reached."""
+    layers = Layers(spark, work_dir(spark, "parted-history"), rows_per_part=1000)
+    load_history(layers, "orders", first_orders(spark, folder), ORDERS, INCREMENTAL, FIRST_TS, "run-1")
+    load_history(layers, "orders", second_orders(spark, folder), ORDERS, INCREMENTAL, SECOND_TS, "run-2", compact_after=1)
+    layers.purge("orders", keep=0)
+    return layers.history("orders")
+
+
 @query(
     "stream_scd2",
     f"""WITH extract AS (SELECT o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice AS DECIMAL(15,2)) AS o_totalprice,

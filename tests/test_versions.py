@@ -126,6 +126,79 @@ def test_any_order_of_loads_ends_alike(spark, tmp_path, seed):
     assert live(layers) == sorted(want.items())
 
 
+# -- parts of a history -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_parted_history_matches_model(spark, tmp_path, seed):
+    """Random loads with repeated and NULL keys over many parts; compaction and purges change nothing to see."""
+    import test_scd2 as model
+
+    rng = random.Random(200 + seed)
+    layers = Layers(spark, str(tmp_path), rows_per_part=3)
+    first = model.random_batch(rng, 12)
+    load_history(layers, "m", model.batch_frame(spark, first), model.TABLE, FULL, model.T[0], "run-0")
+    assert layers.commits("m").parts == 4
+    history = [
+        {"a": a, "b": b, "v": v, "from": model.T[0], "to": None, "current": True, "deleted": False, "run": "run-0"}
+        for a, b, v, _ in first
+    ]
+    for i, mode in enumerate((INCREMENTAL, INCREMENTAL, FULL), 1):
+        data = model.random_batch(rng, 2 if i < 3 else 9)
+        history, stats = model.model_merge(history, data, mode, model.T[i], f"run-{i}")
+        got = load_history(layers, "m", model.batch_frame(spark, data), model.TABLE, mode, model.T[i], f"run-{i}", compact_after=1)
+        assert got == stats
+        layers.purge("m", keep=0)
+        assert model.plain(layers.history("m")) == model.model_rows(history)
+
+
+def test_loads_read_and_compaction_rewrites_touched_parts(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path), rows_per_part=10)
+    everything = spark.range(100).select(F.col("id").cast("int"), F.lit("a").alias("v"))
+    table = History(keys=("id",), columns=("id", "v"))
+    load_history(layers, "t", everything, table, FULL, at(0), "run-0")
+    state = layers.commits("t")
+    assert state.parts == 10
+    batch_of_two = everything.filter("id in (3, 4)").withColumn("v", F.lit("b"))
+    parts = sorted({r[0] for r in batch_of_two.select(state.part()).collect()})
+    assert 0 < len(parts) <= 2
+    others = {f: f.read_bytes() for f in (tmp_path / "ods" / "t" / "base").rglob("part-*.parquet") if int(f.parent.name.split("=")[1]) not in parts}
+    for f in others:  # not even opened by the load
+        f.write_bytes(b"damaged")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    stats = load_history(layers, "t", batch_of_two, table, INCREMENTAL, at(1), "run-1")
+    assert stats["updated_records"] == 2 and stats["new_records"] == 0
+    for f, content in others.items():
+        f.write_bytes(content)
+    assert layers.compact("t")
+    state = layers.commits("t")
+    assert state.bases[-1].written == frozenset(parts) and len(state.owners()) == 2
+    assert rows(layers.live("t").groupBy("v").count()) == [("a", 98), ("b", 2)]
+    assert layers.past("t").count() == 2
+    # a load of all keys changes most parts: everything is rewritten, the older bases are let go
+    load_history(layers, "t", everything.withColumn("v", F.lit("c")), table, INCREMENTAL, at(2), "run-2", compact_after=1)
+    assert len(layers.commits("t").owners()) == 1
+    before = rows(layers.history("t"))
+    removed = layers.purge("t", keep=0)
+    assert removed and not any((tmp_path / "ods" / "t" / "base").glob("_load=run-run-0/_state=live/*"))
+    assert rows(layers.history("t")) == before and len(before) == 100 + 2 + 100
+
+
+def test_storage_stays_bounded(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    table = History(keys=("id",), columns=("id", "v"))
+    for k in range(9):
+        load_history(layers, "t", frame(spark, k), table, INCREMENTAL, at(k), f"run-{k}", compact_after=3)
+    held = [p for p in (tmp_path / "ods" / "t").glob("*/_load=*") if any(p.rglob("*.parquet"))]
+    assert len([p for p in held if p.parent.name in ("opened", "ended")]) <= 2 * 5
+    assert not list((tmp_path / "ods" / "t" / "work").glob("*/_load=*"))
+    assert layers.history("t").count() == 9 and layers.live("t").count() == 1
+
+
+def frame(spark, k):
+    return spark.createDataFrame([(1, f"v{k}")], "id int, v string")
+
+
 # -- landed files --------------------------------------------------------------------------------
 
 
