@@ -197,6 +197,8 @@ def enrich(files: DataFrame, tables: DataFrame) -> DataFrame:
 
 CATALOG_KEYS = ("table_name", "column_name")
 CATALOG_UPDATED = ("data_type", "is_mandatory", "width", "scale")
+# Where a column stands among all dumps: time and name of the dump, place in its list.
+DUMP_ORDER = ("_dump_written", "_dump_file", "_dump_position")
 
 
 def catalog_upsert(columns: DataFrame, dump: DataFrame) -> DataFrame:
@@ -204,7 +206,8 @@ def catalog_upsert(columns: DataFrame, dump: DataFrame) -> DataFrame:
 
     A match changes type, mandatory flag, width and scale only; a new column
     also gets its order, while source type and extent stay unset. Of a column
-    that the dump repeats, the last one counts.
+    that the dump repeats, the last one counts (``DUMP_ORDER``); without an
+    order, the one with the largest values.
     """
     filled = dump.withColumns(
         {
@@ -212,6 +215,7 @@ def catalog_upsert(columns: DataFrame, dump: DataFrame) -> DataFrame:
             "progress_order": F.coalesce("progress_order", F.lit(0)),
         }
     )
-    rest = [F.desc(c) for c in ("progress_order", *CATALOG_UPDATED)]
-    filled = latest_per_key(filled, CATALOG_KEYS, rest)
+    order = [c for c in DUMP_ORDER if c in dump.columns]
+    rest = [F.desc(c) for c in (*order, "progress_order", *CATALOG_UPDATED)]
+    filled = latest_per_key(filled, CATALOG_KEYS, rest).drop(*order)
     return upsert(columns, filled, CATALOG_KEYS, CATALOG_UPDATED, (*CATALOG_UPDATED, "progress_order"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,6 +71,90 @@ def cell_issues(tall: DataFrame) -> DataFrame:
     return exploded.select("row_number", "col_pos", "column_name", "i.issue_type", "i.value_sample")
 
 
+# -- one pass over a wide table -------------------------------------------------------
+
+SUSPECT = '["' + "".join(re.escape(d) for d in ("\t", "\n", "\r", *DELIMITERS[:2])) + "]"
+
+
+def findings(df: DataFrame, row_number: Column, columns: Sequence[str] | None = None, file: Column | None = None) -> DataFrame:
+    """Rows with something to report: ``file_name, row_number``, their ``issues`` and their ``delimited`` cells.
+
+    One projection over the wide row; no row per cell. Store the result once:
+    :func:`issues_of`, :func:`summary_of` and the report all read it.
+    """
+    names = list(columns or df.columns)
+    cells_of_row = F.array(
+        *[
+            F.struct(F.lit(i).alias("col_pos"), F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
+            for i, c in enumerate(names, 1)
+        ]
+    )
+    text = df.select(
+        (F.lit(None).cast("string") if file is None else file).alias("file_name"),
+        row_number.cast("bigint").alias("row_number"),
+        cells_of_row.alias("cells"),
+    )
+    suspect = text.select(
+        "file_name",
+        "row_number",
+        F.filter(
+            "cells",
+            lambda c: c["value"].rlike(SUSPECT) | ~F.is_valid_utf8(c["value"]) | (F.length(c["value"]) > MAX_LENGTH),
+        ).alias("cells"),
+    ).filter(F.size("cells") > 0)
+
+    def found(c: Column) -> Column:
+        at = [c["col_pos"].alias("col_pos"), c["column_name"].alias("column_name")]
+        checks = _row_checks(c["value"]).items()
+        return F.array_compact(
+            F.array(*[F.when(hit, F.struct(*at, F.lit(kind).alias("issue_type"), sample.alias("value_sample"))) for kind, (hit, sample) in checks])
+        )
+
+    def delimited(c: Column) -> Column:
+        at = [c["col_pos"].alias("col_pos"), c["column_name"].alias("column_name")]
+        return F.array_compact(F.array(*[F.when(c["value"].contains(d), F.struct(*at, F.lit(d).alias("delimiter"))) for d in DELIMITERS]))
+
+    return suspect.select(
+        "file_name",
+        "row_number",
+        F.flatten(F.transform("cells", found)).alias("issues"),
+        F.flatten(F.transform("cells", delimited)).alias("delimited"),
+    ).filter((F.size("issues") > 0) | (F.size("delimited") > 0))
+
+
+def _listed(found: DataFrame) -> DataFrame:
+    return found.select("file_name", "row_number", F.inline("issues"))
+
+
+def _delimiters(found: DataFrame) -> DataFrame:
+    return found.select(F.inline("delimited")).groupBy("col_pos", "column_name", "delimiter").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def issues_of(found: DataFrame, table_name: str) -> DataFrame:
+    """All issues of stored :func:`findings`, each with its file; those of a whole column have none."""
+    general = _delimiters(found).select(
+        F.lit(None).cast("string").alias("file_name"),
+        F.lit(0).cast("bigint").alias("row_number"),
+        "col_pos",
+        "column_name",
+        F.lit("delimiter_in_data").alias("issue_type"),
+        _rows_contain().alias("value_sample"),
+    )
+    return _described(_listed(found).unionByName(general)).select(F.lit(table_name).alias("table_name"), "*")
+
+
+def summary_of(found: DataFrame) -> DataFrame:
+    """Issue counts per kind and severity of stored :func:`findings`."""
+    kinds = _listed(found).groupBy("issue_type").agg(F.count(F.lit(1)).alias("issue_count"))
+    general = _delimiters(found).groupBy().agg(F.lit("delimiter_in_data").alias("issue_type"), F.count(F.lit(1)).alias("issue_count"))
+    both = kinds.unionByName(general.filter(F.col("issue_count") > 0))
+    return _described(both).select("issue_type", "severity", "issue_count")
+
+
+def _rows_contain() -> Column:
+    return F.concat(F.col("row_count").cast("string"), F.lit(" rows contain '"), F.col("delimiter"), F.lit("'"))
+
+
 def delimiter_counts(tall: DataFrame) -> DataFrame:
     """Rows per column that contain each delimiter (only those that occur)."""
     counted = tall.groupBy("col_pos", "column_name").agg(
@@ -108,13 +193,12 @@ def issues(tall: DataFrame, table_name: str, per_type: int | None = None) -> Dat
     if per_type is not None:
         salted = listed.withColumn("_part", F.pmod(F.xxhash64("col_pos", "row_number"), F.lit(RANKING_PARTS)))
         listed = _first(_first(salted, ["issue_type", "_part"], per_type).drop("_part"), ["issue_type"], per_type)
-    quoted = F.concat(F.lit("'"), F.col("delimiter"), F.lit("'"))
     general = delimiter_counts(tall).select(
         F.lit(0).cast("bigint").alias("row_number"),
         "col_pos",
         "column_name",
         F.lit("delimiter_in_data").alias("issue_type"),
-        F.concat(F.col("row_count").cast("string"), F.lit(" rows contain "), quoted).alias("value_sample"),
+        _rows_contain().alias("value_sample"),
     )
     return _described(listed.unionByName(general)).select(F.lit(table_name).alias("table_name"), "*")
 

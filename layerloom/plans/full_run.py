@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import time
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ TABLE_STAT_SCHEMA = (
 )
 
 
+# Tables loaded at a time.
+CONCURRENT_TABLES = 4
+
 OUTCOME_SCHEMA = "path string, status string, error_message string"
 
 
@@ -90,11 +95,13 @@ def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
 
 
 def quality_report(layers: Layers, extract: DataFrame, name: str, load_id: str) -> None:
-    """All issues of the whole extract, and its report; a bad report does not stop the load."""
-    numbered = extract.select("*", (F.col("_metadata.row_index") + 1).alias("_row"))
-    tall = quality.cells(numbered, F.col("_row"), extract.columns)
-    layers.append("monitoring", "quality_issues", quality.issues(tall, name), f"{load_id}-{name}")
-    layers.append("monitoring", "quality_reports", quality.report(quality.summary(tall), name), f"{load_id}-{name}")
+    """All issues of the whole extract, and its report; a bad report does not stop the load. One scan of the extract."""
+    file = F.col("_metadata.file_name")
+    found = quality.findings(extract, F.col("_metadata.row_index") + 1, extract.columns, file)
+    layers.append("monitoring", "quality_findings", found, f"{load_id}-{name}")
+    stored = layers.load_rows("monitoring", "quality_findings", f"{load_id}-{name}")
+    layers.append("monitoring", "quality_issues", quality.issues_of(stored, name), f"{load_id}-{name}")
+    layers.append("monitoring", "quality_reports", quality.report(quality.summary_of(stored), name), f"{load_id}-{name}")
 
 
 def load_table(
@@ -175,8 +182,14 @@ def run(
     only: list[str] | None = None,
     quarantine: bool = False,
     check_quality: bool = False,
+    concurrent_tables: int = CONCURRENT_TABLES,
 ) -> DataFrame:
-    """Load everything that has landed; returns the run's table statistics."""
+    """Load everything that has landed; returns the run's table statistics.
+
+    Tables are loaded ``concurrent_tables`` at a time, each in a scheduler pool
+    of its own name, so small tables fill the cores that the tail of a large
+    one leaves idle. Loads of one table keep their order.
+    """
     # the inventory may have read every landed byte, so it is stored once and read back
     layers.append("monitoring", "inventory", scan_landing(spark, landing_root, run_ts, tables=only), run_id)
     listing = layers.load_rows("monitoring", "inventory", run_id)
@@ -185,22 +198,31 @@ def run(
     log = monitoring.file_log_rows(ready, run_id, run_ts)
     layers.append("monitoring", "file_log", log, run_id)
 
-    stats: list[tuple] = []
-    outcomes: list[tuple] = []
+    def load_sets(sets: list[FileSet]) -> list[tuple[FileSet, list[tuple], str | None]]:
+        """The file sets of one table, in their order; a failure is kept to its set."""
+        done = []
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", sets[0].physical_name)
+        for files in sets:
+            started = time.monotonic()
+            try:
+                spec = load_spec(tables, columns, files.table_name, files.config_name)
+                if spec is None:
+                    raise LookupError(f"table not in catalog: {files.physical_name}")
+                done.append((files, load_table(layers, files, spec, run_id, run_ts, quarantine, check_quality), None))
+            except Exception as error:  # noqa: BLE001 - one table must not stop the run
+                seconds = time.monotonic() - started
+                message = str(error)[: monitoring.ERROR_LENGTH]
+                failed = (run_id, "run", files.physical_name, 0, 0, 0, seconds, files.load_mode, FAILED, message)
+                done.append((files, [failed], message))
+        return done
+
+    by_table: dict[str, list[FileSet]] = {}
     for files in file_sets(resolved, run_id):
-        started = time.monotonic()
-        try:
-            spec = load_spec(tables, columns, files.table_name, files.config_name)
-            if spec is None:
-                raise LookupError(f"table not in catalog: {files.physical_name}")
-            stats.extend(load_table(layers, files, spec, run_id, run_ts, quarantine, check_quality))
-            outcomes.extend((path, COMPLETED, None) for path in files.paths)
-        except Exception as error:  # noqa: BLE001 - one table must not stop the run
-            seconds = time.monotonic() - started
-            message = str(error)[: monitoring.ERROR_LENGTH]
-            name, mode = files.physical_name, files.load_mode
-            stats.append((run_id, "run", name, 0, 0, 0, seconds, mode, FAILED, message))
-            outcomes.extend((path, FAILED, message) for path in files.paths)
+        by_table.setdefault(raw.raw_table_name(files.table_name, files.config_name), []).append(files)
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_tables)) as pool:
+        loads = [load for chain in pool.map(inheritable_thread_target(spark)(load_sets), by_table.values()) for load in chain]
+    stats = [row for _, rows, _ in loads for row in rows]
+    outcomes = [(path, COMPLETED if error is None else FAILED, error) for files, _, error in loads for path in files.paths]
 
     updates = status_updates(layers, spark.createDataFrame(outcomes, OUTCOME_SCHEMA), run_id)
     layers.append("monitoring", "file_log", monitoring.update_file_status(log, updates), run_id)

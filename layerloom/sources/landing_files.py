@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from layerloom.constants import EXTRACT_FILE, EXTRACTED_AT, SOURCE_ROW
 from layerloom.operators import landing
+from layerloom.operators.catalog import DUMP_ORDER
 
 METADATA_JSON = (
     "table_name string, config_name string, physical_name string, load_mode string, row_count bigint, "
@@ -259,10 +260,17 @@ def read_file_set(spark: SparkSession, paths: Sequence[str], checked: bool = Fal
     return spark.read.parquet(*paths)
 
 
-def read_catalog_dump(spark: SparkSession, folder: str) -> DataFrame:
-    """Column catalog dumps (``*.metadata.json``), one row per column."""
+def read_catalog_dump(spark: SparkSession, folder: str, ordered: bool = False) -> DataFrame:
+    """Column catalog dumps (``*.metadata.json``), one row per column.
+
+    With ``ordered`` rows also say where they stand (``DUMP_ORDER``: when and
+    where the dump was written, place in its list), so that of a repeated
+    column :func:`~layerloom.operators.catalog.catalog_upsert` takes the last.
+    """
     rows = _json(spark, folder, "*.metadata.json", DUMP_JSON)
-    return rows.select("table_name", F.explode("columns").alias("c")).select(
+    order = [F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col("position")]
+    placed = rows.select("*", "_metadata").select("table_name", "_metadata", F.posexplode("columns").alias("position", "c"))
+    return placed.select(
         "table_name",
         F.col("c.name").alias("column_name"),
         F.col("c.type").alias("data_type"),
@@ -270,6 +278,7 @@ def read_catalog_dump(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c.width").alias("width"),
         F.col("c.scale").alias("scale"),
         F.col("c.order").alias("progress_order"),
+        *([c.alias(n) for c, n in zip(order, DUMP_ORDER, strict=True)] if ordered else []),
     )
 
 

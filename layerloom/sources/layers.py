@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from layerloom.constants import IS_CURRENT, IS_DELETED, VALID_TO
 
-LOAD, STATE, PART = "_load", "_state", "_part"
+LOAD, STATE, PART, DAY = "_load", "_state", "_part", "_day"
 LIVE, PAST = "live", "past"
 BASE, DELTA = "base", "delta"
 ENDED_ROWS, AS_OF = "_ended_rows", "_as_of"
@@ -178,6 +178,55 @@ class Layers:
         """The rows one run added (a pruned partition)."""
         return self.read(layer, table).filter(F.col(LOAD) == load_name(run_id)).drop(LOAD)
 
+    # -- dated logs -------------------------------------------------------------
+
+    def _folders(self, pattern: str) -> list[str]:
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext
+        glob = jvm.org.apache.hadoop.fs.Path(pattern)
+        return [f.getPath().toString() for f in glob.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(glob) or []]
+
+    def append_log(self, table: str, rows: DataFrame, run_id: str, ts_column: str) -> str:
+        """Add one run's rows to a log that is split by day; running the same run again replaces them."""
+        path = self.path("monitoring", table)
+        for stale in self._folders(f"{path}/{DAY}=*/{LOAD}={load_name(run_id)}"):
+            self._remove(stale)
+        dated = rows.withColumn(DAY, F.to_date(ts_column)).withColumn(LOAD, F.lit(load_name(run_id)))
+        dated.write.mode("append").partitionBy(DAY, LOAD).parquet(path)
+        return path
+
+    def log_rows(self, table: str) -> DataFrame:
+        return self.read("monitoring", table).drop(DAY, LOAD)
+
+    def purge_log(self, table: str, expired: Column, until: Column) -> dict[str, int]:
+        """Drop expired rows of a dated log; days after ``until`` hold none and are not read.
+
+        A day without rows to keep is dropped as a folder, a day without
+        expired rows is left alone, and only days that have both are rewritten.
+        The driver sees one row of counts per day.
+        """
+        path = self.path("monitoring", table)
+        old = self.read("monitoring", table).filter(F.col(DAY) <= until.cast("date"))
+        days = old.groupBy(DAY).agg(F.count_if(expired).alias("gone"), F.count_if(~expired).alias("kept")).filter("gone > 0").collect()
+        for day in days:
+            folder = f"{path}/{DAY}={day[DAY]}"
+            if day["kept"]:
+                staged = f"{path}/_kept-{day[DAY]}"
+                kept = self.spark.read.parquet(folder).filter(~expired)
+                kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(LOAD).parquet(staged)
+                self._swap(staged, folder)
+            else:
+                self._remove(folder)
+        return {"deleted_records": sum(d["gone"] for d in days), "rewritten_days": sum(d["kept"] > 0 for d in days)}
+
+    def _swap(self, new: str, folder: str) -> None:
+        """Put a folder in another's place. The old one waits under a hidden name, so a lost driver loses no rows."""
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext
+        paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (new, folder, re.sub(r"/([^/]+)$", r"/_old-\1", folder))]
+        store = paths[0].getFileSystem(context._jsc.hadoopConfiguration())
+        store.rename(paths[1], paths[2])
+        store.rename(paths[0], paths[1])
+        store.delete(paths[2], True)
+
     # -- staging ---------------------------------------------------------------
 
     def stage(self, table: str, rows: DataFrame, run_id: str, reset: bool) -> DataFrame:

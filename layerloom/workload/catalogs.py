@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.operators import catalog
@@ -162,3 +165,31 @@ def catalog_upsert(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("progress_order"),
     )
     return catalog.catalog_upsert(columns, changed.unionByName(added))
+
+
+@query(
+    "catalog_upsert_repeats",
+    f"""WITH {COLUMNS_SQL}
+SELECT table_name, column_name, 'TEXT' AS data_type, progress_type, false AS is_mandatory,
+       width + CASE WHEN scale > 2 THEN 3 ELSE 1 END AS width, scale, extent, progress_order FROM columns""",
+)
+def catalog_upsert_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns repeated by a later dump, and twice within it: the last one counts, not the largest."""
+    columns = columns_catalog(spark, folder)
+    first = TIMESTAMP_OF_DUMP
+
+    def dump(rows: DataFrame, more: int, *place: Column) -> DataFrame:
+        changed = {"data_type": F.lit("TEXT"), "is_mandatory": F.lit(None).cast("boolean"), "width": F.col("width") + more}
+        order = dict(zip(catalog.DUMP_ORDER, place, strict=True))
+        return rows.withColumns(changed).withColumns(order).drop("progress_type", "extent")
+
+    later = columns.filter("scale > 2")
+    dumps = [
+        dump(columns, 1, F.lit(first), F.lit("z"), F.lit(9)),
+        dump(later, 7, F.lit(first), F.lit("zz"), F.lit(1)),
+        dump(later, 3, F.lit(first), F.lit("zz"), F.lit(2)),
+    ]
+    return catalog.catalog_upsert(columns, reduce(DataFrame.unionByName, dumps))
+
+
+TIMESTAMP_OF_DUMP = datetime(2024, 1, 1)

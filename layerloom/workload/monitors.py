@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.operators import monitoring, upkeep
+from layerloom.session import work_dir
+from layerloom.sources.layers import Layers
 from layerloom.workload.landings import FILES_SQL, landed_files
 from layerloom.workload.registry import FIRST_TS, SECOND_TS, by_value, query, table
 
@@ -255,3 +257,14 @@ def log_stats(spark: SparkSession, folder: str) -> DataFrame:
     runs = upkeep.log_stats(table(spark, folder, "events"), "etl_run_log", "ts", "2024-02-14")
     steps = upkeep.log_stats(table(spark, folder, "orders"), "load_step_log", "o_orderdate", "1999-07-01")
     return runs.unionByName(steps)
+
+
+@query("retention_stored_log", f"SELECT * FROM events WHERE NOT (ts < TIMESTAMP '{NOW}' - INTERVAL 90 DAY)")
+def retention_stored_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A log stored day by day in two loads: old days go as folders, the day of the cutoff is rewritten."""
+    layers = Layers(spark, work_dir(spark, "stored-log"))
+    events = table(spark, folder, "events")
+    layers.append_log("events", events.filter("event_type <> 'error'"), "run-1", "ts")
+    layers.append_log("events", events.filter("event_type = 'error' OR event_type IS NULL"), "run-2", "ts")
+    layers.purge_log("events", upkeep.expired_logs(NOW, "ts"), upkeep.cutoff(NOW, upkeep.LOG_RETENTION_DAYS))
+    return layers.log_rows("events")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from layerloom.functions.text import blank_null_tokens, sanitize
 from layerloom.operators import quality, raw, staging
+from layerloom.session import work_dir
 from layerloom.operators.catalog import TargetColumn
 from layerloom.workload.registry import FIRST_TS, by_value, query, table
 
@@ -156,3 +157,28 @@ def quality_issue_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("quality_delimiters", f"WITH {_PAGES_SQL}, {_FOUND_SQL} SELECT * FROM delims")
 def quality_delimiters(spark: SparkSession, folder: str) -> DataFrame:
     return quality.delimiter_counts(page_cells(spark, folder))
+
+
+@query(
+    "quality_one_scan",
+    f"""WITH {_CELLS_SQL}, {_FOUND_SQL}
+SELECT 'documents' AS table_name, CASE WHEN true THEN 'documents.parquet' END AS file_name, row_number, col_pos, column_name,
+       issue_type, value_sample, severity FROM found
+UNION ALL SELECT 'documents', NULL, 0, col_pos, column_name, 'delimiter_in_data',
+  row_count || ' rows contain ''' || delimiter || '''', 'info' FROM delims
+UNION ALL SELECT 'summary', NULL, count(*) FILTER (severity = 'error'), 0, cast(count(*) AS VARCHAR), 'all', 'all', NULL
+FROM (SELECT severity FROM found UNION ALL SELECT 'info' FROM delims)""",
+)
+def quality_one_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Issues with their files, and the report's counts, from findings stored by one scan."""
+    documents = table(spark, folder, "documents")
+    path = work_dir(spark, "quality-findings")
+    part = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]*[.]parquet)(/[^/]*)?$", 1)
+    quality.findings(documents, F.col("doc_id"), DOC_CELLS, part).write.parquet(path)
+    found = spark.read.parquet(path)
+    report = quality.report(quality.summary_of(found), "summary").select(
+        "table_name", F.lit(None).cast("string").alias("file_name"), F.col("error_count").alias("row_number"), F.lit(0).alias("col_pos"),
+        F.col("issue_count").cast("string").alias("column_name"), F.lit("all").alias("issue_type"), F.lit("all").alias("value_sample"),
+        F.lit(None).cast("string").alias("severity"),
+    )
+    return quality.issues_of(found, "documents").unionByName(report)
