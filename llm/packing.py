@@ -91,9 +91,11 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Adds sequence_id and offset to pieces (a `length` of 1 to capacity, `doc_id`, `piece`), gapless from 0.
 
     Pieces of one length are spread over several range partitions where they are
-    many; equal rows may lie in either order, which changes no length.
+    many; equal rows may lie in either order, which changes no length. They are
+    stored first: a range sort samples its input before it reads it.
     """
     names = pieces.columns
+    pieces = stored(pieces, "pieces")
     ranged = pieces.repartitionByRange(F.desc("length"), "doc_id", "piece").sortWithinPartitions(F.desc("length"), "doc_id", "piece")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
