@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,20 +39,23 @@ def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / norm if norm else x
 
 
+def _cluster(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Centroids of one language's sample, and the cosine below which its documents are rejected."""
+    centers = x[np.linspace(0, len(x) - 1, min(CENTROIDS, len(x))).astype(int)]
+    for _ in range(10):
+        near = np.argmax(x @ centers.T, 1)
+        centers = np.stack([x[near == k].sum(0) if (near == k).any() else centers[k] for k in range(len(centers))])
+        centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
+    return centers, REJECT_BELOW * float(np.quantile((x @ centers.T).max(1), 0.01))
+
+
 class Centroids:
     """cosines(text) with every centroid; the best per language decides."""
 
-    def __init__(self, idf: np.ndarray, sample: dict[str, np.ndarray]):
-        self.idf, self.langs, parts, self.floor = idf, sorted(sample), [], {}
-        for lang in self.langs:
-            x = sample[lang]
-            centers = x[np.linspace(0, len(x) - 1, min(CENTROIDS, len(x))).astype(int)]
-            for _ in range(10):
-                near = np.argmax(x @ centers.T, 1)
-                centers = np.stack([x[near == k].sum(0) if (near == k).any() else centers[k] for k in range(len(centers))])
-                centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
-            parts.append(centers)
-            self.floor[lang] = REJECT_BELOW * float(np.quantile((x @ centers.T).max(1), 0.01))
+    def __init__(self, idf: np.ndarray, fitted: dict[str, tuple[np.ndarray, float]]):
+        self.idf, self.langs = idf, sorted(fitted)
+        parts = [fitted[k][0] for k in self.langs]
+        self.floor = {k: fitted[k][1] for k in self.langs}
         self.of = [lang for lang, c in zip(self.langs, parts, strict=True) for _ in c]
         self.centers = np.concatenate(parts) if parts else np.empty((0, len(idf)))
 
@@ -110,11 +114,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     for r in learned.where("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).collect():
         frequency[r["bin"]] = r["n"]
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
-    sample: dict[str, list[np.ndarray]] = {}
-    for r in learned.where("lang is not null").select("lang", "counts").orderBy("lang", "counts").toLocalIterator():
-        sample.setdefault(r["lang"], []).append(_weigh(np.frombuffer(r["counts"], "<u4"), idf).astype(np.float32))
-    # Rows go as their matrix is made, so the driver holds the sample once.
-    return Centroids(idf, {k: np.stack(sample.pop(k)) for k in list(sample)})
+
+    def cluster(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        sample = np.stack([_weigh(np.frombuffer(c, "<u4"), idf).astype(np.float32) for c in sorted(rows["counts"])])
+        centers, floor = _cluster(sample)
+        return pd.DataFrame({"lang": [key[0]] * len(centers), "center": [c.astype("<f4").tobytes() for c in centers], "k": range(len(centers)), "floor": floor})
+
+    # A language's sample is a task's group: about PER_LANGUAGE rows. The driver gets the centroids only.
+    groups = learned.where("lang is not null").select("lang", "counts").groupBy("lang")
+    fitted: dict[str, tuple[list[np.ndarray], float]] = {}
+    for r in sorted(groups.applyInPandas(cluster, "lang string, center binary, k int, floor double").collect(), key=lambda r: (r["lang"], r["k"])):
+        fitted.setdefault(r["lang"], ([], r["floor"]))[0].append(np.frombuffer(r["center"], "<f4"))
+    return Centroids(idf, {k: (np.stack(c), floor) for k, (c, floor) in fitted.items()})
 
 
 def predict(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
