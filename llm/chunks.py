@@ -16,7 +16,7 @@ import numpy as np
 CHUNK = re.compile(r"\s*\S+|\s+", re.ASCII)
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85   -​    　]")
 # Distinct chunks a worker remembers between batches, and the characters worked on at a time.
-REMEMBERED, BATCH_CHARS = 400_000, 4_000_000
+REMEMBERED, BATCH_CHARS = 300_000, 2_000_000
 
 Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 

@@ -53,6 +53,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, doc_id: str
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        encoder.forget()  # the worker lives on beside other stages
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 
