@@ -16,6 +16,7 @@ from llm.common import importable, keep_rows, text_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SEQUENCE = 2048
+DOCUMENTS_AT_A_TIME = 1000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +58,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def _stage(function):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         importable(spark)
+        # Documents are long: Spark's 10,000 of them at a time fill a task's memory.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(DOCUMENTS_AT_A_TIME))
         return function(spark, docs, sf_dir)
 
     return run_stage
@@ -70,7 +73,7 @@ STAGES = [
     ("best-fit packing", _stage(best_fit_packing)),
 ]
 
-#: The outlier, language and alignment stages can't be said in SQL; tests compare them with brute force.
+#: The outlier, language and alignment stages can't be said in SQL; the operators are tested one by one.
 ORACLE_SQL = None
 
 
