@@ -18,10 +18,17 @@ FAIR_QUALITY = 0.7
 ERROR_LENGTH = 500
 NOTHING_LOADED = ("ERROR", "rows_loaded", "Source has rows but nothing loaded")
 VOLUME_SPIKE = ("WARNING", "volume_spike", "Loaded rows unusually high")
+NOTHING_CHANGED = ("WARNING", "no_op_merge", "Staging has rows but the history did not change")
 SLOW_TABLE = ("WARNING", "duration", "Table processing very slow")
 # --- end of fixed values -----------------------------------------------------
 
 
+TABLE_STAT_SCHEMA = (
+    "run_id string, layer string, table_name string, rows_source bigint, rows_loaded bigint, "
+    "rows_failed bigint, duration_sec double, load_mode string, status string, error_message string"
+)
+
+
 def file_log_id(path: Column, run_id: str) -> Column:
     return F.md5(F.concat(path, F.lit(run_id)))
 

@@ -25,12 +25,6 @@ from layerloom.plans.history_load import load_history
 from layerloom.sources.landing_files import SCANNED_PATH, positioned, read_file_set, scan_landing
 from layerloom.sources.layers import Layers
 
-TABLE_STAT_SCHEMA = (
-    "run_id string, layer string, table_name string, rows_source bigint, rows_loaded bigint, "
-    "rows_failed bigint, duration_sec double, load_mode string, status string, error_message string"
-)
-
-
 # Tables loaded at a time.
 CONCURRENT_TABLES = 4
 
@@ -157,6 +151,14 @@ def load_table(
     return stats
 
 
+def findings_of(stats: DataFrame) -> DataFrame:
+    """Anomalies of recorded table statistics, and a warning for each merge that changed nothing."""
+    silent = monitoring.silent_merges(stats).select(
+        "run_id", "layer", "table_name", *[F.lit(text).alias(n) for text, n in zip(monitoring.NOTHING_CHANGED, ("level", "metric", "message"), strict=True)]
+    )
+    return monitoring.anomalies(stats).unionByName(silent)
+
+
 def status_updates(layers: Layers, outcomes: DataFrame, run_id: str) -> DataFrame:
     """File status updates of a run: the outcome of each loaded file and its rows in the raw layer."""
     updates = outcomes.select(
@@ -226,8 +228,9 @@ def run(
 
     updates = status_updates(layers, spark.createDataFrame(outcomes, OUTCOME_SCHEMA), run_id)
     layers.append("monitoring", "file_log", monitoring.update_file_status(log, updates), run_id)
-    rows = spark.createDataFrame(stats, TABLE_STAT_SCHEMA)
+    rows = spark.createDataFrame(stats, monitoring.TABLE_STAT_SCHEMA)
     layers.append("monitoring", "table_stats", rows, run_id)
     recorded = layers.load_rows("monitoring", "table_stats", run_id)
     layers.append("monitoring", "runs", monitoring.run_stats(recorded, "full_load", run_ts), run_id)
+    layers.append("monitoring", "anomalies", findings_of(recorded), run_id)
     return recorded

@@ -193,20 +193,23 @@ def content_hashes(spark: SparkSession, folder: str) -> DataFrame:
     return hashed[0].unionByName(hashed[1])
 
 
-@query("scd2_initial", f"WITH {ORDERS_SQL}\n{_versions(ORDER_COLUMNS, 'ods', FIRST_TS, 'run-1')}")
+@query(
+    "scd2_initial",
+    f"""WITH {ORDERS_SQL}, every AS (SELECT *, {_hash_sql(ORDER_COLUMNS)} AS h FROM extract)
+{_versions(ORDER_COLUMNS, "every", FIRST_TS, "run-1")}""",
+)
 def initial(spark: SparkSession, folder: str) -> DataFrame:
-    return scd2.merge(None, first_orders(spark, folder), ORDERS, INCREMENTAL, FIRST_TS, "run-1")
+    return scd2.merge(None, orders_extract(spark, folder), ORDERS, INCREMENTAL, FIRST_TS, "run-1")
 
 
 @query(
     "scd2_full_reset",
-    f"""WITH {LINES_SQL}, every AS (SELECT *, {_hash_sql(LINE_COLUMNS)} AS h FROM second)
+    f"""WITH {LINES_SQL}, every AS (SELECT * EXCLUDE (l_linestatus), {_hash_sql(LINE_COLUMNS)} AS h FROM extract)
 {_versions(LINE_COLUMNS, "every", SECOND_TS, "run-2")}""",
 )
 def full_reset(spark: SparkSession, folder: str) -> DataFrame:
-    return scd2.merge(
-        lines_history(spark, folder), second_lines(spark, folder), LINES, FULL_RESET, SECOND_TS, "run-2"
-    )
+    batch = lines_extract(spark, folder).select(*LINE_COLUMNS)
+    return scd2.merge(lines_history(spark, folder), batch, LINES, FULL_RESET, SECOND_TS, "run-2")
 
 
 @query(

@@ -209,11 +209,10 @@ NOW = "2024-04-14 06:00:00"
 
 @query(
     "retention_logs",
-    f"SELECT event_id, ts, event_type FROM events WHERE NOT (ts < TIMESTAMP '{NOW}' - INTERVAL 90 DAY)",
+    f"SELECT * FROM events WHERE NOT (ts < TIMESTAMP '{NOW}' - INTERVAL 90 DAY)",
 )
 def retention_logs(spark: SparkSession, folder: str) -> DataFrame:
-    log = table(spark, folder, "events").select("event_id", "ts", "event_type")
-    return upkeep.purge(log, upkeep.expired_logs(NOW, "ts"))
+    return upkeep.purge(table(spark, folder, "events"), upkeep.expired_logs(NOW, "ts"))
 
 
 _FILE_LOG_SQL = """log AS (SELECT o_orderkey AS log_id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS detected_at,

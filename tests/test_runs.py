@@ -110,6 +110,14 @@ def test_full_run(spark, tmp_path, catalogs):
     assert {r["run_id"]: r["status"] for r in runs.collect()} == {"run-1": "FAILED", "run-2": "COMPLETED", "run-3": "COMPLETED"}
     assert layers.read("monitoring", "file_log").count() == 3 + 2 + 2
     assert monitoring.anomalies(layers.read("monitoring", "table_stats")).isEmpty()
+    assert layers.read("monitoring", "anomalies").isEmpty()
+    # the same extract again: the merge changes nothing, and the run says so
+    land(three, "client_6", "client", clients([1, 4], ["a", "d"]), FULL, "2024-01-04T01:00:00")
+    run(spark, str(three.root), layers, *catalogs, "run-4", T[3])
+    assert rows(layers.load_rows("monitoring", "anomalies", "run-4").select("table_name", "metric")) == [
+        ("client", "no_op_merge"),
+        ("client", "rows_loaded"),
+    ]
 
 
 def test_quarantine(spark, tmp_path, catalogs):

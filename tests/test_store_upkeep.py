@@ -79,3 +79,41 @@ def test_the_last_repeat_of_a_dumped_column_counts(spark, tmp_path):
     known = spark.createDataFrame([("client", "id", "AA", "integer", True, 1, 1, 0, 5)], catalog.COLUMN_CATALOG_SCHEMA)
     got = catalog.catalog_upsert(known, rows_of_dump)
     assert rows(got.select("column_name", "data_type", "progress_order")) == [("id", "BB", 5), ("old", "ZZ", 0)]
+
+
+def test_timed_stream_records_its_batches(spark, tmp_path):
+    """Two intervals of a timed trigger, one file each; the log of batches can be searched for anomalies."""
+    import time
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from layerloom.constants import ROW_POSITION
+    from layerloom.operators import monitoring
+    from layerloom.operators.scd2 import History
+    from layerloom.streaming.feed import STREAM_STATS, feed_history, landed_stream
+
+    landing, layers = tmp_path / "landing", Layers(spark, str(tmp_path / "warehouse"))
+    landing.mkdir()
+    stream = landed_stream(spark, str(landing), "id int, v string")
+    table = History(keys=("id",), columns=("id", "v"), as_of=ROW_POSITION)
+    feed = feed_history(stream, layers, "t", table, str(tmp_path / "checkpoint"), interval="1 second")
+
+    def wait_for(loads):
+        end = time.monotonic() + 90
+        while time.monotonic() < end and len(layers.log("t")) < loads:
+            time.sleep(0.3)
+
+    try:
+        for k, values in enumerate((["a", "b"], ["A"])):
+            pq.write_table(pa.table({"id": pa.array(range(len(values)), pa.int32()), "v": values}), tmp_path / "f")
+            os.rename(tmp_path / "f", landing / f"f{k}.parquet")
+            wait_for(k + 1)
+        feed.processAllAvailable()
+    finally:
+        feed.stop()
+    assert rows(layers.live("t").select("id", "v")) == [(0, "A"), (1, "b")]
+    stats = layers.read("monitoring", STREAM_STATS)
+    assert rows(stats.select("layer", "rows_loaded")) == [("stream", 2), ("stream", 2)]
+    slow = stats.withColumn("duration_sec", F.lit(601.0))
+    assert monitoring.anomalies(stats).isEmpty() and monitoring.anomalies(slow).count() == 2
