@@ -182,3 +182,17 @@ def quality_one_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("severity"),
     )
     return quality.issues_of(found, "documents").unionByName(report)
+
+
+@query(
+    "quality_bad_bytes",
+    f"""WITH {_CELLS_SQL}, {_FOUND_SQL}, u AS (SELECT issue_type, severity FROM found
+  UNION ALL SELECT 'encoding_error', 'error' FROM documents WHERE lang = 'fr' AND text IS NOT NULL
+  UNION ALL SELECT 'delimiter_in_data', 'info' FROM delims)
+SELECT issue_type, severity, count(*) AS issue_count FROM u GROUP BY ALL""",
+)
+def quality_bad_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of one language end in a byte that is no UTF-8."""
+    broken = F.concat(F.col("text").cast("binary"), F.lit(b"\xff")).cast("string")
+    documents = table(spark, folder, "documents").withColumn("text", F.when(F.col("lang") == "fr", broken).otherwise(F.col("text")))
+    return quality.summary_of(quality.findings(documents, F.col("doc_id"), DOC_CELLS))
