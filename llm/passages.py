@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,8 @@ PLACE = np.dtype([("h", "<u8"), ("id", "<i8"), ("th", "<i4"), ("at", "<u4")])
 HEAD = np.dtype([("id", "<i8"), ("th", "<i4"), ("at", "<u4"), ("n", "<u4")])
 PACKED = "bucket int, known boolean, heads binary, hashes binary"
 SPOTS = "id long, th int, spots binary"
+HOMED = "home int, records binary"
+SPOT = np.dtype([("id", "<i8"), ("th", "<i4"), ("at", "<u4")])
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,6 +97,21 @@ def spots(ids: np.ndarray, ths: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(ths[first]), pa.array(blobs, pa.binary())], names=["id", "th", "spots"])
 
 
+def homed(ids: np.ndarray, ths: np.ndarray, at: np.ndarray, homes: int) -> pa.RecordBatch:
+    """Places packed by the home of their document: rows follow the homes, not the documents."""
+    found = np.empty(len(ids), SPOT)
+    found["id"], found["th"], found["at"] = ids, ths, at
+    rows = [(home, found[k].tobytes()) for home, k in by_bucket((found["id"] ^ found["th"]) % homes, homes)]
+    columns = list(zip(*rows, strict=True)) or [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["home", "records"])
+
+
+def _at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [np.frombuffer(x, SPOT) for batch in batches for x in batch.column("records").to_pylist()]
+    found = np.concatenate([np.empty(0, SPOT), *parts])
+    yield spots(found["id"], found["th"], found["at"])
+
+
 def _map_seeds(buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -121,7 +139,7 @@ def _map_seeds(buckets: int) -> Callable:
     return run
 
 
-def _repeated_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated_seeds(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, marks = [np.empty(0, PLACE)], [np.empty(0, bool)]
     for batch in batches:
         for known, heads, hashes in zip(*(batch.column(c).to_pylist() for c in ("known", "heads", "hashes")), strict=True):
@@ -135,7 +153,7 @@ def _repeated_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     several[order[1:][same]] = True
     several[order[:-1][same]] = True
     found = found[several]
-    yield spots(found["id"], found["th"], found["at"])
+    yield homed(found["id"], found["th"], found["at"], homes)
 
 
 def _map_extensions(buckets: int) -> Callable:
@@ -143,7 +161,7 @@ def _map_extensions(buckets: int) -> Callable:
         for batch in sliced(batches):
             hashes, anchors, places = [], [], []
             for key, th, text, found in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text", "spots")), strict=True):
-                words, wanted = words_of(text), np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in found]))
+                words, wanted = words_of(text), np.unique(np.frombuffer(found, "<u4"))
                 values, grams, anchor = seeds(words)
                 start = np.flatnonzero(np.isin(anchor, wanted))
                 with np.errstate(over="ignore"):
@@ -183,7 +201,7 @@ def _later(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (lead["id"] != places["id"]) | (lead["th"] != places["th"]) | (lead["at"] != places["at"])
 
 
-def _repeated_extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated_extensions(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     heads, hashes, known = [np.empty(0, HEAD)], [np.empty(0, np.uint64)], [np.empty(0, HEAD)]
     for batch in batches:
         for sure, head, values in zip(*(batch.column(c).to_pylist() for c in ("known", "heads", "hashes")), strict=True):
@@ -195,23 +213,20 @@ def _repeated_extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     order = np.lexsort((places["at"], places["th"], places["id"], hashes))
     places = places[order]
     found = np.concatenate([places[_later(hashes[order], places)], known])
-    yield spots(found["id"], found["th"], found["at"])
+    yield homed(found["id"], found["th"], found["at"], homes)
 
 
 def exchange(packed_rows: DataFrame, buckets: int, reduce: Callable) -> DataFrame:
-    """Records to their buckets, then all places of a document in one row."""
-    return packed_rows.repartition(buckets, "bucket").mapInArrow(reduce, SPOTS)
-
-
-def _per_document(found: DataFrame) -> DataFrame:
-    return found.groupBy("id", "th").agg(F.collect_list("spots").alias("spots"))
+    """Records to their buckets, then all places of a document to its home, in one row."""
+    found = packed_rows.repartition(buckets, "bucket").mapInArrow(partial(reduce, buckets), HOMED)
+    return found.repartition(buckets, "home").mapInArrow(_at_home, SPOTS)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(id, th, spots): starts, per document of (id, th, text), of the THRESHOLD-word runs that also start earlier."""
     buckets = spread_of(docs.sparkSession)
     anchors = stored(exchange(docs.mapInArrow(_map_seeds(buckets), PACKED), buckets, _repeated_seeds), "passage-seeds")
-    seeded = docs.join(_per_document(anchors), ["id", "th"]).select("id", "th", "text", "spots")
+    seeded = docs.join(anchors, ["id", "th"]).select("id", "th", "text", "spots")
     return stored(exchange(seeded.mapInArrow(_map_extensions(buckets), PACKED), buckets, _repeated_extensions), "passages")
 
 
@@ -228,7 +243,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     carried = [f"_c{k}" for k in range(len(carry))]
     keyed = document_keys(docs, doc_id, text, dict(zip(carried, carry, strict=True)))
-    found = _per_document(repeats(keyed.select("id", "th", "text")))
+    found = repeats(keyed.select("id", "th", "text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +254,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 shown = value
                 if starts:
                     change = np.zeros(len(words) + 1, np.int64)
-                    at = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in starts]))
+                    at = np.unique(np.frombuffer(starts, "<u4"))
                     np.add.at(change, at, 1)
                     np.add.at(change, at + THRESHOLD, -1)
                     covered = np.cumsum(change[:-1]) > 0
