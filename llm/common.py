@@ -107,7 +107,16 @@ def spread_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """The name, with underscores in front until no column of df has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def keep_rows(docs: DataFrame, decisions: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of docs whose (doc_id, text_key) has kept in decisions; nulls count as equal."""
-    kept = decisions.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_id")) & (text_key(text) == F.col("_key")), "left_semi")
+    """Rows of docs whose (doc_id, text_key) has kept in decisions; nulls count as equal. Other columns may have any name."""
+    own, key = fresh("_id", docs), fresh("_key", docs)
+    kept = decisions.where("kept").select(F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct()
+    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col(own)) & (text_key(text) == F.col(key)), "left_semi")

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.common import stored
+
 LETTER = re.compile(r"[^\W\d_]")
 DIMENSIONS = 8192  # bins of hashed n-grams: half for pairs, half for triples of characters
 CENTROIDS = 4
@@ -107,8 +109,6 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         arrays = [pa.array(bins, pa.int32()), pa.array(sums, pa.int64()), pa.array(langs, pa.string()), pa.array(blobs, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    from llm.common import stored
-
     learned = stored(rows.mapInArrow(learn, "bin int, n long, lang string, counts binary"), "language")
     frequency = np.zeros(DIMENSIONS + 1)
     for r in learned.where("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).collect():
@@ -128,20 +128,26 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return Centroids(idf, {k: (np.stack(c), floor) for k, (c, floor) in fitted.items()})
 
 
-def predict(docs: DataFrame, model: Centroids, text: str = "text") -> DataFrame:
-    """All columns of docs but its text, then lang_pred, score and rejected (in place of columns so named), from the whole text alone.
+def predict(docs: DataFrame, model: Centroids, text: str = "text", with_text: bool = False) -> DataFrame:
+    """All columns of docs, its text only if with_text, then lang_pred, score and rejected (in place of columns so named), from the whole text alone.
 
     `und`, score 0 and rejected: the text is null, empty or has no letter, or nothing was learned.
+    Other columns may have any name.
     """
     keep = [c for c in docs.columns if c not in (text, "lang_pred", "score", "rejected")]
+    sent = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)]  # so that no name clashes
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x CENTROIDS x DIMENSIONS doubles
+    names = [*keep, *([text] if with_text else []), "lang_pred", "score", "rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t) for t in batch.column("_text").to_pylist()]
+            texts = batch.column("judged")
+            found = [shared.value.predict(t.as_py()) for t in texts]
             langs, scores, rejected = zip(*found, strict=True) if found else ((), (), ())
-            arrays = [*(batch.column(c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "rejected"])
+            arrays = [*(batch.column(f"c{k}") for k in range(len(keep))), *([texts] if with_text else [])]
+            arrays += [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    kinds = "".join(f"`{c}` {t}, " for c, t in docs.dtypes if c in keep)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, f"{kinds}lang_pred string, score double, rejected boolean")
+    types = dict(docs.dtypes)
+    kinds = "".join(f"`{c}` {types[c]}, " for c in names[:-3])
+    return docs.select(*sent, F.col(text).alias("judged")).mapInArrow(run, f"{kinds}lang_pred string, score double, rejected boolean")
