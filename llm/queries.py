@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.session import work_dir
-from llm import divergence, language, main_text, merge_replay, near_text, packing, passages, quality, suffixes, token_files, url_rules, vectors, whitening
+from llm import divergence, language, main_text, merge_replay, near_text, oracles, packing, passages, quality, suffixes, token_files, url_rules, vectors, whitening
 from llm.common import importable, stored, table
 
 SEQUENCE = 2048
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_suffix_repeats": oracles.BYTE_REPEATS,
+    "op8_product_quantised_near_duplicates": oracles.COSINE_LINKS,
+    "op10_passage_repeats": oracles.WORD_REPEATS,
+}
 
 
 def query(build):

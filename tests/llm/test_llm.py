@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import language, merge_replay, near_text, packing, passages, quality, suffixes, token_files, url_rules, vectors
+from llm.common import keep_rows
 from llm.queries import URL_RULES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -314,10 +315,26 @@ def test_url_rules(spark):
     assert url_rules.judge(pages, labels.limit(0), URL_RULES).count() == len(urls)
 
 
+def test_clashing_names(spark, docs):
+    named = docs.select("doc_id", "text", "lang", *[F.lit(c).alias(c) for c in ("_text", "__text", "_id", "_key", "a.b")])
+    model = language.fit(docs.withColumn("lang", F.lit("en")))
+    plain = {tuple(r) for r in language.predict(docs.select("doc_id", "text"), model).collect()}
+    judged = language.predict(named, model, with_text=True)
+    assert judged.columns == ["doc_id", "lang", "_text", "__text", "_id", "_key", "a.b", "text", "lang_pred", "score", "rejected"]
+    found = judged.collect()
+    assert {(r["doc_id"], r["lang_pred"], r["score"], r["rejected"]) for r in found} == plain
+    assert all(r["a.b"] == "a.b" and r["__text"] == "__text" for r in found)
+    assert Counter((r["doc_id"], r["text"]) for r in found) == Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    decisions = near_text.near_duplicates(docs)
+    kept = keep_rows(named, decisions)
+    assert kept.columns == named.columns
+    assert kept.count() == keep_rows(docs.select("doc_id", "text"), decisions).count()
+
+
 def test_pipeline_stages(spark, docs, folder):
     import corpus_pipeline
 
-    documents = docs.select(*corpus_pipeline.COLUMNS, "th")
+    documents = docs.select(*corpus_pipeline.COLUMNS, "th", *[F.lit(7).alias(c) for c in ("_id", "_KEY", "__key", "_text", "judged")])
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, documents, folder).columns == list(corpus_pipeline.COLUMNS)
         assert stage(spark, documents.limit(0), folder).count() == 0
