@@ -16,7 +16,7 @@ from llm.common import importable, keep_rows, text_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SEQUENCE = 2048
-DOCUMENTS_AT_A_TIME = 1000
+DOCUMENTS_AT_A_TIME = 128
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents near enough to a centroid of some language."""
     model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
-    judged = language.predict(docs.select(*COLUMNS, F.col("text").alias("judged")), model, text="judged")
+    judged = language.predict(docs.select(*COLUMNS), model, with_text=True)
     return judged.where("not rejected").select(*COLUMNS)
 
 
@@ -58,7 +58,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def _stage(function):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         importable(spark)
-        # Documents are long: Spark's 10,000 of them at a time fill a task's memory.
+        # Documents are long: Spark's 10,000 of them at a time fill a task's memory, in Python and in the JVM's Arrow buffers.
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(DOCUMENTS_AT_A_TIME))
         return function(spark, docs, sf_dir)
 
@@ -73,7 +73,7 @@ STAGES = [
     ("best-fit packing", _stage(best_fit_packing)),
 ]
 
-#: The outlier, language and alignment stages can't be said in SQL; the operators are tested one by one.
+#: The outlier, language and alignment stages can't be said in SQL; tests/llm tests the operators one by one.
 ORACLE_SQL = None
 
 
