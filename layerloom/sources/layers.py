@@ -42,6 +42,10 @@ COMMIT_SCHEMA = (
 )
 # A part of this many rows is read by a few tasks; the driver lists at most MAX_PARTS folders of a base.
 ROWS_PER_PART, MAX_PARTS = 2_000_000, 4096
+# Up to so many parts, every task writes its own file of each part; beyond, rows are first brought together by part.
+FEW_PARTS = 128
+# Content hashes are hex text, which only an entropy coder packs.
+CODEC = "zstd"
 _NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -152,6 +156,7 @@ class Layers:
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
+            .option("compression", CODEC)
             .partitionBy(*partitions)
             .parquet(path)
         )
@@ -163,6 +168,7 @@ class Layers:
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
+            .option("compression", CODEC)
             .partitionBy(*partitions)
             .parquet(target)
         )
@@ -278,11 +284,11 @@ class Layers:
         return self.path("ods", table, "base", f"{LOAD}={load}", f"{STATE}={state}")
 
     @staticmethod
-    def _of_parts(rows: DataFrame | None, parts: Sequence[int] | None, keep: bool = False) -> DataFrame | None:
+    def _of_parts(rows: DataFrame | None, parts: Sequence[int] | None) -> DataFrame | None:
         if rows is None:
             return None
         found = rows if parts is None else rows.filter(F.col(PART).isin(*parts))
-        return found if keep else found.drop(PART)
+        return found.drop(PART)
 
     def _base_live(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
         held = []
@@ -295,10 +301,10 @@ class Layers:
             return reduce(DataFrame.unionByName, held)
         return self.spark.read.parquet(self._base_folder(table, commits.bases[-1].load, "schema")).drop(PART)
 
-    def _delta(self, table: str, kind: str, loads: Sequence[str], parts: Sequence[int] | None = None, keep: bool = False) -> DataFrame | None:
+    def _delta(self, table: str, kind: str, loads: Sequence[str], parts: Sequence[int] | None = None) -> DataFrame | None:
         folders = [self.path("ods", table, kind, f"{LOAD}={load}") for load in loads]
         rows = self._read(*folders, root=self.path("ods", table, kind)) if folders else None
-        return None if rows is None else self._of_parts(rows.drop(LOAD), parts, keep)
+        return None if rows is None else self._of_parts(rows.drop(LOAD), parts)
 
     def _versions(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
         """Rows live at the last base and rows opened since, ended ones included."""
@@ -319,6 +325,18 @@ class Layers:
             return versions
         return versions.join(ended, _same_row(versions, ended, self._identity(ended)), "left_anti")
 
+    def _with_ends(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame:
+        """Rows live at the last base or opened since, each with the end recorded for it: one join serves live and ended rows."""
+        versions, ended = self._versions(table, commits, parts), self._delta(table, "ended", commits.deltas, parts)
+        if ended is None:
+            return versions
+        names = self._identity(ended)
+        ends = ended.select(*names, VALID_TO, IS_DELETED, F.lit(True).alias("_hit"))
+        joined, hit = versions.join(ends, _same_row(versions, ends, names), "left"), ends["_hit"].isNotNull()
+        values = {VALID_TO: ends[VALID_TO], IS_CURRENT: F.lit(False), IS_DELETED: ends[IS_DELETED]}
+        taken = {c: F.when(hit, v).otherwise(versions[c]) for c, v in values.items()}
+        return joined.select(*[taken.get(c, versions[c]).alias(c) for c in versions.columns])
+
     def _ended_since_base(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame | None:
         ended = self._delta(table, "ended", commits.deltas, parts)
         if ended is None:
@@ -348,8 +366,9 @@ class Layers:
 
     def history(self, table: str) -> DataFrame | None:
         commits = self.commits(table)
-        live = self.live(table, commits)
-        return None if live is None else self.past(table, commits).unionByName(live)
+        if not commits.bases:
+            return None
+        return self._base_past(table, commits).unionByName(self._with_ends(table, commits))
 
     def confirmed(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame | None:
         """Keys that loads since the last reset confirmed, with the newest as-of of each."""
@@ -368,19 +387,23 @@ class Layers:
 
     # -- history: writing ------------------------------------------------------------
 
+    @staticmethod
+    def _split(rows: DataFrame, commits: Commits) -> DataFrame:
+        """Rows with their part. Many parts get few files each; a part that one key fills is split by AQE."""
+        split = rows.withColumn(PART, commits.part())
+        return split.hint("rebalance", PART) if commits.parts > FEW_PARTS else split
+
     def write_base(self, table: str, rows: DataFrame, run_id: str, commits: Commits) -> DataFrame:
         """Write live and ended rows in one job, split into the parts of ``commits``; not yet visible."""
         state = F.when(F.col(IS_CURRENT), F.lit(LIVE)).otherwise(F.lit(PAST))
-        split = rows.withColumn(STATE, state).withColumn(PART, commits.part())
-        if commits.parts > 1:  # few files per part; a part that one key fills is split by AQE
-            split = split.hint("rebalance", PART)
+        split = self._split(rows.withColumn(STATE, state), commits)
         target = self._write_load(self.path("ods", table, "base"), split, run_id, STATE, PART)
         empty = self.spark.createDataFrame([], rows.schema)
-        empty.write.mode("overwrite").parquet(f"{target}/{STATE}=schema/{PART}=0")
+        empty.write.mode("overwrite").option("compression", CODEC).parquet(f"{target}/{STATE}=schema/{PART}=0")
         return self.spark.read.schema(rows.schema).parquet(target)
 
     def _write_delta(self, table: str, kind: str, rows: DataFrame, run_id: str, commits: Commits | None) -> DataFrame:
-        split = rows.withColumn(PART, (commits or self.commits(table)).part())
+        split = self._split(rows, commits or self.commits(table))
         target = self._write_load(self.path("ods", table, kind), split, run_id, PART)
         return self.spark.read.schema(rows.schema).parquet(target)
 
@@ -408,9 +431,9 @@ class Layers:
             self._remove(self.path("ods", table, "work", step, f"{LOAD}={load_name(run_id)}"))
 
     def changed_parts(self, table: str, commits: Commits) -> list[int]:
-        """Parts that the deltas since the last base touched: at most MAX_PARTS numbers."""
-        found = [rows for kind in ("opened", "ended") if (rows := self._delta(table, kind, commits.deltas, keep=True)) is not None]
-        return sorted({r[0] for rows in found for r in rows.select(PART).distinct().collect()})
+        """Parts that the deltas since the last base touched: at most MAX_PARTS numbers, read from folder names."""
+        folders = [f for kind in ("opened", "ended") for load in commits.deltas for f in self._folders(self.path("ods", table, kind, f"{LOAD}={load}", f"{PART}=*"))]
+        return sorted({int(f.rsplit("=", 1)[1]) for f in folders})
 
     def compact(self, table: str) -> bool:
         """Fold the deltas into a new base of the changed parts; the history reads the same before and after.
@@ -428,9 +451,8 @@ class Layers:
         else:
             base = Base("", commits.parts, frozenset(changed))
         run_id = f"compact-{commits.position + 1}"
-        rows, ended = self.live(table, commits, changed), self._ended_since_base(table, commits, changed)
         resized = replace(commits, bases=(*commits.bases, base))
-        self.write_base(table, rows if ended is None else rows.unionByName(ended), run_id, resized)
+        self.write_base(table, self._with_ends(table, commits, changed), run_id, resized)
         if (seen := self.confirmed(table, commits)) is not None:
             self.write_confirmed(table, seen, run_id, resized)
         self.commit(table, commits, run_id, BASE, base=base)
