@@ -33,3 +33,21 @@ def hashdiff(names: Iterable[str], exclude: Iterable[str] = HASH_EXCLUDED, separ
     cells = [F.coalesce(F.col(f"`{n}`").cast("string"), null_text) for n in content]
     joined = F.concat_ws(SAFE_SEPARATOR, *cells) if separated else F.concat(*cells)
     return F.md5(joined)
+
+
+# Longer than the 16 bytes of a packed hash, so the two kinds never meet.
+_AS_IS = b"\x00" * 17
+
+
+def packed(value: str) -> Column:
+    """A hash column for a shuffle: 32 lowercase hex digits as 16 bytes, any other text marked and unchanged; null stays null."""
+    text = F.col(value)
+    raw = F.unhex(text)
+    plain = (F.length(text) == 32) & F.coalesce(F.lower(F.hex(raw)) == text, F.lit(False))
+    return F.when(plain, raw).otherwise(F.concat(F.lit(_AS_IS), text.cast("binary")))
+
+
+def unpacked(value: Column) -> Column:
+    """The text that was :func:`packed`."""
+    rest = F.substring(value, len(_AS_IS) + 1, 2**31 - 1)
+    return F.when(F.length(value) == 16, F.lower(F.hex(value))).otherwise(rest.cast("string"))

@@ -33,7 +33,7 @@ from layerloom.constants import (
     VALID_FROM,
     VALID_TO,
 )
-from layerloom.functions.hashing import hashdiff
+from layerloom.functions.hashing import hashdiff, packed, unpacked
 from layerloom.operators.keyed import latest_per_key, moment, skew_safe_join, unmatched
 
 KEEP, CLOSE, DELETE = "keep", "close", "delete"
@@ -86,11 +86,24 @@ def with_hash(batch: DataFrame, table: History) -> DataFrame:
 
 def incoming(batch: DataFrame, table: History) -> DataFrame:
     """One row per key: business columns, hash and as-of columns."""
-    hashed = with_hash(batch, table)
-    winners = latest_per_key(hashed, table.keys, table.winner_order(hashed))
+    if _order_decides(batch, table):
+        # The hash can't break a tie then, so it is taken of the winners and doesn't travel.
+        winners = with_hash(latest_per_key(batch, table.keys, table.winner_order(batch)[:-1]), table)
+    else:
+        hashed = with_hash(batch, table)
+        winners = latest_per_key(hashed, table.keys, table.winner_order(hashed))
     return winners.select(*table.columns, HASHDIFF, *table.as_of)
 
 
+def _order_decides(batch: DataFrame, table: History) -> bool:
+    """Whether rows that agree in key and order columns have the same hash. Equal floats and collated texts may differ in theirs."""
+    hashed = table.columns if table.hash_columns is None else table.hash_columns
+    if HASHDIFF in batch.columns or not table.order or not set(hashed) <= {*table.keys, *table.order}:
+        return False
+    types = [batch.schema[c].dataType.simpleString() for c in hashed]
+    return not any(word in t for t in types for word in ("float", "double", "collate"))
+
+
 STALE = "_stale"
 
 
@@ -157,14 +170,22 @@ def check_mode(mode: str) -> None:
 
 
 def decided(
-    live: DataFrame, source: DataFrame, table: History, mode: str, horizon: datetime | None = None, carry: Sequence[Column] = ()
+    live: DataFrame,
+    source: DataFrame,
+    table: History,
+    mode: str,
+    horizon: datetime | None = None,
+    carry: Sequence[Column] = (),
+    stored: bool = False,
 ) -> DataFrame:
     """Live rows with ``_action``: close a changed row, delete a missing key (FULL only).
 
     A NULL key never matches, so in FULL mode such rows are deleted. Rows that
     were extracted after the ``horizon`` of a full extract are not missing from
     it. A row that a newer source row confirms takes over its as-of. Columns to
-    ``carry`` may look at the match (``_hit``, ``_src_hash``).
+    ``carry`` may look at the match (``_hit``, ``_src_hash``). A ``stored``
+    source isn't grouped by key, so a plain join shuffles both sides and AQE
+    can split a hot key without an extra column.
     """
     narrow = source.select(
         *table.keys,
@@ -173,7 +194,7 @@ def decided(
         F.lit(True).alias("_hit"),
         *[F.col(c).alias(f"_src{c}") for c in table.as_of],
     )
-    joined = skew_safe_join(live, narrow, table.keys, "left")
+    joined = live.join(narrow, list(table.keys), "left") if stored else skew_safe_join(live, narrow, table.keys, "left")
     changed = F.col("_hit") & ~F.col("_src_stale") & ~F.col(HASHDIFF).eqNullSafe(F.col("_src_hash"))
     action = F.when(changed, F.lit(CLOSE))
     if mode == FULL:
@@ -290,15 +311,17 @@ def merge(
 def fates(
     live: DataFrame, source: DataFrame, table: History, mode: str, horizon: datetime | None = None
 ) -> DataFrame:
-    """What becomes of live rows, by identity (key, hash, opening run): ``_action``, and ``_same`` where the batch says the same.
+    """What becomes of live rows, by identity (key, hash, opening run): ``_action``, ``_rows`` that share it, and ``_same`` where the batch says the same.
 
     No business column is read. Outside FULL mode only rows whose key is in the batch are listed.
+    Rows of one key are counted where the join left them, without a shuffle of their own.
     """
     same = F.coalesce(F.col(HASHDIFF) == F.col("_src_hash"), F.lit(False)).alias("_same")
-    narrow = live.select(*table.keys, HASHDIFF, RUN_ID, *table.as_of)
-    rows = decided(narrow, source, table, mode, horizon, carry=(same, F.col("_hit")))
+    narrow = live.select(*table.keys, packed(HASHDIFF).alias(HASHDIFF), RUN_ID, *table.as_of)
+    rows = decided(narrow, source.withColumn(HASHDIFF, packed(HASHDIFF)), table, mode, horizon, carry=(same, F.col("_hit")), stored=True)
     listed = rows if mode == FULL else rows.filter("_hit")
-    return listed.select(*table.keys, HASHDIFF, RUN_ID, "_action", "_same")
+    counted = listed.groupBy(*table.keys, HASHDIFF, RUN_ID, "_action", "_same").agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.withColumn(HASHDIFF, unpacked(F.col(HASHDIFF)))
 
 
 def ended(acted: DataFrame, table: History, run_ts: datetime | str) -> DataFrame:
@@ -308,8 +331,9 @@ def ended(acted: DataFrame, table: History, run_ts: datetime | str) -> DataFrame
     apply the ends later.
     """
     rows = acted.filter(F.col("_action") != KEEP)
+    counts = [c for c in acted.columns if c == "_rows"]
     return rows.select(
-        *table.keys, HASHDIFF, RUN_ID, moment(run_ts).alias(VALID_TO), (F.col("_action") == DELETE).alias(IS_DELETED)
+        *table.keys, HASHDIFF, RUN_ID, moment(run_ts).alias(VALID_TO), (F.col("_action") == DELETE).alias(IS_DELETED), *counts
     )
 
 

@@ -8,9 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.constants import FULL, FULL_RESET, HASHDIFF, IS_DELETED, RUN_ID
+from layerloom.constants import FULL, FULL_RESET, HASHDIFF, IS_DELETED
+from layerloom.functions.hashing import packed, unpacked
 from layerloom.operators import scd2
 from layerloom.operators.scd2 import History
+from layerloom.session import hot_keys_split
 from layerloom.sources.layers import AS_OF, BASE, DELTA, ENDED_ROWS, PART, Base, Layers, load_name
 
 # An hourly load then rewrites the live rows once a day.
@@ -79,23 +81,18 @@ def load_history(
             known = known.unionByName(seen.select(*table.keys, f"{AS_OF}.*"))
         source = layers.work(name, "source", scd2.marked_stale(source, known, table, commits.full_as_of), run_id)
     # One narrow join of live rows and batch says what ends, what is there already, and what is confirmed.
-    fates = layers.work(name, "fates", scd2.fates(live, source, table, mode, whole), run_id)
+    with hot_keys_split(layers.spark):
+        fates = layers.work(name, "fates", scd2.fates(live, source, table, mode, whole), run_id)
     fresh = source.filter(~F.col(scd2.STALE)).drop(scd2.STALE) if table.as_of else source
     same = fates.filter("_same").select(*table.keys).distinct()
-    missing = fresh.join(same, list(table.keys), "left_anti")
+    missing = fresh.withColumn(HASHDIFF, packed(HASHDIFF)).join(same, list(table.keys), "left_anti")
+    missing = missing.withColumn(HASHDIFF, unpacked(F.col(HASHDIFF)))
     opened = layers.write_opened(name, scd2.opened(missing, table, run_ts, run_id), run_id, commits)
-    ends = scd2.ended(fates, table, run_ts)
+    ends = scd2.ended(fates, table, run_ts).withColumnRenamed("_rows", ENDED_ROWS)
     if mode == FULL:
-        ends = ends.unionByName(scd2.unmatchable(opened, table, run_ts))
-    identity = [*table.keys, HASHDIFF, RUN_ID]
-    ended = layers.write_ended(
-        name,
-        ends.groupBy(*identity, *[c for c in ends.columns if c not in identity]).agg(
-            F.count(F.lit(1)).alias(ENDED_ROWS)
-        ),
-        run_id,
-        commits,
-    )
+        # opened rows are one per key and of this run, so none repeats an identity
+        ends = ends.unionByName(scd2.unmatchable(opened, table, run_ts).withColumn(ENDED_ROWS, F.lit(1).cast("bigint")))
+    ended = layers.write_ended(name, ends, run_id, commits)
     if table.as_of and mode != FULL:
         seen_now = fresh.join(same, list(table.keys), "left_semi").select(*table.keys, table.moment_of().alias(AS_OF))
         layers.write_confirmed(name, seen_now, run_id, commits)

@@ -30,7 +30,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import IS_CURRENT, IS_DELETED, VALID_TO
+from layerloom.constants import HASHDIFF, IS_CURRENT, IS_DELETED, VALID_TO
+from layerloom.functions.hashing import packed, unpacked
 
 LOAD, STATE, PART, DAY = "_load", "_state", "_part", "_day"
 LIVE, PAST = "live", "past"
@@ -331,10 +332,11 @@ class Layers:
         if ended is None:
             return versions
         names = self._identity(ended)
+        versions, ended = (rows.withColumn(HASHDIFF, packed(HASHDIFF)) for rows in (versions, ended))  # both are shuffled
         ends = ended.select(*names, VALID_TO, IS_DELETED, F.lit(True).alias("_hit"))
         joined, hit = versions.join(ends, _same_row(versions, ends, names), "left"), ends["_hit"].isNotNull()
         values = {VALID_TO: ends[VALID_TO], IS_CURRENT: F.lit(False), IS_DELETED: ends[IS_DELETED]}
-        taken = {c: F.when(hit, v).otherwise(versions[c]) for c, v in values.items()}
+        taken = {c: F.when(hit, v).otherwise(versions[c]) for c, v in values.items()} | {HASHDIFF: unpacked(versions[HASHDIFF])}
         return joined.select(*[taken.get(c, versions[c]).alias(c) for c in versions.columns])
 
     def _ended_since_base(self, table: str, commits: Commits, parts: Sequence[int] | None = None) -> DataFrame | None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from conftest import rows
 from pyspark.sql import functions as F
 
-from layerloom.constants import INCREMENTAL, RUN_ID
+from layerloom.constants import FULL, HASHDIFF, INCREMENTAL, RUN_ID
+from layerloom.functions.hashing import packed, unpacked
 from layerloom.operators import scd2
 from layerloom.operators.scd2 import History
 from layerloom.plans.history_load import load_history
@@ -58,3 +59,23 @@ def test_hash_travels_only_where_it_breaks_ties(spark):
     floats = batch.withColumn("v", F.col("n").cast("double"))
     assert [scd2._order_decides(b, t) for b, t in ((batch, ordered), (batch, partly), (floats, ordered))] == [True, False, False]
     assert rows(scd2.incoming(batch, ordered)) == rows(scd2.incoming(scd2.with_hash(batch, ordered), ordered))
+
+
+def test_hashes_are_packed_and_come_back(spark):
+    texts = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "x" * 32, "", "16 bytes of text", "é" * 8, "no_hash", None]
+    df = spark.createDataFrame([(t,) for t in texts], "h string").withColumn("p", packed("h"))
+    found = df.select("h", F.length("p").alias("n"), unpacked(F.col("p")).alias("back")).collect()
+    assert [r["back"] for r in found] == texts
+    assert [r["n"] == 16 for r in found[:-1]] == [True] + [False] * 6
+    assert df.where("p is not null").select("p").distinct().count() == 7
+
+
+def test_ends_of_a_full_load_are_counted_in_the_join(spark):
+    table = History(keys=("id",), columns=("id", "v"))
+    twice = scd2.open_versions(spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c"), (2, "a")], "id int, v string"), table, T[0], "run-1")
+    source = scd2.incoming(spark.createDataFrame([(1, "b"), (2, "a")], "id int, v string"), table)
+    found = scd2.fates(twice, source, table, FULL)
+    assert HASHDIFF in found.columns
+    assert rows(found.select("id", "_action", "_same", "_rows")) == sorted(
+        [(1, "close", False, 2), (1, "keep", True, 1), (None, "delete", False, 1), (2, "keep", True, 1)], key=repr
+    )
