@@ -85,8 +85,12 @@ def load_history(
         fates = layers.work(name, "fates", scd2.fates(live, source, table, mode, whole), run_id)
     fresh = source.filter(~F.col(scd2.STALE)).drop(scd2.STALE) if table.as_of else source
     same = fates.filter("_same").select(*table.keys).distinct()
-    missing = fresh.withColumn(HASHDIFF, packed(HASHDIFF)).join(same, list(table.keys), "left_anti")
-    missing = missing.withColumn(HASHDIFF, unpacked(F.col(HASHDIFF)))
+    if HASHDIFF not in batch.columns and set(table.hash_columns or ()) <= set(table.columns):
+        # the hash of a whole row is taken again rather than shuffled with it
+        missing = scd2.with_hash(fresh.drop(HASHDIFF).join(same, list(table.keys), "left_anti"), table)
+    else:
+        missing = fresh.withColumn(HASHDIFF, packed(HASHDIFF)).join(same, list(table.keys), "left_anti")
+        missing = missing.withColumn(HASHDIFF, unpacked(F.col(HASHDIFF)))
     opened = layers.write_opened(name, scd2.opened(missing, table, run_ts, run_id), run_id, commits)
     ends = scd2.ended(fates, table, run_ts).withColumnRenamed("_rows", ENDED_ROWS)
     if mode == FULL:
