@@ -7,9 +7,10 @@ words in another order don't. Candidates share a sketch; the link is decided by
 alignment of the two shingle sequences inside the band that the threshold allows.
 
 A bucket's members aren't compared pairwise: each text is compared with the lead it
-shares most sketches with, linked texts become one component, and only members of one bucket
-that are still in different components are compared with each other, unless the
-number of shingles they share with any text at all rules a link out.
+shares most sketches with, linked texts become one component, and members of one bucket
+that are still in different components are compared with each other if they share one of
+their rarest shingles: sorted by rarity, two texts at the threshold can't miss each other
+in so many shingles at the front as the threshold leaves open.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import connected_components, spread_of, stored, text_key
 from llm.passages import words_of
-from llm.suffixes import PACKED, SPOT, SPOTS, _heads, _map, _mixed, _reduce
+from llm.suffixes import HELD, PACKED, SPOT, SPOTS, _heads, _map, _mixed, _reduce
 
 SHINGLE, THRESHOLD = 5, 0.8
 # The threshold as a fraction: sizes are compared in whole numbers, so that pairs at exactly the threshold are links.
@@ -35,6 +36,8 @@ PART, WHOLE = 4, 5
 HASHES, PARTS, LEAST = 10, 4, 6
 CHUNK = 64  # partners that meet a lead's text in one group
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+MARK = np.dtype([("h", "<u8"), ("id", "<i8"), ("n", "<u4")])
+RARE = np.dtype([("h", "<u8"), ("texts", "<u4")])
 SEEDS = _mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
@@ -112,17 +115,75 @@ def _places(_, node: int, th: int, text: str):
     return values, values, _heads(node, th, numbers, values)
 
 
-def _label_places(_, node: int, th: int, text: str):
-    marks = labels(text)
-    return (marks, marks, _heads(node, th, np.arange(len(marks)), marks, len(marks))) if len(marks) else None
+def _deal(buckets: int):
+    """Shingles of (node, text), packed by the bucket of their hash."""
 
+    def packed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        marks = np.concatenate(parts)
+        bucket = (marks["h"] % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        found, begin = np.unique(bucket[order], return_index=True)
+        blobs = [x.tobytes() for x in np.split(marks[order], begin[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(blobs, pa.binary())], names=["bucket", "marks"])
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, shingles in all, shingles that others have) of the places found."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, held = [], 0
+            for node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                values = labels(text)
+                marks = np.empty(len(values), MARK)
+                marks["h"], marks["id"], marks["n"] = values, node, len(values)
+                parts.append(marks)
+                held += len(marks)
+                if held >= HELD:
+                    yield packed(parts)
+                    parts, held = [], 0
+            if held:
+                yield packed(parts)
+
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingles in all, those that other texts have too, with their number of texts) by bucket."""
+    held = [np.frombuffer(x, MARK) for batch in batches for x in batch.column("marks").to_pylist()]
+    if not held:
+        return
+    marks = np.concatenate(held)
+    _, place, texts = np.unique(marks["h"], return_inverse=True, return_counts=True)
+    several = texts[place] > 1
+    marks, texts = marks[several], texts[place][several]
+    if not len(marks):
+        return
+    order = np.argsort(marks["id"], kind="stable")
+    marks, texts = marks[order], texts[order]
+    nodes, begin = np.unique(marks["id"], return_index=True)
+    found = np.empty(len(marks), RARE)
+    found["h"], found["texts"] = marks["h"], texts
+    blobs = [x.tobytes() for x in np.split(found, begin[1:])]
+    columns = [pa.array(nodes), pa.array(marks["n"][begin].astype(np.int32)), pa.array(blobs, pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "found"])
+
+
+def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (h, node, n, s, at, short) of the rarest shingles that a link can't all do without; s shingles are shared at all.
+
+    Two texts of n <= m shingles that link share at least a = PART * (n + m) / (PART + WHOLE) of them, so one of the first
+    n - a + 1 of the one is one of the first m - a + 1 of the other. at is the place in that order, in which shingles that
+    no other text has come first. short: within reach as the shorter text, too.
+    """
     for batch in batches:
-        spots = [np.frombuffer(x, SPOT) for x in batch.column("spots").to_pylist()]
-        n, s = [int(x["n"][0]) for x in spots], [len(x) for x in spots]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int32()), pa.array(s, pa.int32())], names=["node", "n", "s"])
+        parts = []
+        for node, n, found in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "found")), strict=True):
+            spots = np.concatenate([np.frombuffer(x, RARE) for x in found])
+            s = len(spots)
+            at = np.arange(n - s, n - -(-PART * n // WHOLE) + 1)
+            h = spots["h"][np.lexsort((spots["h"], spots["texts"]))][: len(at)]
+            short = at <= n - -(-2 * PART * n // (PART + WHOLE))
+            parts.append((h.view(np.int64), np.full(len(at), node), *(np.full(len(at), k, np.int32) for k in (n, s)), at.astype(np.int32), short))
+        names = ["h", "node", "n", "s", "at", "short"]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=names)
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,29 +242,27 @@ def components(docs: DataFrame) -> DataFrame:
     links = stored(verified(first, texts), "links")
     found = connected_components(links, "near-text")
 
-    # Members of buckets with several components, and how many of their shingles any other such text has.
+    # Members of buckets with several components, and their rarest shingles.
     placed = members.join(found, "node", "left").select("sketch", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("sketch").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sketch")
     placed = stored(placed.join(mixed, "sketch", "left_semi"), "open-buckets")
-    meant = texts.join(placed.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("id"), F.lit(0).alias("th"), "text")
-    moved = meant.mapInArrow(_map(buckets, False, _label_places), PACKED).repartition(buckets, "bucket").mapInArrow(_reduce(False), SPOTS)
-    counts = moved.mapInArrow(_counts, "node long, n int, s int").groupBy("node").agg(F.max("n").alias("n"), F.sum("s").alias("s"))
-    placed = stored(placed.join(counts.where(WHOLE * F.col("s") >= PART * F.col("n")), "node"), "open-members")
-
-    # A link aligns at most the fewer shared shingles of the two. Component pairs that this rules out for their best
-    # members never meet; nor do members that it rules out.
-    def possible(s: str, s2: str, n: str, n2: str) -> Column:
-        most = F.least(s, s2)
-        return WHOLE * most >= PART * (F.col(n) + F.col(n2) - most)
-
-    kinds = placed.groupBy("sketch", "component").agg(F.max("s").alias("s"), F.min("n").alias("n"))
-    others = kinds.select("sketch", F.col("component").alias("other"), F.col("s").alias("s2"), F.col("n").alias("n2"))
-    meeting = kinds.join(others, "sketch").where(F.col("component") < F.col("other")).where(possible("s", "s2", "n", "n2"))
-    meeting = meeting.select("sketch", "component", "other")
-    left = meeting.join(placed, ["sketch", "component"]).select("sketch", "other", F.col("node").alias("x"), "n", "s")
-    right = placed.select("sketch", F.col("component").alias("other"), F.col("node").alias("y"), F.col("n").alias("n2"), F.col("s").alias("s2"))
-    crossing = left.join(right, ["sketch", "other"]).where(possible("s", "s2", "n", "n2"))
-    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    open_nodes = placed.groupBy("node").agg(F.first("component").alias("component"), F.collect_set("sketch").alias("sketches"))
+    meant = texts.join(placed.select("node").distinct(), "node", "left_semi").select("node", "text")
+    moved = meant.mapInArrow(_deal(buckets), "bucket int, marks binary").repartition(buckets, "bucket")
+    rare = moved.mapInArrow(_shared, "node long, n int, found binary").groupBy("node").agg(F.first("n").alias("n"), F.collect_list("found").alias("found"))
+    rare = rare.mapInArrow(_rarest, "h long, node long, n int, s int, at int, short boolean")
+    rare = stored(rare.join(open_nodes.select("node", "component"), "node"), "rare-shingles")
+
+    shorter = rare.where("short").select("h", *[F.col(c).alias(f"{c}1") for c in ("node", "component", "n", "s", "at")])
+    longer = rare.select("h", *[F.col(c).alias(f"{c}2") for c in ("node", "component", "n", "s", "at")])
+    least, both = F.lit(PART) * (F.col("n1") + F.col("n2")), PART + WHOLE  # of their shingles, a link shares least / both
+    reach = [both * (F.col(f"n{k}") - F.col(f"at{k}")) >= least for k in (1, 2)]
+    fit = (F.col("n1") <= F.col("n2")) & reach[0] & reach[1] & (both * F.least("s1", "s2") >= least)
+    meeting = shorter.join(longer, "h").where((F.col("component1") != F.col("component2")) & fit)
+    meeting = meeting.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+    for end in ("a", "b"):
+        meeting = meeting.join(open_nodes.select(F.col("node").alias(end), F.col("sketches").alias(f"{end}_sketches")), end)
+    crossing = meeting.where(F.arrays_overlap("a_sketches", "b_sketches")).select("a", "b")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(verified(crossing.join(tried, ["a", "b"], "left_anti"), texts), "links")
     return connected_components(links.unionByName(more), "near-text")

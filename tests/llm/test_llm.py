@@ -247,6 +247,33 @@ def test_near_duplicates_at_the_threshold(spark):
     assert found == {i: i // 10 * 10 for i, _ in rows}
 
 
+def test_near_duplicates_compare_few_pairs_of_one_template(spark, monkeypatch):
+    """Copies of a template, unlike each other, whose changes are each in two copies: every shingle is shared, few pairs share a rare one."""
+    rng, asked = random.Random(12), []
+    template = [f"t{rng.randrange(10**9)}" for _ in range(400)]
+    copies = [list(template) for _ in range(100)]
+    for _ in range(12):
+        dealt = rng.sample(range(100), 100)
+        for x, y in zip(dealt[::2], dealt[1::2], strict=True):
+            at = rng.choice([p for p in range(3, 397, 6) if copies[x][p] == copies[y][p] == template[p]])
+            copies[x][at] = copies[y][at] = f"c{rng.randrange(10**9)}"
+    copies += [[*c[:200], "other", *c[201:]] for c in copies[:30]]
+    texts = [" ".join(c) for c in copies]
+    plain = near_text.verified
+
+    def verified(pairs, known):
+        asked.append(pairs.count())
+        return plain(pairs, known)
+
+    monkeypatch.setattr(near_text, "verified", verified)
+    found = near_text.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == {k: k % 100 for k in range(130)}
+    marks = [near_text.labels(x) for x in texts]
+    linked = {(x, y) for x in range(130) for y in range(x + 1, 130) if near_text.similarity(marks[x], marks[y]) >= near_text.THRESHOLD}
+    assert linked == {(k, k + 100) for k in range(30)}
+    assert sum(asked) < 2000  # of 8385
+
+
 def test_language(spark, docs, folder):
     known = spark.read.parquet(f"{folder}/documents.parquet")
     model = language.fit(known.where(~language.held_out(F.col("doc_id"))))
