@@ -150,6 +150,29 @@ def test_chunk_encoder(spark, folder, name):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_encoded_once(name):
+    from tokenizers import Tokenizer
+
+    from llm import chunks
+
+    path = public_tokenizers.path(name)
+    encoder, tokenizer, given = chunks.file_encoder(path), Tokenizer.from_file(path), []
+    encoder.forget()
+    encode_words = encoder.words.encode_new
+    encoder.words.encode_new = lambda words: given.append(words) or encode_words(words)
+    try:
+        texts = ["Thonre anly sttible", "Thonre, anly. sttible; 'anly' anly's", "", " a  b\n\nthonre!? (anly) \t sttible_ 1anly2 Ā ĀĀ ª ﬁ İx Ⱥx Ǆa", "x\0y Ā\0"]
+        for text in texts + texts:
+            assert encoder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    finally:
+        encoder.words.encode_new = encode_words
+    words = [word for some in given for word in some]
+    assert len(given) > 1 and len(words) == len(set(words))
+    encoder.forget()
+    assert not encoder.words.known and not encoder.chunks.known
+
+
 def test_merge_replay(spark, rows, docs):
     import tiktoken
 
