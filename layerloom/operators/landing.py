@@ -68,12 +68,14 @@ def inventory(
     content: DataFrame | None = None,
     run_ts: datetime | str | Column = "1970-01-01 00:00:00",
     tables: Sequence[str] | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Every landed file with ``skip_reason``, NULL for a file that may be loaded.
 
     The sidecars are joined on the base name. ``content`` is what
     :func:`check_files` needs; without it files are not validated. An
-    unreadable extract timestamp falls back to ``run_ts``.
+    unreadable extract timestamp falls back to ``run_ts``; with ``dated``,
+    ``is_dated`` says which files have a readable one.
     """
     meta = metadata.select(
         "base_name", *[F.col(c).alias(f"m_{c}") for c in metadata.columns if c != "base_name"], F.lit(True).alias("m_hit")
@@ -121,6 +123,7 @@ def inventory(
             "status_error"
         ),
         skip.alias("skip_reason"),
+        *([F.col("m_extract_timestamp").try_cast("timestamp_ntz").isNotNull().alias("is_dated")] if dated else []),
     )
     return result if tables is None else result.filter(F.col("table_name").isin(*tables))
 
@@ -165,11 +168,26 @@ def duplicate_files(files: DataFrame) -> DataFrame:
     )
 
 
+def part_of_extract(mode: Column) -> Column:
+    """Files that share their table, mode and time with others are parts of one extract: only full ones with a time of their own."""
+    return mode.isin(FULL, FULL_RESET) & F.coalesce(F.col("is_dated"), F.lit(False))
+
+
+def mark_incomplete(listing: DataFrame) -> DataFrame:
+    """``is_incomplete``: another part of the file's extract is there and may not be loaded."""
+    extract = ["physical_name", "load_mode", "extraction_date"]
+    held = listing.filter(part_of_extract(F.col("load_mode")) & F.col("skip_reason").isNotNull())
+    held = held.groupBy(*extract).agg(F.lit(True).alias("_held"))
+    marked = listing.join(held, extract, "left")
+    return marked.select(*listing.columns, (F.coalesce("_held", F.lit(False)) & F.coalesce("is_dated", F.lit(False))).alias("is_incomplete"))
+
+
 def resolve_file_sets(
     files: DataFrame,
     group_by: str = "table_name",
     separate_tables: Sequence[str] = SEPARATE_FILE_TABLES,
     since_last_full: bool = False,
+    in_parts: bool = False,
 ) -> DataFrame:
     """``resolution`` of every file: kept, superseded or consolidated.
 
@@ -178,6 +196,10 @@ def resolve_file_sets(
     none older than the last full extract). Files of ``separate_tables`` are
     all kept on their own.
 
+    With ``in_parts`` an extract may lie in several files: full ones of one
+    time and mode (:func:`part_of_extract`, which needs ``is_dated``) are kept
+    or superseded together.
+
     The per-table facts are aggregated before the shuffle and joined back, so
     a table that owns most of the files is not gathered in one task.
     """
@@ -185,20 +207,26 @@ def resolve_file_sets(
     facts = files.groupBy(group_by).agg(
         F.count(F.lit(1)).alias("_files"),
         F.max(F.struct("extraction_date", "file_name", "load_mode")).alias("_newest"),
-        F.max(F.when(full, _file_order())).alias("_last_full"),
+        F.max(F.when(full, F.struct("extraction_date", "file_name", "load_mode"))).alias("_last_full"),
     )
     joined = skew_safe_join(files, facts, [group_by], "left")
+
+    def belongs_to(fact: str) -> Column:
+        """The file of that fact, or a part of the same extract."""
+        same = F.col("file_name") == F.col(f"{fact}.file_name")
+        if in_parts:
+            same |= part_of_extract(F.col("load_mode")) & (F.col("load_mode") == F.col(f"{fact}.load_mode"))
+        return (F.col("extraction_date") == F.col(f"{fact}.extraction_date")) & same
+
     newest_mode = F.col("_newest.load_mode")
-    is_newest = (F.col("extraction_date") == F.col("_newest.extraction_date")) & (
-        F.col("file_name") == F.col("_newest.file_name")
-    )
     resolution = (
         F.when(F.col("_files") == 1, F.lit("kept"))
         .when(F.col(group_by).isin(*separate_tables), F.lit("kept"))
-        .when(newest_mode.isin(FULL, FULL_RESET), F.when(is_newest, F.lit("kept")).otherwise(F.lit("superseded")))
+        .when(newest_mode.isin(FULL, FULL_RESET), F.when(belongs_to("_newest"), F.lit("kept")).otherwise(F.lit("superseded")))
     )
     if since_last_full:
-        resolution = resolution.when(_file_order() < F.col("_last_full"), F.lit("superseded"))
+        older = _file_order() < F.struct("_last_full.extraction_date", "_last_full.file_name")
+        resolution = resolution.when(older & ~F.coalesce(belongs_to("_last_full"), F.lit(False)), F.lit("superseded"))
     resolution = resolution.otherwise(F.lit("consolidated"))
     effective = F.when(resolution == "consolidated", F.lit(INCREMENTAL)).otherwise(F.col("load_mode"))
     return joined.select(*files.columns, resolution.alias("resolution"), effective.alias("effective_mode"))

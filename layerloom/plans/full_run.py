@@ -47,6 +47,7 @@ class FileSet:
     paths: tuple[str, ...]
     extracted: tuple[datetime, ...] = ()
     schemas: int = 1
+    incomplete: bool = False
 
 
 def history_of(spec: TableSpec) -> History:
@@ -60,18 +61,21 @@ def history_of(spec: TableSpec) -> History:
 
 
 def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
-    """The manifest: consolidated files of a table together, kept files one by one."""
+    """The manifest: consolidated files of a table together, so the parts of one extract; other kept files one by one."""
     joint = F.col("resolution") == "consolidated"
+    part = landing.part_of_extract(F.col("effective_mode"))
     rows = (
         resolved.filter(F.col("resolution") != "superseded")
         .groupBy(
             "physical_name",
-            F.when(joint, F.lit(None)).otherwise(F.col("path")).alias("single"),
+            F.when(joint | part, F.lit(None)).otherwise(F.col("path")).alias("single"),
+            F.when(part, F.struct("extraction_date", "effective_mode")).alias("extract"),
         )
         .agg(
             F.max(F.struct("extraction_date", "file_name", "table_name", "config_name", "effective_mode")).alias("m"),
             F.array_sort(F.collect_list(F.struct("extraction_date", "file_name", "path"))).alias("files"),
             F.count_distinct("schema_print").alias("schemas"),
+            F.bool_or(part & F.col("is_incomplete")).alias("incomplete"),
         )
         .orderBy("physical_name", "m.extraction_date", "m.file_name")
     )
@@ -84,7 +88,7 @@ def file_sets(resolved: DataFrame, run_id: str) -> list[FileSet]:
         seen[name] += 1
         paths, extracted = (tuple(f[c] for f in r["files"]) for c in ("path", "extraction_date"))
         names = newest["table_name"], newest["config_name"], name
-        sets.append(FileSet(load_id, *names, newest["effective_mode"], paths, extracted, r["schemas"]))
+        sets.append(FileSet(load_id, *names, newest["effective_mode"], paths, extracted, r["schemas"], r["incomplete"]))
     return sets
 
 
@@ -116,6 +120,8 @@ def load_table(
         stats.append((run_id, layer, name, source, loaded, failed, seconds, files.load_mode, COMPLETED, None))
 
     started = time.monotonic()
+    if files.incomplete:
+        raise ValueError(f"other parts of the extract may not be loaded: {', '.join(files.paths)}")
     if files.schemas > 1:
         raise ValueError(f"the files of one set have different schemas: {', '.join(files.paths)}")
     extract = read_file_set(spark, files.paths, checked=True)
@@ -193,10 +199,11 @@ def run(
     one leaves idle. Loads of one table keep their order.
     """
     # the inventory may have read every landed byte, so it is stored once and read back
-    layers.append("monitoring", "inventory", scan_landing(spark, landing_root, run_ts, tables=only), run_id)
-    listing = layers.load_rows("monitoring", "inventory", run_id)
-    ready = enrich(landing.discovered(listing), tables)
-    resolved = landing.resolve_file_sets(ready, group_by="physical_name")
+    scanned = scan_landing(spark, landing_root, run_ts, tables=only)
+    layers.append("monitoring", "inventory", scanned, run_id)
+    listing = layers.load_rows("monitoring", "inventory", run_id, scanned.schema)
+    ready = enrich(landing.discovered(landing.mark_incomplete(listing)), tables)
+    resolved = landing.resolve_file_sets(ready, group_by="physical_name", in_parts=True)
     log = monitoring.file_log_rows(ready, run_id, run_ts)
     layers.append("monitoring", "file_log", log, run_id)
 

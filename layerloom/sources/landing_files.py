@@ -204,11 +204,11 @@ def scan_landing(
 
     Sidecars and the table filter decide first: only files they let through
     are opened, and only those whose metadata has a checksum are read whole.
-    Validated files also carry the print of their schema.
+    Validated files also carry the print of their schema, all say whether they are dated.
     """
     files, metadata = list_files(spark, f"{root}/parquet"), read_metadata(spark, f"{root}/metadata")
     status = read_status(spark, f"{root}/status")
-    gated = landing.inventory(files, metadata, status, None, run_ts, tables)
+    gated = landing.inventory(files, metadata, status, None, run_ts, tables, dated=True)
     if not validate:
         return gated.withColumn("schema_print", F.lit(None).cast("string"))
     wanted = metadata.select("base_name", (F.col("checksum_md5").isNotNull() & F.lit(checksums)).alias("digest"))

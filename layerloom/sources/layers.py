@@ -29,6 +29,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from layerloom.constants import HASHDIFF, IS_CURRENT, IS_DELETED, VALID_TO
 from layerloom.functions.hashing import packed, unpacked
@@ -181,9 +182,10 @@ class Layers:
         self._write_load(path, rows, run_id)
         return path
 
-    def load_rows(self, layer: str, table: str, run_id: str) -> DataFrame:
-        """The rows one run added (a pruned partition)."""
-        return self.read(layer, table).filter(F.col(LOAD) == load_name(run_id)).drop(LOAD)
+    def load_rows(self, layer: str, table: str, run_id: str, schema: StructType | None = None) -> DataFrame:
+        """The rows one run added (a pruned partition); with a ``schema`` where runs before may lack columns."""
+        stored = self.read(layer, table) if schema is None else self.spark.read.schema(schema).parquet(self.path(layer, table))
+        return stored.filter(F.col(LOAD) == load_name(run_id)).drop(LOAD)
 
     # -- dated logs -------------------------------------------------------------
 

@@ -176,6 +176,28 @@ def test_resolution_by_newest_mode(spark):
     assert since["h"][0] == "superseded" and since["f"][0] == "consolidated"
 
 
+def test_resolution_of_extracts_in_parts(spark):
+    from pyspark.sql import functions as F
+
+    landed = files(
+        spark,
+        ("t", "a", "2024-01-01", "FULL"),
+        ("t", "b", "2024-01-01", "FULL"),
+        ("t", "c", "2024-01-02", "INCREMENTAL"),
+        ("u", "d", "2024-01-01", "FULL"),
+        ("u", "e", "2024-01-02", "FULL"),
+        ("u", "f", "2024-01-02", "FULL_RESET"),
+        ("u", "g", "2024-01-02", "FULL"),
+    )
+    got = resolution(landing.resolve_file_sets(landed.withColumn("is_dated", F.lit(True)), since_last_full=True, in_parts=True))
+    assert {k: v[0] for k, v in got.items()} == {
+        **dict.fromkeys("abc", "consolidated"), "d": "superseded", "e": "kept", "f": "superseded", "g": "kept"
+    }
+    # files whose time is not their own stand for themselves
+    undated = resolution(landing.resolve_file_sets(landed.withColumn("is_dated", F.lit(False)), in_parts=True))
+    assert undated["e"][0] == "superseded" and undated["g"][0] == "kept"
+
+
 def test_consolidate_is_strict(spark):
     a, b = spark.createDataFrame([(1,)], "id int"), spark.createDataFrame([("x",)], "id string")
     assert rows(landing.consolidate([a, a])) == [(1,), (1,)]

@@ -154,6 +154,56 @@ def test_files_of_separate_configurations(spark, tmp_path):
     ]
 
 
+def test_full_extract_in_several_files(spark, tmp_path, catalogs):
+    """All files of a full extract are one load: none supersedes or deletes what the others hold."""
+    layers = Layers(spark, str(tmp_path / "warehouse"))
+    for day, mode in enumerate((FULL, FULL, FULL_RESET)):
+        folder, stamp = Folder(tmp_path / f"day{day}"), f"2024-01-0{day + 1}T00:00:00"
+        land(folder, "client_0", "client", clients([9], ["old"]), FULL, "2023-12-31T00:00:00")
+        for part in range(3):
+            land(folder, f"client_1_{part}", "client", clients([part, 3 + part], [f"{day}{part}", "same"]), mode, stamp)
+        stats = by_table(run(spark, str(folder.root), layers, *catalogs, f"run-{day}", T[day]))
+        assert stats["raw", "client"]["rows_loaded"] == 6
+        assert rows(layers.live("client").select("cod_cli", "nom")) == [(k, f"{day}{k}" if k < 3 else "same") for k in range(6)]
+        assert not layers.history("client").filter("_etl_is_deleted").count()
+    # a part that may not be loaded holds the others back: what it has must not count as gone
+    folder = Folder(tmp_path / "day4")
+    for part in range(2):
+        land(folder, f"client_1_{part}", "client", clients([part], ["new"]), FULL, "2024-01-04T00:00:00")
+    (folder.root / "parquet" / "client_1_0.parquet").write_bytes(b"PAR1 this is none PAR1")
+    stats = by_table(run(spark, str(folder.root), layers, *catalogs, "run-4", T[3]))
+    assert "other parts" in stats["run", "client"]["error_message"]
+    assert layers.live("client").count() == 6
+
+
+def test_parts_of_a_separate_configuration(spark, tmp_path):
+    """Two full extracts of a multi-configuration table, each in two files: two loads."""
+    tables = spark.createDataFrame([("lisval", None, "id", True, None, True)], catalog.TABLE_CATALOG_SCHEMA)
+    columns = spark.createDataFrame([("lisval", "id", "TEXT", "character", True, None, None, 0, 0)], catalog.COLUMN_CATALOG_SCHEMA)
+    layers, folder = Layers(spark, str(tmp_path / "warehouse")), Folder(tmp_path / "landing")
+    for day in (1, 2):
+        for part in "ab":
+            land(folder, f"lisval_{day}_{part}", "lisval", {"id": [part, f"{part}{day}"]}, FULL, f"2024-01-0{day}T00:00:00")
+    run(spark, str(folder.root), layers, tables, columns, "run-1", T[2])
+    assert rows(layers.live("lisval").select("id")) == [("a",), ("a2",), ("b",), ("b2",)]
+
+
+def test_full_run_over_many_landed_files(spark, tmp_path, folder):
+    """The query lands as many files as its table has partitions; its result is that of one file."""
+    from layerloom.workload import QUERIES
+
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders.write.parquet(str(tmp_path / "one" / "orders.parquet"))
+    orders.repartition(5, "o_orderkey").write.option("compression", "none").parquet(str(tmp_path / "many" / "orders.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert spark.read.parquet(str(tmp_path / "many" / "orders.parquet")).rdd.getNumPartitions() > 1
+        many = rows(QUERIES["full_run_incremental"](spark, str(tmp_path / "many")))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert many == rows(QUERIES["full_run_incremental"](spark, str(tmp_path / "one")))
+
+
 TABLE = History(keys=("id",), columns=("id", "v"))
 
 
