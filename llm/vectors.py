@@ -1,21 +1,24 @@
 """Near-duplicate embeddings: inverted lists with product-quantised residuals, exact rerank.
 
 No link is lost: a vector meets every list that the list's radius and the plane between centres
-don't rule out, and codes only exclude what must be too far. Lists near each other form a zone, the
-unit of exchange; of two zones one asks the other, and a link counts for both its ends.
+don't rule out, and codes only exclude what must be too far. Lists near each other form a zone; the
+members of a zone are written once, in blocks, to the shared folder, and tasks read the blocks they
+compare from there: no vector is shuffled to those it meets. Of two blocks one asks the other, and a
+link counts for both its ends.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.session import work_dir
 from llm.common import connected_components, stored
 
 
@@ -23,7 +26,7 @@ from llm.common import connected_components, stored
 class IndexSettings:
     """sample: vectors the codebooks are fitted on, at most; list_size: vectors per list aimed at, up to
     max_lists lists; subspaces, codes: the residual code; block: members in a zone, as a mean, and in one
-    task, at most; asking: rows that ask in one task, at most."""
+    block, at most; asking: rows that ask together; slot: members of a zone that one task writes, as a mean."""
 
     sample: int = 16_000
     list_size: int = 128
@@ -32,6 +35,7 @@ class IndexSettings:
     codes: int = 256
     block: int = 4_096
     asking: int = 16_384
+    slot: int = 65_536
 
 
 def _kmeans(x: np.ndarray, k: int, steps: int = 8) -> np.ndarray:
@@ -59,7 +63,7 @@ class Codebooks:
         self.norms = (self.centers**2).sum(1)
         own = _nearest(sample, self.centers)
         self.zone_of = _nearest(self.centers, _kmeans(self.centers, min(zones, len(self.centers)))).astype(np.int32)
-        self.zones = int(self.zone_of.max()) + 1
+        self.share = np.bincount(self.zone_of[own], minlength=int(self.zone_of.max()) + 1) / len(sample)
         rest = sample - self.centers[own]
         self.bounds = np.linspace(0, sample.shape[1], min(settings.subspaces, sample.shape[1]) + 1).astype(int)
         self.words = [_kmeans(rest[:, a:b], settings.codes) for a, b in zip(self.bounds[:-1], self.bounds[1:], strict=True)]
@@ -78,11 +82,10 @@ class Codebooks:
         return np.concatenate([w[codes[:, m]] for m, w in enumerate(self.words)], 1)
 
     def possible(self, x: np.ndarray, own: np.ndarray, lists: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
-        """Per query and list: can a member lie within reach? It is within the list's radius of its centre, and on that side of the plane to the query's own centre."""
+        """Per query and list: can a member lie within reach? It is within the radius given for the list of its centre, and on that side of the plane to the query's own centre."""
         c = self.centers[lists]
         far = np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + self.norms[lists], 0)
-        near = np.sqrt(far) <= reach + radius[lists] + 1e-6
-        near &= radius[lists] >= 0  # lists without members
+        near = np.sqrt(far) <= reach + radius + 1e-6
         owns, at = np.unique(own, return_inverse=True)
         o = self.centers[owns]
         apart = np.sqrt(np.maximum(self.norms[owns][:, None] - 2 * o @ c.T + self.norms[lists], 0))
@@ -101,8 +104,8 @@ class Codebooks:
         return (x * x).sum(1) + offsets[:, None] - 2 * total
 
 
-def asks(mine: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Every zone asks itself; of two zones exactly one asks the other, each about half of them."""
+def asks(mine: np.ndarray, other: np.ndarray | int) -> np.ndarray:
+    """Every block asks itself; of two blocks exactly one asks the other, each about half of them."""
     return (mine == other) | ((other > mine) == ((mine + other) % 2 == 1))
 
 
@@ -112,119 +115,231 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, finite) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-MEMBER = "zone int, list int, rep long, copies long, vector binary, codes binary, off double, far double"
+MEMBER = "slot int, list int, rep long, copies long, vector binary, codes binary, off double, far double"
+BLOCK = "path string, batch int, lists array<int>, radius array<double>"
 FOUND = "kind int, rep long, other long, n long"
+# Tasks that compare blocks, at most; parts that the blocks one asks are dealt into, at most.
+TASKS, PARTS = 20_000, 64
 
 
-def _unit(blobs: list[bytes]) -> np.ndarray:
-    """Rows of length 1 in double precision; the shorter ones end in zeros. Scaled first, so squares neither vanish nor overflow."""
-    rows = [np.frombuffer(b, np.float64) for b in blobs]
-    x = np.zeros((len(rows), max(map(len, rows), default=0)))
-    for row, values in zip(x, rows, strict=True):
-        row[: len(values)] = values
+def _padded(column: pa.ListArray, dim: int) -> np.ndarray:
+    """The vectors as rows, in their own precision; the shorter ones end in zeros."""
+    sizes, values = column.value_lengths().to_numpy(), column.flatten().to_numpy()
+    if (sizes == dim).all():
+        return values.reshape(-1, dim)
+    x = np.zeros((len(sizes), dim), values.dtype)
+    x[np.arange(dim) < sizes[:, None]] = values
+    return x
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in double precision. Scaled first, so squares neither vanish nor overflow."""
+    x = rows.astype(np.float64)
     if not x.size:
         return x
     x /= np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _rows(column: pa.Array, kind: str) -> np.ndarray:
+    """A binary column of equally long arrays as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+class BlockWriter:
+    """Rows in the order of slots and lists, as blocks: the record batches of one Arrow file, which counts once its rows are returned."""
+
+    def __init__(self, folder: str, most: int):
+        self.folder, self.most, self.held, self.n = folder, most, [], 0
+        self.sink = self.file = self.path = None
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[dict]:
+        """Takes rows; a block is written where it is full or the slot changes."""
+        slots = batch.column("slot").to_numpy()
+        start = 0
+        for end in [*(np.flatnonzero(np.diff(slots)) + 1), len(slots)]:
+            if self.held and self.held[-1].column("slot")[0] != batch.column("slot")[start]:
+                yield from self._flush(True)
+            self.held.append(batch.slice(start, end - start))
+            yield from self._flush(False)
+            start = end
+
+    def _flush(self, last: bool) -> Iterator[dict]:
+        rows = pa.Table.from_batches(self.held).combine_chunks() if self.held else None
+        while rows and (len(rows) >= self.most or last):
+            block, rows = rows.slice(0, self.most).combine_chunks().to_batches()[0], rows.slice(self.most)
+            if self.file is None:
+                from pyarrow import fs
+
+                store, base = fs.FileSystem.from_uri(self.folder)
+                store.create_dir(base)
+                self.path = f"{base}/blocks-{uuid.uuid4().hex}.arrow"
+                self.sink = store.open_output_stream(self.path)
+                self.file = pa.ipc.new_file(self.sink, block.schema)
+            self.file.write_batch(block)
+            lists, of = np.unique(block.column("list").to_numpy(), return_inverse=True)
+            radius = np.zeros(len(lists))
+            np.maximum.at(radius, of, block.column("far").to_numpy())
+            yield {"path": self.path, "batch": self.n, "lists": lists.tolist(), "radius": radius.tolist()}
+            self.n += 1
+        self.held = rows.to_batches() if rows else []
+
+    def close(self) -> Iterator[dict]:
+        yield from self._flush(True)
+        if self.file:
+            self.file.close()
+            self.sink.close()
+
+
+class BlockReader:
+    """Blocks by place; the file read last stays open."""
+
+    def __init__(self, folder: str, kind: str):
+        from pyarrow import fs
+
+        self.store, _ = fs.FileSystem.from_uri(folder)
+        self.kind, self.path, self.file = kind, None, None
+
+    def read(self, path: str, batch: int) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+        """Unit vectors, codes and the other columns."""
+        if path != self.path:
+            self.path, self.file = path, pa.ipc.open_file(self.store.open_input_file(path))
+        rows = self.file.get_batch(batch)
+        return _unit(_rows(rows.column("vector"), self.kind)), _rows(rows.column("codes"), "u1"), rows
+
+
+def write_blocks(distinct: DataFrame, books, slots: np.ndarray, dim: int, kind: str, folder: str, settings: IndexSettings) -> list:
+    """Index the vectors and write them to the folder in blocks; where each block is, its lists and their radius in it.
+
+    A zone's members are dealt to `slots[zone]` tasks, so a zone that holds most of the vectors is not one task's.
+    """
+    first = np.cumsum(slots) - slots
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _padded(batch.column("vector"), dim).astype(kind)
+            own, far, codes, off = books.value.encode(_unit(x))
+            zone = books.value.zone_of[own]
+            slot = first[zone] + batch.column("deal").to_numpy() % slots[zone]
+            arrays = [pa.array(slot, pa.int32()), pa.array(own, pa.int32()), batch.column("rep"), batch.column("copies")]
+            arrays += [pa.array([row.tobytes() for row in matrix], pa.binary()) for matrix in (x, codes)]
+            arrays += [pa.array(off, pa.float64()), pa.array(far, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in MEMBER.split(", ")])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer = BlockWriter(folder, settings.block)
+        found = [block for batch in batches if batch.num_rows for block in writer.add(batch)]
+        found += writer.close()
+        kinds = (pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()))
+        names = [f.split()[0] for f in BLOCK.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array([b[n] for b in found], k) for n, k in zip(names, kinds, strict=True)], names=names)
+
+    dealt = distinct.select("rep", "copies", "vector", F.pmod(F.xxhash64("rep"), F.lit(1 << 30)).alias("deal"))
+    members = dealt.mapInArrow(index, MEMBER).repartition(int(slots.sum()), "slot").sortWithinPartitions("slot", "list")
+    return members.mapInArrow(write, BLOCK).collect()  # a row per block
+
+
 def links(distinct: DataFrame, threshold: float, settings: IndexSettings) -> tuple[DataFrame, DataFrame]:
     """(rep, n) link counts weighted with copies, and edges (a, b) that connect what is linked.
 
-    `distinct` has rep, copies and vector (array<double>), each vector once.
+    `distinct` has rep, copies and vector (array of float or double), each vector once.
     """
     spark = distinct.sparkSession
+    kind = "<f4" if distinct.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
     size = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
     n, dim = size[0], size[1]
     lists = int(min(settings.max_lists, max(1, n // settings.list_size)))
     taken = distinct.orderBy(F.xxhash64("rep"), "rep").limit(settings.sample).select("vector").toPandas()
-    sample = _unit([np.pad(np.asarray(v, np.float64), (0, dim - len(v))).tobytes() for v in taken["vector"]])
-    books = Codebooks(sample, lists, -(-n // settings.block), settings) if len(sample) else None
-    books = spark.sparkContext.broadcast(books)  # max_lists x dimension doubles at most
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("vector").to_pylist()
-            full = [np.pad(np.asarray(v, np.float64), (0, dim - len(v))).tobytes() for v in rows]
-            own, far, codes, off = books.value.encode(_unit(full)) if rows else (np.empty(0, int), [], [], [])
-            zones = books.value.zone_of[own] if rows else own
-            arrays = [pa.array(zones, pa.int32()), pa.array(own, pa.int32()), batch.column("rep"), batch.column("copies"), pa.array(full, pa.binary())]
-            arrays += [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off, pa.float64()), pa.array(far, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in MEMBER.split(", ")])
+    sample = _unit(np.array([np.pad(np.asarray(v, np.float64), (0, dim - len(v))) for v in taken["vector"]]))
+    if not len(sample):
+        empty = spark.createDataFrame([], FOUND)
+        return empty.select("rep", "n"), empty.select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    model = Codebooks(sample, lists, -(-n // settings.block), settings)
+    books = spark.sparkContext.broadcast(model)  # max_lists x dimension doubles at most
+    folder = work_dir(spark, "vector-blocks")
+    slots = np.ceil(np.maximum(model.share * n / settings.slot, 1)).astype(np.int64)
+    reach = np.sqrt(2 - 2 * threshold) + 1e-6
 
-    members = stored(distinct.repartition(F.xxhash64("rep")).mapInArrow(index, MEMBER), "vector-index")
+    written = write_blocks(distinct, books, slots, dim, kind, folder, settings)
+    blocks = [(b["path"], b["batch"], np.array(b["lists"]), np.array(b["radius"])) for b in written]
+    blocks = spark.sparkContext.broadcast(blocks)  # max_lists lists, more where they lie in several blocks
+    together = max(1, settings.asking // settings.block)  # blocks that ask in one go
+    groups = -(-len(written) // together)
+    part = max(4, -(-len(written) // PARTS))  # blocks that are asked in one go
+    parts = -(-len(written) // part)
 
-    reach = np.sqrt(2 - 2 * threshold) + 1e-6
-    radius = np.full(lists, -1.0)
-    for row in members.groupBy("list").agg(F.max("far").alias("far")).collect():  # max_lists rows at most
-        radius[row["list"]] = row["far"]
-    radius = spark.sparkContext.broadcast(radius)
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for s in range(0, whole.num_rows, 512):
-                batch, b = whole.slice(s, 512), books.value
-                x, own = _unit(batch.column("vector").to_pylist()), batch.column("list").to_numpy()
-                near = b.possible(x, own, np.arange(len(b.centers)), radius.value, reach)
-                meets = np.zeros((len(x), b.zones), bool)
-                i, j = np.nonzero(near)
-                meets[i, b.zone_of[j]] = True
-                at, zones = np.nonzero(meets & asks(b.zone_of[own][:, None], np.arange(b.zones)))
-                rows = batch.select(["zone", "list", "rep", "copies", "vector"]).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([pa.array(zones, pa.int32()), *rows.columns], names=["zone", "own", "list", "rep", "copies", "vector"])
-
-    queries = members.mapInArrow(probe, "zone int, own int, list int, rep long, copies long, vector binary")
-    # Large zones are cut into blocks of members and of queries; every pair of blocks is a group of its own.
-    asked = queries.groupBy("zone").agg(F.count("*").alias("queries"))
-    blocks = members.groupBy("zone").agg(F.count("*").alias("members")).join(asked, "zone")
-    count = lambda c, most: F.ceil(F.col(c) / most).cast("int")
-    blocks = blocks.select("zone", count("members", settings.block).alias("mbs"), count("queries", settings.asking).alias("qbs"))
-    deal = lambda c, k: F.pmod(F.xxhash64("rep", F.lit(k)), F.col(c)).cast("int")
-    copy = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = members.drop("far").join(blocks, "zone").withColumn("mb", deal("mbs", 1)).withColumn("qb", copy("qbs")).drop("mbs", "qbs")
-    right = queries.join(blocks, "zone").withColumn("qb", deal("qbs", 2)).withColumn("mb", copy("mbs")).drop("mbs", "qbs")
-
-    def compare(key, mine: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, int, int]] = []
-        if len(mine) and len(asking):
-            b, asking = books.value, asking.sort_values("list", kind="stable")
-            y, codes = _unit(list(mine["vector"])), np.stack([np.frombuffer(c, np.uint8) for c in mine["codes"]])
-            off, reps, copies = mine["off"].to_numpy(), mine["rep"].to_numpy(), mine["copies"].to_numpy()
-            lists, of = np.unique(mine["list"].to_numpy(), return_inverse=True)
-            fixed, most = b.offsets(lists[of], codes), (off + reach) ** 2 + 1e-6
-            for s in range(0, len(asking), 128):
-                part = asking.iloc[s : s + 128]
-                x, ids = _unit(list(part["vector"])), part["rep"].to_numpy()
-                open_lists = b.possible(x, part["list"].to_numpy(), lists, radius.value, reach).any(0)
-                at = np.flatnonzero(open_lists[of])
-                near = b.distances(x, lists, of[at], codes[at], fixed[at]) <= most[at][:, None]
-                at = at[near.any(1)]
-                j, i = np.nonzero(y[at] @ x.T >= threshold - 1e-9)
-                j = at[j]
-                other = ids[i] != reps[j]
-                i, j = i[other], j[other]
-                if not len(i):
-                    continue
-                cosine = np.concatenate([(x[i[k : k + 4096]] * y[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)])
-                i, j = i[cosine >= threshold], j[cosine >= threshold]
-                counts = np.bincount(i, copies[j], len(ids))
-                out += [(0, int(ids[k]), 0, int(counts[k])) for k in np.flatnonzero(counts)]
-                # The member counts the query as well, unless it asks for itself: within a zone both do.
-                back = part["own"].to_numpy()[i] != int(key[0])
-                extra = np.bincount(j[back], part["copies"].to_numpy()[i[back]], len(reps))
-                out += [(0, int(reps[k]), 0, int(extra[k])) for k in np.flatnonzero(extra)]
-                out += _forest(ids, reps, i, j)
-        return pd.DataFrame(out, columns=["kind", "rep", "other", "n"])
-
-    group = ["zone", "mb", "qb"]
-    found = stored(left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(compare, FOUND), "vector-links")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, group = BlockReader(folder, kind), -1
+        for batch in batches:
+            for unit in batch.column(0).to_pylist():
+                if unit // parts != group:
+                    group = unit // parts
+                    mine = range(group * together, min((group + 1) * together, len(blocks.value)))
+                    asking = _together([(k, *reader.read(*blocks.value[k][:2])) for k in mine])
+                asked = range(unit % parts * part, min((unit % parts + 1) * part, len(blocks.value)))
+                out = np.array(_meet(books.value, asking, asked, blocks.value, reader, threshold, reach), np.int64).reshape(-1, 4)
+                columns = [pa.array(out[:, 0], pa.int32()), *(pa.array(out[:, k]) for k in (1, 2, 3))]
+                yield pa.RecordBatch.from_arrays(columns, names=["kind", "rep", "other", "n"])
+
+    units = spark.range(0, groups * parts, 1, min(TASKS, groups * parts))
+    found = stored(units.mapInArrow(compare, FOUND), "vector-links")
     counts = found.where("kind = 0").groupBy("rep").agg(F.sum("n").alias("n"))
     return counts, found.where("kind = 1").select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
 
-def _forest(ids: np.ndarray, reps: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Edges that connect the same vectors as all links of a block do, no more than it has vectors."""
-    parent: dict[int, int] = {}
+def _together(blocks: list[tuple[int, np.ndarray, np.ndarray, pa.RecordBatch]]) -> tuple[np.ndarray, ...]:
+    """(block, list, rep, copies, unit vector) of the members of some blocks, in the order of their lists."""
+    block = np.concatenate([np.full(len(x), k) for k, x, _, _ in blocks])
+    own, reps, copies = (np.concatenate([rows.column(c).to_numpy() for *_, rows in blocks]) for c in ("list", "rep", "copies"))
+    order = np.argsort(own, kind="stable")
+    return tuple(a[order] for a in (block, own, reps, copies, np.concatenate([x for _, x, _, _ in blocks])))
+
+
+def _meet(books: Codebooks, asking: tuple[np.ndarray, ...], asked: range, blocks: list, reader: BlockReader, threshold: float, reach: float) -> list[tuple[int, int, int, int]]:
+    """What the asking members find in the blocks they ask, as FOUND; a block that none of them can reach is not read."""
+    block, own, ids, held, vectors = asking
+    out: list[tuple[int, int, int, int]] = []
+    total, parent = np.zeros(len(ids), np.int64), {}
+    for k in asked:
+        path, at, lists, radius = blocks[k]
+        turn = np.flatnonzero(asks(block, k))
+        turn = turn[books.possible(vectors[turn], own[turn], lists, radius, reach).any(1)] if len(turn) else turn
+        if not len(turn):
+            continue
+        y, codes, rows = reader.read(path, at)
+        reps, copies = rows.column("rep").to_numpy(), rows.column("copies").to_numpy()
+        of = np.searchsorted(lists, rows.column("list").to_numpy())
+        off = rows.column("off").to_numpy()
+        fixed, most = books.offsets(lists[of], codes), (off + reach) ** 2 + 1e-6
+        extra = np.zeros(len(reps), np.int64)
+        for s in range(0, len(turn), 128):
+            some = turn[s : s + 128]
+            x = vectors[some]
+            open_lists = books.possible(x, own[some], lists, radius, reach).any(0)
+            near_at = np.flatnonzero(open_lists[of])
+            near = books.distances(x, lists, of[near_at], codes[near_at], fixed[near_at]) <= most[near_at][:, None]
+            near_at = near_at[near.any(1)]
+            j, i = np.nonzero(y[near_at] @ x.T >= threshold - 1e-9)
+            j = near_at[j]
+            other = ids[some[i]] != reps[j]
+            i, j = i[other], j[other]
+            if not len(i):
+                continue
+            cosine = np.concatenate([(x[i[c : c + 4096]] * y[j[c : c + 4096]]).sum(1) for c in range(0, len(i), 4096)])
+            i, j = some[i[cosine >= threshold]], j[cosine >= threshold]
+            np.add.at(total, i, copies[j])
+            # The member counts the query as well, unless it asks for itself: within a block both do.
+            back = block[i] != k
+            np.add.at(extra, j[back], held[i[back]])
+            out += _forest(parent, ids[i], reps[j])
+        out += [(0, int(reps[r]), 0, int(extra[r])) for r in np.flatnonzero(extra)]
+    return out + [(0, int(ids[r]), 0, int(total[r])) for r in np.flatnonzero(total)]
+
+
+def _forest(parent: dict[int, int], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Edges that connect the same vectors as all links so far do, no more than there are vectors; `parent` is what earlier links connect."""
 
     def root(v: int) -> int:
         while (p := parent.setdefault(v, v)) != v:
@@ -232,7 +347,7 @@ def _forest(ids: np.ndarray, reps: np.ndarray, i: np.ndarray, j: np.ndarray) ->
         return v
 
     edges = []
-    for a, b in zip(ids[i].tolist(), reps[j].tolist(), strict=True):
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
         p, q = root(a), root(b)
         if p != q:
             parent[max(p, q)] = min(p, q)
@@ -251,16 +366,21 @@ def near_duplicates(
     zeros. A row with a null id links with nothing (component null, kept). Repeated rows are vectors
     of their own with one id.
     """
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"  # half the bytes, the same numbers
+    of_kind = F.col(vector) if single else F.col(vector).cast("array<double>")
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), of_kind.alias("vector"))
     fit = usable(F.col("vector")) & F.col("vec_id").isNotNull()
-    keyed = rows.withColumn("vector", F.when(fit, F.col("vector"))).withColumn("key", F.xxhash64("vector"))
+    keyed = rows.withColumn("vector", F.when(fit, F.col("vector"))).withColumn("key", F.when(fit, F.xxhash64("vector")))
     distinct = keyed.where("vector is not null").groupBy("key", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     distinct = stored(distinct.select("rep", "copies", "vector", "key"), "distinct-vectors")
     counts, edges = links(distinct, threshold, settings)
     components = connected_components(edges, "vectors")
     known = distinct.join(counts, "rep", "left").join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("key", F.col("vector").alias("same"), (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("smallest"))
-    joined = keyed.join(known.withColumnRenamed("key", "known"), (F.col("key") == F.col("known")) & (F.col("vector") == F.col("same")), "left")
+    known = known.select(F.col("key").alias("known"), F.col("vector").alias("same"), (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("smallest"))
+    # Vectors are shuffled for this join only if one of their hashes belongs to two of them.
+    shared = distinct.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    same = F.col("key") == F.col("known")
+    joined = keyed.join(known, same & (F.col("vector") == F.col("same")), "left") if shared else keyed.drop("vector").join(known.drop("same"), same, "left")
     component = F.coalesce("smallest", "vec_id")
     return joined.select(
         "vec_id",

@@ -347,6 +347,42 @@ def test_vectors_of_many_lists(spark):
     assert [found[k]["component_id"] for k in range(len(x))] == component.tolist()
 
 
+def test_vectors_are_not_shuffled_to_those_they_meet(spark, monkeypatch):
+    """Whatever the number of zones, shuffles hold a vector about once; zones may be dealt to several tasks."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 64)).astype(np.float32)
+    x[1000:] = x[:1000] + rng.normal(size=(1000, 64)).astype(np.float32) * 0.45
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    seen, disk = [], spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        seen.append(sum(f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle_")))
+
+    shuffled()
+    monkeypatch.setattr("llm.common.gc.collect", shuffled)  # a table is written, its shuffles are still there
+    found = {r["vec_id"]: r for r in vectors.near_duplicates(table, settings=vectors.IndexSettings(list_size=8, block=32)).collect()}
+    assert max(seen) - seen[0] < 3 * x.nbytes
+    dealt = vectors.near_duplicates(table, settings=vectors.IndexSettings(list_size=16, block=256, asking=512)).collect()
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.9
+    assert [found[k]["n_links"] for k in range(len(x))] == (close.sum(1) - 1).tolist()
+    assert {r["vec_id"]: r for r in dealt} == found
+
+
+def test_vectors_of_one_hash(spark, monkeypatch):
+    """Vectors whose hashes are equal are still told apart, also where their zone is dealt to several tasks."""
+    x = np.random.default_rng(4).normal(size=(300, 8))
+    x[100:140], x[200:220] = x[:40] * 1.001, x[:20]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    settings = vectors.IndexSettings(list_size=8, block=16, slot=8, asking=32)
+    plain = {r["vec_id"]: r for r in vectors.near_duplicates(table, settings=settings).collect()}
+    monkeypatch.setattr(vectors.F, "xxhash64", lambda *_: F.lit(7).cast("long"))
+    assert {r["vec_id"]: r for r in vectors.near_duplicates(table, settings=settings).collect()} == plain
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert [plain[k]["n_links"] for k in range(len(x))] == ((unit @ unit.T >= 0.9).sum(1) - 1).tolist()
+
+
 def test_url_rules(spark):
     urls = {
         1: "http://A.Example.ORG/es/1", 2: "https://example.org/en/12?x", 3: "http://x.org#f", 4: "http://y.com/de/1", 5: "http://com/fr/", 6: None,
